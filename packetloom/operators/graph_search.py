@@ -123,7 +123,7 @@ def closeness(edge_table: DataFrame, sources: DataFrame | None = None) -> DataFr
     """(r / (n - 1)) * (r / sum of distances), r = reachable others; rounded to 4."""
     n = edge_table.select(F.explode(F.array("src_ip", "dst_ip")).alias("ip")).distinct().agg(F.count("*")).scalar()
     sums = bfs_distances(edge_table, sources).groupBy(F.col("source").alias("ip")).agg(
-        F.count_if("distance > 0").alias("reachable"), F.sum("distance").alias("total_distance")
+        F.count_if(F.col("distance") > 0).alias("reachable"), F.sum("distance").alias("total_distance")
     )
     r, d = F.col("reachable"), F.col("total_distance")
     value = F.when((n > 1) & (d > 0), (r / F.greatest(n - 1, F.lit(1))) * (r / F.greatest(d, F.lit(1)))).otherwise(0.0)

@@ -113,25 +113,76 @@ def with_halo(idx: Indexed, rows_before: int, block: str = "_block", own: str =
     return rows.withColumn(own, F.col(block) == F.col("_home")).drop("_home")
 
 
+def neighbour_gaps(idx: Indexed, key_sets: dict[str, Sequence[str]], ts: str = "timestamp") -> Indexed:
+    """Microseconds from the previous and to the next row of each key, NULL at the ends.
+
+    For every entry ``name: keys`` adds ``<name>_prev_us`` and ``<name>_next_us``.
+    A neighbour inside the block comes from an ordinary window; at a block edge it
+    is the key's last (first) time in the nearest earlier (later) block, one row
+    per (block, key). All of these come from the same input, so asking for several
+    key sets costs one shuffle each and the plan grows linearly.
+    """
+    base = idx.df.withColumn("_block", idx.block())
+    rows = base
+    for name, keys in key_sets.items():
+        group = ["_block", *keys]
+        inside = W.partitionBy(*group).orderBy("i")
+        across = (W.partitionBy(*keys) if keys else W.partitionBy(F.lit(0))).orderBy("_block")
+        edges = base.groupBy(*group).agg(F.min_by(ts, "i").alias("_first"), F.max_by(ts, "i").alias("_last"))
+        carry = edges.select(
+            *group, F.lag("_last").over(across).alias("_before"), F.lead("_first").over(across).alias("_after")
+        ).where(F.col("_before").isNotNull() | F.col("_after").isNotNull())
+        rows = (
+            rows.withColumns({"_prev": F.lag(ts).over(inside), "_next": F.lead(ts).over(inside)})
+            .join(carry, group, "left")
+            .withColumns(
+                {
+                    f"{name}_prev_us": F.timestamp_diff("MICROSECOND", F.coalesce("_prev", "_before"), F.col(ts)),
+                    f"{name}_next_us": F.timestamp_diff("MICROSECOND", F.col(ts), F.coalesce("_next", "_after")),
+                }
+            )
+            .drop("_prev", "_next", "_before", "_after")
+        )
+    return idx.replace(rows.drop("_block"))
+
+
 def inter_arrival(idx: Indexed, keys: Sequence[str] = (), ts: str = "timestamp", out: str = "iat_us") -> Indexed:
-    """Microseconds since the previous row of the key in index order; NULL for the first.
+    """Microseconds since the previous row of the key in index order; NULL for the first."""
+    gaps = neighbour_gaps(idx, {"_g": list(keys)}, ts)
+    return gaps.replace(gaps.df.withColumnRenamed("_g_prev_us", out).drop("_g_next_us"))
+
+
+def running_extremes(idx: Indexed, keys: Sequence[str], column: str) -> Indexed:
+    """Minimum and maximum of ``column`` from the start of the key so far, and from here to its end.
 
-    The predecessor is found inside the block; for the first row of a key in a
-    block it is the key's last time in an earlier block.
+    Adds ``so_far_low``, ``so_far_high``, ``rest_low`` and ``rest_high``, current
+    row included in all four.
     """
     rows = idx.df.withColumn("_block", idx.block())
     group = ["_block", *keys]
-    inside = W.partitionBy(*group).orderBy("i")
-    last_seen = rows.groupBy(*group).agg(F.max_by(ts, "i").alias("_last"))
-    by_key = W.partitionBy(*keys) if keys else W.partitionBy(F.lit(0))
-    carry = last_seen.select(*group, F.lag("_last").over(by_key.orderBy("_block")).alias("_carry")).where(
-        F.col("_carry").isNotNull()
-    )
-    previous = F.coalesce(F.col("_prev"), F.col("_carry"))
-    joined = rows.withColumn("_prev", F.lag(ts).over(inside)).join(carry, group, "left")
-    return idx.replace(
-        joined.withColumn(out, F.timestamp_diff("MICROSECOND", previous, F.col(ts))).drop("_block", "_prev", "_carry")
-    )
+    totals = rows.groupBy(*group).agg(F.min(column).alias("_lo"), F.max(column).alias("_hi"))
+    carries, windows = [], {}
+    for side, upwards in (("so_far", True), ("rest", False)):
+        position, block = (F.asc("i"), F.asc("_block")) if upwards else (F.desc("i"), F.desc("_block"))
+        windows[side] = W.partitionBy(*group).orderBy(position).rowsBetween(W.unboundedPreceding, W.currentRow)
+        across = W.partitionBy(*keys).orderBy(block).rowsBetween(W.unboundedPreceding, -1)
+        carries += [F.min("_lo").over(across).alias(f"_{side}_lo"), F.max("_hi").over(across).alias(f"_{side}_hi")]
+    carry = totals.select(*group, *carries).where(F.col("_so_far_lo").isNotNull() | F.col("_rest_lo").isNotNull())
+    joined = rows.withColumns(
+        {
+            f"{side}_{end}": fn(column).over(window)
+            for side, window in windows.items()
+            for end, fn in (("low", F.min), ("high", F.max))
+        }
+    ).join(carry, group, "left")
+    for side in windows:
+        joined = joined.withColumns(
+            {
+                f"{side}_low": F.least(f"{side}_low", f"_{side}_lo"),
+                f"{side}_high": F.greatest(f"{side}_high", f"_{side}_hi"),
+            }
+        ).drop(f"_{side}_lo", f"_{side}_hi")
+    return idx.replace(joined.drop("_block"))
 
 
 def rolling_frame(

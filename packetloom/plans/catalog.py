@@ -1,4 +1,4 @@
 """All registered queries."""
 
-from packetloom.plans import detect_queries, graph_queries, traffic_queries  # noqa: F401
+from packetloom.plans import detect_queries, feature_queries, graph_queries, traffic_queries  # noqa: F401
 from packetloom.plans.registry import ORACLES, QUERIES  # noqa: F401
