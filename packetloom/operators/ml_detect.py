@@ -14,6 +14,7 @@ from packetloom.operators.ordering import Indexed
 from packetloom.operators.scaling import Scaler
 from packetloom.operators.tree import DecisionTree
 from packetloom.schema import FEATURES
+from packetloom.session import cut
 
 BUFFER_SECONDS, EVERY, MIN_BUFFER, KMEANS_DISTANCE = 30, 10, 10, 0.7
 
@@ -51,8 +52,9 @@ def ml(idx: Indexed, model, scaler: Scaler | None, seconds: int = BUFFER_SECONDS
     Without a scaler the model sees raw features. Needs at least ten packets in
     the buffer; the addresses named are those of the last ten of them.
     """
-    rows = features.features_trailing(idx, seconds, every).where(F.col("packets") >= MIN_BUFFER)
-    scaled = rows if scaler is None else scaling.minmax(rows, scaler, FEATURES)
+    # Written out: the models below use every feature many times over.
+    rows = cut(features.features_trailing(idx, seconds, every).where(F.col("packets") >= MIN_BUFFER))
+    scaled = rows if scaler is None else cut(scaling.minmax(rows, scaler, FEATURES))
     name, judged = judge(scaled, model)
     related = recent_endpoints(idx, 10, every).select("id", "related")
     hits = judged.where("hit").select("id", "timestamp", "score").join(related, "id")

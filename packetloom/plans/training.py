@@ -99,7 +99,7 @@ def train_all(packets: DataFrame, seconds: float = 5.0, limit: int | None = None
     idx = ordering.with_global_index(table, order=("window_start",))
     full = labeling.augment_one_class(idx)
     if full is not idx.df:
-        idx = ordering.with_global_index(full.drop("i"), order=("window_start", "label"))
+        idx = ordering.with_global_index(full.withColumnRenamed("i", "position"), order=("position",))
     return train_rows(idx)
 
 

@@ -1,0 +1,110 @@
+"""Operators that need order, on a stream: release what is final, run the batch operator on it.
+
+Packets wait in a table in the shared folder until the watermark has passed them.
+What is released goes through the same distributed batch operators as stored
+data, so a window or source with most of the traffic is never one task's state.
+All output and state of an epoch is written to the epoch's own folder, which a
+replay overwrites.
+"""
+
+from __future__ import annotations
+
+from collections.abc import Callable
+from datetime import timedelta
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from packetloom import schema
+from packetloom.operators import detect, ordering
+from packetloom.operators.ordering import Indexed
+from packetloom.session import cut
+from packetloom.streaming.queries import run_batches
+from packetloom.streaming.source import SENTINEL_ID
+
+DELAY = timedelta(seconds=30)
+
+
+class _Released:
+    """Splits each batch into final rows and rows that must wait."""
+
+    def __init__(self, path: str, align_seconds: int | None):
+        self.path = path
+        self.align = align_seconds
+        self.newest = None
+        self.boundary = None
+        self.waiting: DataFrame | None = None
+
+    def take(self, batch: DataFrame, epoch: int) -> DataFrame | None:
+        """Rows that became final with this batch; rows older than the last boundary are late and dropped."""
+        rows = batch.withColumn("timestamp", F.col("timestamp").cast("timestamp_ntz"))
+        if self.boundary is not None:
+            rows = rows.where(F.col("timestamp") > F.lit(self.boundary).cast("timestamp_ntz"))
+        pending = rows if self.waiting is None else rows.unionByName(self.waiting)
+        folder = f"{self.path}/pending/epoch={epoch}"
+        pending.write.mode("overwrite").parquet(folder)
+        pending = batch.sparkSession.read.schema(schema.PACKET).parquet(folder)
+        newest = pending.agg(F.max("timestamp")).first()[0]
+        if newest is None:
+            return None
+        self.newest = newest if self.newest is None else max(self.newest, newest)
+        boundary = self.newest - DELAY
+        if self.align:
+            # The last instant before the open window.
+            seconds = boundary.second + boundary.minute * 60 + boundary.hour * 3600
+            start = boundary - timedelta(seconds=seconds % self.align, microseconds=boundary.microsecond)
+            boundary = start - timedelta(microseconds=1)
+        if self.boundary is not None and boundary <= self.boundary:
+            self.waiting = pending
+            return None
+        self.boundary = boundary
+        cutoff = F.lit(boundary).cast("timestamp_ntz")
+        self.waiting = pending.where(F.col("timestamp") > cutoff)
+        return pending.where((F.col("timestamp") <= cutoff) & (F.col("id") != SENTINEL_ID))
+
+
+def run_closed_windows(
+    stream: DataFrame, operator: Callable[[DataFrame], DataFrame], path: str, seconds: int = 60
+) -> DataFrame:
+    """Apply a batch ``operator`` to the packets of every window once it is closed.
+
+    ``operator`` must treat aligned windows of ``seconds`` independently.
+    """
+    released = _Released(path, seconds)
+
+    def each(batch: DataFrame, epoch: int) -> None:
+        final = released.take(batch, epoch)
+        if final is not None:
+            operator(final).write.mode("overwrite").parquet(f"{path}/out/epoch={epoch}")
+
+    run_batches(stream, each)
+    return stream.sparkSession.read.parquet(f"{path}/out").drop("epoch")
+
+
+def run_rolling(stream: DataFrame, path: str, frame: int = 1000) -> DataFrame:
+    """The statistical detector live: released packets with the last ``frame`` as context."""
+    released = _Released(path, None)
+    state: dict = {"seen": 0, "tail": None}
+
+    def each(batch: DataFrame, epoch: int) -> None:
+        final = released.take(batch, epoch)
+        if final is None:
+            return
+        seen, tail = state["seen"], state["tail"]
+        rows = final if tail is None else final.unionByName(tail)
+        before = 0 if tail is None else min(seen, frame)
+        indexed = ordering.with_global_index(rows)
+        # Positions continue over the whole stream; the context keeps its own.
+        shifted = Indexed(
+            indexed.df.withColumn("i", F.col("i") + F.lit(seen - before)), indexed.block_rows, indexed.total
+        )
+        found = detect.statistical(shifted, frame).join(
+            shifted.df.where(F.col("i") > seen).select(F.col("id").alias("packet_id")), "packet_id", "left_semi"
+        )
+        found.write.mode("overwrite").parquet(f"{path}/out/epoch={epoch}")
+        state["seen"] = seen - before + indexed.total
+        last = shifted.df.where(F.col("i") > state["seen"] - frame).select(*schema.PACKET_COLUMNS)
+        state["tail"] = cut(last)
+
+    run_batches(stream, each)
+    return stream.sparkSession.read.parquet(f"{path}/out").drop("epoch")
