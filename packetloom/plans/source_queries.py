@@ -22,14 +22,15 @@ def raw_headers(packets):
         version,
         F.lit("00"),
         F.format_string("%04X", F.expr("packet_size % 65536")),
-        F.lit("0000000000"[:8]),
+        F.lit("00000000"),
         F.format_string("%02X", F.col("ttl")),
         F.format_string("%02X", F.expr(PROTO_SQL)),
         F.lit("0000"),
         *[F.format_string("%02X", part(c, k)) for c in ("src_ip", "dst_ip") for k in range(4)],
     )
     length = F.when(F.expr("id % 11 = 0"), F.lit(20)).otherwise(F.lit(40))
-    return packets.select("id", F.unhex(F.substring(text, F.lit(1), length)).alias("raw"))
+    # Generated, so that the decoder sees a plain column as it would from a table.
+    return packets.select("id", F.explode(F.array(F.unhex(F.substring(text, F.lit(1), length)))).alias("raw"))
 
 
 @query(
@@ -118,7 +119,7 @@ def _line(cast: str) -> str:
 
 
 def nsl_lines(packets):
-    return packets.select("id", F.expr(_line("STRING")).alias("value"))
+    return packets.select("id", F.explode(F.array(F.expr(_line("STRING")))).alias("value"))
 
 
 CATEGORY_SQL = """CASE WHEN l = 'normal' THEN 'normal' WHEN l IN ('neptune', 'smurf') THEN 'dos'

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from datetime import timedelta
+
 from pyspark.sql import functions as F
 
 from packetloom.operators import detect, features, ordering
@@ -125,8 +127,8 @@ def stream_topk(spark, sf):
 def stream_late(spark, sf):
     """Packets that come minutes late do not change windows that are already closed."""
     packets = load_packets(spark, sf)
-    late = packets.where((F.col("id") % 7 == 0)).where(
-        F.col("timestamp") < packets.agg(F.max("timestamp")).scalar() - F.expr("INTERVAL 3 MINUTES")
-    )
+    low, high = packets.agg(F.min("timestamp"), F.max("timestamp")).first()
+    cutoff = low + (high - low) / 2 - timedelta(seconds=90)
+    late = packets.where((F.col("id") % 7 == 0) & (F.col("timestamp") < F.lit(cutoff).cast("timestamp_ntz")))
     stream = _stream(spark, packets, late)
     return _ntz(queries.run_append(queries.rate(stream), scratch_path(spark, "late")), "win")

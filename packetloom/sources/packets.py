@@ -19,7 +19,9 @@ def packets_from_events(events: DataFrame) -> DataFrame:
     Purely projective, so column pruning and filters on ``event_id`` reach the
     scan and the work is proportional to the events read.
     """
-    k = F.get_json_object("props", "$.k").cast("int").alias("k")
+    # Generated rather than projected: a filter on any derived column then stays above
+    # this point instead of repeating the JSON extraction for each of its references.
+    k = F.explode(F.array(F.get_json_object("props", "$.k").cast("int"))).alias("k")
     scanner = F.expr("event_id % 5 = 0")
     step1 = events.select(
         "event_id",
