@@ -143,21 +143,84 @@ def best_split(spark, sf):
     )
 
 
-@query("id3_nodes")
+def grown_sql(train: str) -> list[str]:
+    """A tree grown level by level over the rows of ``train``, and all rows walked down it."""
+    return [
+        *ROWS_SQL,
+        f"everything AS MATERIALIZED ({long_sql('lab', 'i', 'label')})",
+        f"cells AS MATERIALIZED (SELECT * FROM everything WHERE i IN (SELECT i FROM {train}))",
+        """grown AS (SELECT 0 AS depth, i, label, 1 AS node, CAST(NULL AS BIGINT) AS f, CAST(NULL AS DOUBLE) AS t,
+          CAST(NULL AS DOUBLE) AS g FROM (SELECT DISTINCT i, label FROM cells) c
+        UNION ALL
+        SELECT p.depth + 1, p.i, p.label, CASE WHEN x.value <= s.t THEN 2 * p.node ELSE 2 * p.node + 1 END, s.f, s.t, s.g
+        FROM grown p JOIN (
+          SELECT node, arg_min(feature, (-round(gain, 9), feature, threshold)) AS f,
+            arg_min(threshold, (-round(gain, 9), feature, threshold)) AS t, max(gain) AS g
+          FROM (SELECT *, (value + following) / 2 AS threshold,
+              (CASE WHEN ta > 0 THEN -ta / n * log2(ta / n) ELSE 0 END
+                + CASE WHEN tb > 0 THEN -tb / n * log2(tb / n) ELSE 0 END)
+              - (CASE WHEN la > 0 THEN -la / n * log2(la / nl) ELSE 0 END
+                + CASE WHEN lb > 0 THEN -lb / n * log2(lb / nl) ELSE 0 END)
+              - (CASE WHEN ta > la THEN -(ta - la) / n * log2((ta - la) / (n - nl)) ELSE 0 END
+                + CASE WHEN tb > lb THEN -(tb - lb) / n * log2((tb - lb) / (n - nl)) ELSE 0 END) AS gain
+            FROM (SELECT node, feature, value, lead(value) OVER w AS following, sum(a) OVER w AS la,
+                sum(b) OVER w AS lb, sum(a + b) OVER w AS nl, sum(a) OVER k AS ta, sum(b) OVER k AS tb,
+                sum(a + b) OVER k AS n
+              FROM (SELECT node, feature, value, count(*) FILTER (c.label = 'anomaly') AS a,
+                  count(*) FILTER (c.label = 'normal') AS b FROM grown r JOIN cells c ON r.i = c.i
+                WHERE depth < 10 GROUP BY 1, 2, 3) v
+              WINDOW w AS (PARTITION BY node, feature ORDER BY value), k AS (PARTITION BY node, feature)) u
+            WHERE following IS NOT NULL AND n >= 5 AND ta > 0 AND tb > 0) q
+          WHERE gain > 1e-12 GROUP BY node) s ON s.node = p.node
+        JOIN cells x ON x.i = p.i AND x.feature = s.f)""",
+        """splits AS (SELECT node // 2 AS node, any_value(f) AS f, any_value(t) AS t, any_value(g) AS g FROM grown
+          WHERE depth > 0 GROUP BY 1)""",
+        f"""nodes AS (SELECT n.node, depth, f, ({NAMES})[f + 1] AS feature_name, t, g, samples,
+          CASE WHEN a >= b THEN 'anomaly' ELSE 'normal' END AS class
+          FROM (SELECT node, depth, count(*) AS samples, count(*) FILTER (label = 'anomaly') AS a,
+            count(*) FILTER (label = 'normal') AS b FROM grown GROUP BY 1, 2) n LEFT JOIN splits s ON n.node = s.node)""",
+        """walk AS (SELECT i, 1 AS node FROM lab UNION ALL
+          SELECT w.i, CASE WHEN x.value <= s.t THEN 2 * w.node ELSE 2 * w.node + 1 END FROM walk w
+          JOIN splits s ON s.node = w.node JOIN everything x ON x.i = w.i AND x.feature = s.f)""",
+        """guess AS (SELECT i, class AS p FROM (SELECT i, max(node) AS node FROM walk GROUP BY 1) q
+          JOIN nodes USING (node))""",
+    ]
+
+
+@query(
+    "id3_nodes",
+    """SELECT CAST(node AS INT) AS node_id, CAST(depth AS INT) AS depth, CAST(f AS INT) AS feature, feature_name,
+    round(t, 6) AS threshold, CAST(CASE WHEN f IS NOT NULL THEN 2 * node END AS INT) AS left,
+    CAST(CASE WHEN f IS NOT NULL THEN 2 * node + 1 END AS INT) AS right, class, samples,
+    round(coalesce(g, 0), 6) AS gain FROM nodes""",
+    grown_sql("lab"),
+)
 def id3_nodes(spark, sf):
-    return tree.DecisionTree.fit(_rows(spark, sf), FEATURES).table(spark)
+    nodes = tree.DecisionTree.fit(_rows(spark, sf), FEATURES).table(spark)
+    return nodes.withColumns({"threshold": F.round("threshold", 6), "gain": F.round("gain", 6)})
 
 
-@query("id3_predict")
+@query(
+    "id3_predict",
+    "SELECT window_start, label, p AS predicted FROM lab JOIN guess USING (i)",
+    grown_sql("lab"),
+)
 def id3_predict(spark, sf):
     rows = _rows(spark, sf)
     model = tree.DecisionTree.fit(rows, FEATURES)
     return rows.select("window_start", "label", model.predict().alias("predicted"))
 
 
-@query("id3_importance")
+@query(
+    "id3_importance",
+    """SELECT feature_name, round(sum(g) / (SELECT sum(g) FROM nodes), 6) AS gain_sum,
+    round(sum(g * samples) / (SELECT sum(g * samples) FROM nodes), 6) AS gain_weighted FROM nodes
+    WHERE f IS NOT NULL GROUP BY 1""",
+    grown_sql("lab"),
+)
 def id3_importance(spark, sf):
-    return tree.importance(tree.DecisionTree.fit(_rows(spark, sf), FEATURES).table(spark))
+    shares = tree.importance(tree.DecisionTree.fit(_rows(spark, sf), FEATURES).table(spark))
+    return shares.withColumns({c: F.round(c, 6) for c in ("gain_sum", "gain_weighted")})
 
 
 # --- k-means -------------------------------------------------------------------------
@@ -314,19 +377,61 @@ def linreg_gram(spark, sf):
     return sums.select("i", "j", (F.round("value", 4) + F.lit(0.0)).alias("value"))
 
 
-@query("linreg_fit")
+def descent_sql(train: str) -> list[str]:
+    """Gradient descent over the rows of ``train``: 1000 epochs as a recursion, then predictions for all rows."""
+    return [
+        *ROWS_SQL,
+        f"everything AS ({long_sql('lab', 'i')})",
+        f"tr AS (SELECT * FROM lab WHERE i IN (SELECT i FROM {train}))",
+        """st AS (SELECT feature, avg(value) AS m, CASE WHEN stddev_pop(value) > 1e-12 THEN stddev_pop(value) ELSE 1 END
+          AS s FROM everything WHERE i IN (SELECT i FROM tr) GROUP BY 1)""",
+        "za AS (SELECT i, feature, (value - m) / s AS v FROM everything JOIN st USING (feature))",
+        "z AS (SELECT za.*, score FROM za JOIN tr USING (i))",
+        """gm AS (SELECT list(line ORDER BY f) AS g FROM (SELECT f, list(x ORDER BY h) AS line FROM (
+          SELECT a.feature AS f, b.feature AS h, sum(a.v * b.v) AS x FROM z a JOIN z b ON a.i = b.i GROUP BY 1, 2) q
+          GROUP BY 1) r)""",
+        """zs AS (SELECT list(sv ORDER BY feature) AS s, list(zy ORDER BY feature) AS zy FROM (
+          SELECT feature, sum(v) AS sv, sum(v * score) AS zy FROM z GROUP BY 1) q)""",
+        """base AS MATERIALIZED (SELECT g, s, zy, (SELECT count(*) FROM tr)::DOUBLE AS n, (SELECT sum(score) FROM tr) AS y
+          FROM gm, zs)""",
+        f"""gd AS (SELECT 0 AS t, [0.0::DOUBLE for k in range({len(FEATURES)})] AS w, y / n AS b FROM base UNION ALL
+          SELECT t + 1, [w[k] - 0.01 * 2 / n * (list_dot_product(g[k], w) + b * s[k] - zy[k])
+            for k in range(1, {len(FEATURES) + 1})],
+          b - 0.01 * 2 / n * (list_dot_product(s, w) + n * b - y) FROM gd, base WHERE t < 1000)""",
+        "fin AS MATERIALIZED (SELECT w, b FROM gd WHERE t = 1000)",
+        """guess AS (SELECT i, any_value(b) + sum(v * w[feature + 1]) AS p FROM za, fin GROUP BY i)""",
+    ]
+
+
+REGRESSION_SQL = """SELECT count(*) AS n, round(avg((score - p) ** 2), 6) AS mse, round(sqrt(avg((score - p) ** 2)), 6) AS rmse,
+    round(CASE WHEN var_pop(score) > 0 THEN 1 - avg((score - p) ** 2) / var_pop(score) ELSE 0 END, 4) AS r_squared
+    FROM lab JOIN guess USING (i)"""
+
+
+@query(
+    "linreg_fit",
+    f"""SELECT CAST(feature AS INT) AS feature, ({NAMES})[feature + 1] AS name, round(m, 6) AS mean, round(s, 6) AS std,
+      round(w[feature + 1], 6) AS weight FROM st, fin
+    UNION ALL SELECT -1, 'bias', 0, 1, round(b, 6) FROM fin""",
+    descent_sql("lab"),
+)
 def linreg_fit(spark, sf):
-    return linreg.LinearRegression.fit(_rows(spark, sf), FEATURES, "score").table(spark)
+    weights = linreg.LinearRegression.fit(_rows(spark, sf), FEATURES, "score").table(spark)
+    return weights.withColumns({c: F.round(c, 6) for c in ("mean", "std", "weight")})
 
 
-@query("linreg_predict")
+@query(
+    "linreg_predict",
+    "SELECT window_start, score, round(p, 6) AS predicted FROM lab JOIN guess USING (i)",
+    descent_sql("lab"),
+)
 def linreg_predict(spark, sf):
     rows = _rows(spark, sf)
     model = linreg.LinearRegression.fit(rows, FEATURES, "score")
-    return rows.select("window_start", "score", model.predict().alias("predicted"))
+    return rows.select("window_start", "score", F.round(model.predict(), 6).alias("predicted"))
 
 
-@query("linreg_eval")
+@query("linreg_eval", REGRESSION_SQL, descent_sql("lab"))
 def linreg_eval(spark, sf):
     rows = _rows(spark, sf)
     model = linreg.LinearRegression.fit(rows, FEATURES, "score")
@@ -335,7 +440,17 @@ def linreg_eval(spark, sf):
 
 # --- training ----------------------------------------------------------------------------
 
-@query("train_eval_tree")
+FIRST_80 = "(SELECT i FROM lab WHERE i <= (SELECT count(*) * 80 // 100 FROM lab)) f"
+LAST_20 = "i > (SELECT count(*) * 80 // 100 FROM lab)"
+CONFUSION_SQL = f"""cm AS (SELECT count(*) AS n, count(*) FILTER (label='anomaly' AND p='anomaly') AS tp,
+  count(*) FILTER (label='normal' AND p='normal') AS tn, count(*) FILTER (label='normal' AND p='anomaly') AS fp,
+  count(*) FILTER (label='anomaly' AND p='normal') AS fn FROM lab JOIN guess USING (i) WHERE {LAST_20})"""
+METRIC_SQL = """SELECT tp, tn, fp, fn, round(coalesce((tp + tn) / nullif(n, 0), 0), 4) AS accuracy,
+    round(coalesce(tp / nullif(tp + fp, 0), 0), 4) AS precision, round(coalesce(tp / nullif(tp + fn, 0), 0), 4) AS recall,
+    round(coalesce(2 * tp / nullif(2 * tp + fp + fn, 0), 0), 4) AS f1_score FROM cm"""
+
+
+@query("train_eval_tree", METRIC_SQL, [*grown_sql(FIRST_80), CONFUSION_SQL])
 def train_eval_tree(spark, sf):
     return training.train_tree(_indexed(spark, sf))[1]
 
@@ -357,17 +472,12 @@ SPLIT_NB = [
       count(*) FILTER (label='normal' AND p='normal') AS tn, count(*) FILTER (label='normal' AND p='anomaly') AS fp,
       count(*) FILTER (label='anomaly' AND p='normal') AS fn FROM pred)""",
 ]
-METRIC_SQL = """SELECT tp, tn, fp, fn, round(coalesce((tp + tn) / nullif(n, 0), 0), 4) AS accuracy,
-    round(coalesce(tp / nullif(tp + fp, 0), 0), 4) AS precision, round(coalesce(tp / nullif(tp + fn, 0), 0), 4) AS recall,
-    round(coalesce(2 * tp / nullif(2 * tp + fp + fn, 0), 0), 4) AS f1_score FROM cm"""
-
-
 @query("train_eval_bayes", METRIC_SQL, SPLIT_NB)
 def train_eval_bayes(spark, sf):
     return training.train_bayes(_indexed(spark, sf))[1]
 
 
-@query("train_eval_linreg")
+@query("train_eval_linreg", REGRESSION_SQL + f" WHERE {LAST_20}", descent_sql(FIRST_80))
 def train_eval_linreg(spark, sf):
     return training.train_linear(_indexed(spark, sf))[1]
 
