@@ -13,25 +13,26 @@ from pyspark.sql import functions as F
 from packetloom.functions import net
 from packetloom.operators.ordering import with_global_index
 from packetloom.operators.skew import skew_join
+from packetloom.operators.traffic import pair_protocol_counts
 
 
 def edges(packets: DataFrame, limit: int | None = None) -> DataFrame:
     """Directed edges; ``weight`` is one more than the packet count.
 
-    Bidirectionality needs no self join: grouping the edges by undirected pair
-    shows whether both directions occur.
+    The packets are first reduced per (src, dst, protocol). Bidirectionality needs
+    no self join: grouping by undirected pair shows whether both directions occur,
+    with at most two entries per pair.
     """
-    base = packets.groupBy("src_ip", "dst_ip").agg(
-        F.count("*").alias("packet_count"),
-        F.sum("packet_size").alias("byte_count"),
-        F.array_sort(F.collect_set("protocol")).alias("protocols"),
+    base = pair_protocol_counts(packets, times=False).groupBy("src_ip", "dst_ip").agg(
+        F.sum("packet_count").alias("packet_count"),
+        F.sum("total_bytes").alias("byte_count"),
+        F.array_sort(F.collect_list("protocol")).alias("protocols"),
     )
     if limit is not None:
         base = base.orderBy(F.desc("packet_count"), "src_ip", "dst_ip").limit(limit)
     paired = base.groupBy(F.least("src_ip", "dst_ip").alias("_a"), F.greatest("src_ip", "dst_ip").alias("_b")).agg(
         F.collect_list(F.struct("src_ip", "dst_ip", "packet_count", "byte_count", "protocols")).alias("_d")
     )
-    # At most two entries per pair.
     return paired.select(
         F.explode("_d").alias("e"), ((F.size("_d") == 2) | (F.col("_a") == F.col("_b"))).alias("is_bidirectional")
     ).select("e.*", (F.col("e.packet_count") + 1).alias("weight"), "is_bidirectional")

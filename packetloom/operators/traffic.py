@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from packetloom.functions import net
@@ -138,14 +139,26 @@ def anomaly_trend(logs: DataFrame) -> DataFrame:
     )
 
 
+def pair_protocol_counts(packets: DataFrame, times: bool = True) -> DataFrame:
+    """Counters per (src, dst, protocol), the compact form all pair reports start from.
+
+    Plain hash aggregation with map-side combine: a busy pair leaves each task as
+    a handful of rows, and no set is built over packets.
+    """
+    spans = [F.min("timestamp").alias("first_seen"), F.max("timestamp").alias("last_seen")] if times else []
+    return packets.groupBy("src_ip", "dst_ip", "protocol").agg(
+        F.count("*").alias("packet_count"), F.sum("packet_size").alias("total_bytes"), *spans
+    )
+
+
 def connection_pairs(packets: DataFrame, limit: int | None = 100) -> DataFrame:
     """Directed pairs with counters, protocols and the first and last sighting."""
-    pairs = packets.groupBy("src_ip", "dst_ip").agg(
-        F.count("*").alias("packet_count"),
-        F.sum("packet_size").alias("total_bytes"),
-        F.array_join(F.array_sort(F.collect_set("protocol")), ",").alias("protocols"),
-        F.min("timestamp").alias("first_seen"),
-        F.max("timestamp").alias("last_seen"),
+    pairs = pair_protocol_counts(packets).groupBy("src_ip", "dst_ip").agg(
+        F.sum("packet_count").alias("packet_count"),
+        F.sum("total_bytes").alias("total_bytes"),
+        F.array_join(F.array_sort(F.collect_list("protocol")), ",").alias("protocols"),
+        F.min("first_seen").alias("first_seen"),
+        F.max("last_seen").alias("last_seen"),
     )
     ranked = pairs.orderBy(F.desc("packet_count"), "src_ip", "dst_ip")
     return ranked if limit is None else ranked.limit(limit)
@@ -154,34 +167,50 @@ def connection_pairs(packets: DataFrame, limit: int | None = 100) -> DataFrame:
 def ip_stats(packets: DataFrame) -> DataFrame:
     """Per address: sent and received counters, peers, protocols and first/last sent.
 
-    The two directions are aggregated first, so the outer join meets one row per
-    address on each side and a busy host costs one row, not its packets.
+    One pass over the packets and no join: every pair counter speaks for both of
+    its ends, and one grouping by address adds up the two roles. An address
+    without one of them gets zeros there.
     """
-    sent = packets.groupBy(F.col("src_ip").alias("ip")).agg(
-        F.count("*").alias("packets_sent"),
-        F.sum("packet_size").alias("bytes_sent"),
-        F.count_distinct("dst_ip").alias("unique_destinations"),
-        F.array_join(F.array_sort(F.collect_set("protocol")), ",").alias("protocols_used"),
-        F.min("timestamp").alias("first_seen"),
-        F.max("timestamp").alias("last_seen"),
-    )
-    received = packets.groupBy(F.col("dst_ip").alias("ip")).agg(
-        F.count("*").alias("packets_received"),
-        F.sum("packet_size").alias("bytes_received"),
-        F.count_distinct("src_ip").alias("unique_sources"),
-    )
-    counters = [
-        "packets_sent", "bytes_sent", "packets_received", "bytes_received", "unique_destinations", "unique_sources",
-    ]
-    joined = sent.join(received, "ip", "full_outer").fillna(0, counters).fillna("", ["protocols_used"])
-    return joined.select(
-        "ip",
-        *counters,
-        (F.col("packets_sent") + F.col("packets_received")).alias("total_packets"),
-        (F.col("bytes_sent") + F.col("bytes_received")).alias("total_bytes"),
-        "protocols_used",
-        "first_seen",
-        "last_seen",
+    zero = F.lit(0).cast("bigint")
+    nothing = F.lit(None).cast("string")
+    never = F.lit(None).cast("timestamp_ntz")
+    n, size = F.col("packet_count"), F.col("total_bytes")
+
+    def end(ip, out_peer, in_peer, n_out, b_out, n_in, b_in, protocol, first, last):
+        return F.struct(
+            ip.alias("ip"), out_peer.alias("to"), in_peer.alias("by"), n_out.alias("no"), b_out.alias("bo"),
+            n_in.alias("ni"), b_in.alias("bi"), protocol.alias("protocol"), first.alias("first"), last.alias("last"),
+        )
+
+    src, dst = F.col("src_ip"), F.col("dst_ip")
+    ends = pair_protocol_counts(packets).select(
+        F.explode(
+            F.array(
+                end(src, dst, nothing, n, size, zero, zero, F.col("protocol"), F.col("first_seen"), F.col("last_seen")),
+                end(dst, nothing, src, zero, zero, n, size, nothing, never, never),
+            )
+        ).alias("e")
+    ).select("e.*")
+    return (
+        ends.groupBy("ip")
+        .agg(
+            F.sum("no").alias("packets_sent"),
+            F.sum("bo").alias("bytes_sent"),
+            F.sum("ni").alias("packets_received"),
+            F.sum("bi").alias("bytes_received"),
+            F.count_distinct("to").alias("unique_destinations"),
+            F.count_distinct("by").alias("unique_sources"),
+            F.array_join(F.array_sort(F.collect_set("protocol")), ",").alias("protocols_used"),
+            F.min("first").alias("first_seen"),
+            F.max("last").alias("last_seen"),
+        )
+        .select(
+            "ip", "packets_sent", "bytes_sent", "packets_received", "bytes_received", "unique_destinations",
+            "unique_sources",
+            (F.col("packets_sent") + F.col("packets_received")).alias("total_packets"),
+            (F.col("bytes_sent") + F.col("bytes_received")).alias("total_bytes"),
+            "protocols_used", "first_seen", "last_seen",
+        )
     )
 
 
@@ -220,7 +249,12 @@ def volume_per_minute(packets: DataFrame, fold_days: bool = False) -> DataFrame:
     """
     key = F.date_format("timestamp", "HH:mm") if fold_days else net.minute_window()
     counts = packets.groupBy(key.alias("minute")).agg(F.count("*").alias("packets"))
-    return counts.where(counts.agg(F.count("*")).scalar() >= 2).orderBy("minute")
+    # One row per minute of traffic: small enough to count in one window.
+    all_minutes = W.partitionBy(F.lit(0))
+    return (
+        counts.withColumn("_minutes", F.count("*").over(all_minutes)).where("_minutes >= 2").drop("_minutes")
+        .orderBy("minute")
+    )
 
 
 def volume_per_minute_filled(packets: DataFrame) -> DataFrame:
