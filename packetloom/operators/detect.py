@@ -178,12 +178,27 @@ def _nth_per_source(rows: DataFrame, n: int) -> DataFrame:
 
 
 def port_scan(packets: DataFrame, threshold: int = PORT_SCAN_PORTS) -> DataFrame:
-    """First packet with which a source has touched more than ``threshold`` ports in its window."""
+    """First packet with which a source has touched more than ``threshold`` ports in its window.
+
+    The first touch of a port is the least (time, id), packed into one DECIMAL so
+    that plain hash aggregation can keep it; an aggregate over a struct would sort
+    all packets first. The rule is about a source, so no destination is named.
+    """
+    base = F.lit("10000000000000000000").cast("decimal(20,0)")
+    moment = net.micros("timestamp").cast("decimal(18,0)")
+    packed = (moment * base + F.col("id").cast("decimal(19,0)")).cast("decimal(38,0)")
+    touched_at = F.floor(F.col("first") / base).cast("bigint")  # ids stay below 0.93 of the base
     first_touch = (
         windowed(packets)
         .groupBy("win", "src_ip", "dst_port")
-        .agg(F.min(F.struct("timestamp", "id", "dst_ip")).alias("first"))
-        .select("win", "src_ip", "first.timestamp", "first.id", "first.dst_ip")
+        .agg(F.min(packed).alias("first"))
+        .select(
+            "win",
+            "src_ip",
+            F.lit(None).cast("string").alias("dst_ip"),
+            F.timestamp_add("MICROSECOND", touched_at, F.expr("TIMESTAMP_NTZ '1970-01-01 00:00:00'")).alias("timestamp"),
+            F.pmod("first", base).cast("bigint").alias("id"),
+        )
     )
     return _emit(
         _nth_per_source(first_touch, threshold + 1),

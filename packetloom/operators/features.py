@@ -237,10 +237,10 @@ def _next_departure(line: Indexed, rows: Indexed) -> DataFrame:
     """
     back = W.partitionBy("_block").orderBy(F.desc("i")).rowsBetween(W.unboundedPreceding, W.currentRow)
     after = W.orderBy(F.desc("_block")).rowsBetween(W.unboundedPreceding, -1)
-    first = line.df.groupBy(line.block().alias("_block")).agg(
-        F.min_by("oldest", F.when(F.col("kind") == 0, F.col("i"))).alias("_first")
-    )
-    carry = first.select("_block", F.last("_first", ignorenulls=True).over(after).alias("_carry"))
+    position = line.df.where("kind = 0").groupBy(line.block().alias("_block")).agg(F.min("i").alias("i"))
+    first = line.df.join(F.broadcast(position), "i").select("_block", F.col("oldest").alias("_first"))
+    everywhere = line.df.select(line.block().alias("_block")).distinct().join(first, "_block", "left")
+    carry = everywhere.select("_block", F.last("_first", ignorenulls=True).over(after).alias("_carry"))
     return (
         rows.df.withColumn("_block", rows.block())
         .withColumn("oldest", F.last("oldest", ignorenulls=True).over(back))
