@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from packetloom.session import cut, shuffle_partitions
+from packetloom.session import cut
 
 ORDER = ("timestamp", "id")
 MIN_BLOCK, MAX_BLOCK = 4_096, 1_000_000
@@ -50,9 +50,10 @@ def with_global_index(
     row per partition, a size bounded by the partition count.
     """
     spark = df.sparkSession
-    n = partitions or shuffle_partitions(spark)
+    # Without a number AQE may merge neighbouring small ranges, which keeps the order.
+    ranged = df.repartitionByRange(partitions, *order) if partitions else df.repartitionByRange(*order)
     placed = cut(
-        df.repartitionByRange(n, *order)
+        ranged
         .sortWithinPartitions(*order)
         .withColumn("_at", F.monotonically_increasing_id())
         .withColumn("_part", F.shiftright("_at", 33).cast("int"))

@@ -50,7 +50,7 @@ rc AS (SELECT *, row_number() OVER a AS src_count,
 tc AS (SELECT *, row_number() OVER b AS total,
   CAST(sum(CASE WHEN src_count = 1 THEN 1 ELSE 0 END) OVER b AS BIGINT) AS sources
   FROM rc WINDOW b AS (PARTITION BY win ORDER BY timestamp, id ROWS UNBOUNDED PRECEDING)),
-d_scan AS (SELECT id AS packet_id, timestamp, src_ip, NULL AS dst_ip, 'rule:port_scan' AS detection_method, 3 AS rule_order,
+d_scan AS (SELECT id AS packet_id, timestamp, src_ip, CAST(NULL AS VARCHAR) AS dst_ip, 'rule:port_scan' AS detection_method, 3 AS rule_order,
   0.8::DOUBLE AS score, [src_ip] AS related_ips,
   'rule=Potential port scan, source_ip=' || src_ip || ', unique_ports=' || unique_ports AS description
   FROM tc WHERE unique_ports > 20

@@ -58,10 +58,6 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
-def shuffle_partitions(spark: SparkSession) -> int:
-    return int(spark.conf.get("spark.sql.shuffle.partitions"))
-
-
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh path for a written table below the shared folder."""
     return os.path.join(shared_dir(spark), f"{name}-{os.urandom(8).hex()}")
