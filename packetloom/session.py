@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 
 from pyspark.sql import DataFrame, SparkSession
@@ -32,17 +33,20 @@ def build_session(app_name: str = "packetloom", master: str | None = None, **con
 def shared_dir(spark: SparkSession) -> str:
     """The folder every executor can reach, as named in ``spark.checkpoint.dir``.
 
-    Only a session that names none (tests on one machine) gets a temporary
-    folder, created once and remembered on the context.
+    Only a session on one machine may leave it unset; it gets a temporary
+    folder, created once and remembered on the context. On a cluster that
+    folder would be another one on every machine, so it is an error there.
     """
     context = spark.sparkContext
     named = spark.conf.get("spark.checkpoint.dir", None)
     current = context.getCheckpointDir()
     if named:
-        if current is None or named.rstrip("/") not in current:
+        if current is None or named.rstrip("/") not in (current.rstrip("/"), os.path.dirname(current.rstrip("/"))):
             context.setCheckpointDir(named)
         return named
     if current is None:
+        if not re.fullmatch(r"local(\[.*\])?", context.master):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         context.setCheckpointDir(tempfile.mkdtemp(prefix="packetloom-"))
         current = context.getCheckpointDir()
     return current
