@@ -12,6 +12,7 @@ from __future__ import annotations
 import json
 import os
 import re
+from itertools import islice
 
 import numpy as np
 
@@ -19,7 +20,7 @@ os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
 
 _RUN = re.compile(r" (?:\s|\Z)")
 _CUT = re.compile(r" (?=\S)")
-REMEMBERED = 300_000  # pieces kept per worker before memory starts anew
+REMEMBERED = 1_000_000  # pieces kept per worker; beyond that the later half, mostly rare pieces, is forgotten
 LONG_PIECE = 2_000  # characters; longer ones are not remembered
 
 _open: dict[str, PieceEncoder] = {}
@@ -91,8 +92,8 @@ class PieceEncoder:
         missing = {p for parts in cut for p in parts[1:] if p not in led}
         if missing:
             if len(led) > REMEMBERED:
-                led.clear()
-                missing = {p for parts in cut for p in parts[1:]}
+                led = self.led = dict(islice(led.items(), REMEMBERED // 2))
+                missing = {p for parts in cut for p in parts[1:] if p not in led}
             led.update(self.learn(missing))
         get = led.__getitem__
         out = [b"".join([self.ids_whole(parts[0]) if parts[0] else b"", *map(get, parts[1:])]) for parts in cut]
