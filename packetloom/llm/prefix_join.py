@@ -184,9 +184,9 @@ class Join:
             F.min(F.struct(F.xxhash64("element", "g").alias("order"), "g", "place")).over(lists).alias("partner"))
         entries = entries.where("long > 1 OR piece >= 0")
         return store(entries.select(
-            "element", "g", F.shiftright("place", 32).cast("int").alias("n"), F.col("place").cast("int").alias("at"), "piece",
+            "element", "g", F.shiftright("place", 32).cast("int").alias("n"), F.col("place").bitwiseAND(2**31 - 1).cast("int").alias("at"), "piece",
             F.col("partner.g").alias("g2"), F.shiftright("partner.place", 32).cast("int").alias("n2"),
-            F.col("partner.place").cast("int").alias("at2")), "shared")
+            F.col("partner.place").bitwiseAND(2**31 - 1).cast("int").alias("at2")), "shared")
 
     def first_pairs(self) -> DataFrame:
         """Each group with its list's random member, pieces of a list with each other, classes with their group's first."""
