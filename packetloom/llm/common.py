@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import gc
+import os
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
@@ -23,6 +25,18 @@ def store(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def release(spark: SparkSession, *tables: DataFrame) -> None:
+    """Delete stored tables that nothing reads any more, and let Spark's cleaner drop shuffle files of dead plans.
+
+    The cleaner acts when the driver's JVM collects garbage, which a driver that does little seldom does.
+    """
+    for path in {os.path.dirname(f) for t in tables for f in t.inputFiles()}:
+        place = spark._jvm.org.apache.hadoop.fs.Path(path)
+        place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
+    gc.collect()
+    spark._jvm.System.gc()
+
+
 def map_batches(df: DataFrame, fn: Callable[[dict[str, list]], dict[str, object]], schema: str) -> DataFrame:
     """Apply ``fn`` (columns as lists in, columns out) to every Arrow batch of ``df``."""
 

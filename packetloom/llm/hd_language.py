@@ -201,6 +201,15 @@ def learn(
     return {name: out[name] for name in sorted(out) if out[name].any()}
 
 
+def best_of(texts: list[str], unit: np.ndarray, dimension: int, seed: int) -> tuple[np.ndarray, np.ndarray]:
+    """Number of the nearest prototype and its cosine, negative ones as 0; -1 and -1.0 for a text without a letter."""
+    bundles = space(dimension, seed).bundle(list(range(len(texts))), texts, len(texts))
+    norms = np.linalg.norm(bundles, axis=1)
+    cosines = bundles @ unit.T / np.where(norms > 0, norms, 1.0)[:, None]
+    found = norms > 0
+    return np.where(found, cosines.argmax(axis=1), -1), np.where(found, cosines.max(axis=1).clip(0.0, 1.0), -1.0)
+
+
 def predict(
     docs: DataFrame, prototypes: dict[str, np.ndarray], id_col: str = "doc_id", text_col: str = "text",
     dimension: int = DIMENSION, seed: int = SEED, keep: tuple[str, ...] = (),
@@ -213,14 +222,9 @@ def predict(
         texts = [t or "" for t in columns["text"]]
         langs, scores = ["und"] * len(texts), [0.0] * len(texts)
         for part in few(texts) if names else ():
-            run = texts[part]
-            bundles = space(dimension, seed).bundle(list(range(len(run))), run, len(run))
-            norms = np.linalg.norm(bundles, axis=1)
-            cosines = bundles @ unit.T / np.where(norms > 0, norms, 1.0)[:, None]
-            for i in np.flatnonzero(norms > 0):
-                best = int(np.argmax(cosines[i]))
-                langs[part.start + i] = names[best]
-                scores[part.start + i] = float(min(1.0, max(0.0, cosines[i, best])))
+            best, cosine = best_of(texts[part], unit, dimension, seed)
+            for i in np.flatnonzero(best >= 0).tolist():
+                langs[part.start + i], scores[part.start + i] = names[best[i]], float(cosine[i])
         return {**{k: columns[k] for k in ("id", *keep)}, "lang_pred": langs, "score": scores}
 
     kinds = ", ".join(f"`{k}` {docs.schema[k].dataType.simpleString()}" for k in keep)
@@ -228,3 +232,23 @@ def predict(
     source = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"), *keep)
     found = map_batches(source, score, f"id {id_type}, {kinds + ', ' if kinds else ''}lang_pred string, score double")
     return found.withColumnRenamed("id", id_col)
+
+
+def keep_known(
+    docs: DataFrame, prototypes: dict[str, np.ndarray], least: float, text_col: str = "text", dimension: int = DIMENSION,
+    seed: int = SEED,
+) -> DataFrame:
+    """The rows whose text gets a language with a score of at least ``least``; columns and texts as they are."""
+    names = list(prototypes)
+    unit = np.array([v / np.linalg.norm(v) for v in prototypes.values()]).reshape(len(names), dimension)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            texts = [t or "" for t in batch.column(batch.schema.get_field_index(text_col)).to_pylist()]
+            kept = np.zeros(len(texts), dtype=bool)
+            for part in few(texts) if names else ():
+                _, scores = best_of(texts[part], unit, dimension, seed)
+                kept[part] = scores >= least
+            yield batch.filter(pa.array(kept))
+
+    return docs.mapInArrow(run, docs.schema)

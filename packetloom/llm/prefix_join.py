@@ -18,8 +18,9 @@ and verified. Pairs inside a component can add nothing, so no link between
 components is lost. Lists of frequent elements are dealt into pieces, each
 with its own random member; these meet one of their own.
 
-Pairs pass a size filter, a positional filter and a bound from 2048-bit
-signatures (bits that differ need an element that differs) before their sets
+Pairs pass a size filter, a positional filter, a bound from 2048-bit
+signatures (bits that differ need an element that differs) and, where such a
+signature would be full, the like bound from bucket counts, before their sets
 are made again from the texts and intersected. Only sets of such classes are
 shuffled.
 
@@ -39,12 +40,13 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from packetloom.llm.common import arrow_schema, batch_of, map_batches, store
+from packetloom.llm.common import arrow_schema, batch_of, map_batches, release, store
 from packetloom.llm.components import components
 
 WORDS, PERCENT = 5, 80
 BUCKETS = 1 << 17
 BITS = 2048
+LARGE, COUNTS = 1_000, 1_024
 LIST_PIECES = 64
 SIEVE_BITS = 1 << 22
 _REMEMBERED = 400_000
@@ -82,6 +84,12 @@ def bucket_of(hashes: np.ndarray) -> np.ndarray:
     return (hashes >> np.uint64(20)).astype(np.int64) & (BUCKETS - 1)
 
 
+def counted(found: np.ndarray) -> bytes:
+    """Elements in each of COUNTS buckets, one byte each, larger numbers as 255."""
+    at = ((found >> np.uint64(40)) & np.uint64(COUNTS - 1)).astype(np.int64)
+    return np.minimum(np.bincount(at, minlength=COUNTS), 255).astype(np.uint8).tobytes()
+
+
 def frequent_buckets(docs: DataFrame, text_col: str, words: int) -> np.ndarray:
     """Flags of the hash buckets with clearly more elements than the mean bucket."""
     types = arrow_schema(docs.sparkSession, "chunk int, counts array<long>")
@@ -102,18 +110,19 @@ def frequent_buckets(docs: DataFrame, text_col: str, words: int) -> np.ndarray:
 
     parts = docs.select(F.col(text_col).alias("text")).mapInArrow(count, "chunk int, counts array<long>")
     each = parts.select("chunk", F.posexplode("counts").alias("at", "n")).groupBy((F.col("chunk") * 1024 + F.col("at")).alias("bucket"))
-    counts = each.agg(F.sum("n").alias("n"))
-    mean = (counts.agg(F.sum("n")).first()[0] or 0) / BUCKETS
-    flags = np.zeros(BUCKETS, dtype=bool)
-    flags[[r.bucket for r in counts.where(F.col("n") > mean + 8 * sqrt(mean) + 16).select("bucket").collect()]] = True
-    return flags  # at most BUCKETS numbers whatever the data
+    # at most BUCKETS numbers whatever the data
+    found = each.agg(F.sum("n").alias("n")).collect()
+    counts = np.zeros(BUCKETS, dtype=np.int64)
+    counts[[r.bucket for r in found]] = [r.n for r in found]
+    mean = counts.mean()
+    return counts > mean + 8 * sqrt(mean) + 16
 
 
 def make_sets(docs: DataFrame, frequent: np.ndarray, id_col: str, text_col: str, words: int, percent: int) -> DataFrame:
-    """row, id, n, class key (s1, s2), prefix key (p1, p2), light, prefix, bits of every row."""
+    """row, id, n, class key (s1, s2), prefix key (p1, p2), light, prefix, bits and (of large sets) counts of every row."""
     id_type = docs.schema[id_col].dataType.simpleString()
     columns = (f"row long, id {id_type}, n int, s1 long, s2 long, p1 long, p2 long, light int, prefix array<long>, "
-               f"bits array<long>")
+               f"bits array<long>, counts binary")
     spread = docs.sparkSession.sparkContext.broadcast(np.packbits(frequent))
 
     def two(data: np.ndarray) -> tuple[int, int]:
@@ -121,7 +130,7 @@ def make_sets(docs: DataFrame, frequent: np.ndarray, id_col: str, text_col: str,
 
     def of_batch(batch: dict[str, list]) -> dict[str, object]:
         heavy_bucket = np.unpackbits(spread.value).astype(bool)
-        out = {k: [] for k in ("n", "s1", "s2", "p1", "p2", "light", "prefix", "bits")}
+        out = {k: [] for k in ("n", "s1", "s2", "p1", "p2", "light", "prefix", "bits", "counts")}
         for text in batch["text"]:
             found = shingles(text, words)
             n = len(found)
@@ -134,7 +143,8 @@ def make_sets(docs: DataFrame, frequent: np.ndarray, id_col: str, text_col: str,
             s1, s2 = two(found)
             p1, p2 = two(prefix)
             for k, v in (("n", n), ("s1", s1), ("s2", s2), ("p1", p1), ("p2", p2), ("light", min(len(light), size)),
-                         ("prefix", prefix.view(np.int64)), ("bits", np.packbits(marked).view(np.int64))):
+                         ("prefix", prefix.view(np.int64)), ("bits", np.packbits(marked).view(np.int64)),
+                         ("counts", counted(found) if n > LARGE else None)):
                 out[k].append(v)
         return {"row": batch["row"], "id": batch["id"], **out}
 
@@ -170,6 +180,7 @@ class Join:
             classes.join(grouped, ["n", "p1", "p2"], "left").select(
                 "c", "least", "n", "s1", "s2", F.coalesce("_g", "c").alias("g")), "classes")
         self.shared = self.index()
+        release(self.spark)
 
     def index(self) -> DataFrame:
         """Rows (element, g, n, at, heavy, piece, partner) of all lists with two groups or more."""
@@ -224,19 +235,31 @@ class Join:
 
     def verified(self, pairs: DataFrame) -> DataFrame:
         """The pairs (a, b) of classes whose sets reach the threshold."""
-        bits = self.sets.select("row", "n", "bits")
-        one = bits.select(F.col("row").alias("a"), F.col("n").alias("na"), F.col("bits").alias("xa"))
-        two = bits.select(F.col("row").alias("b"), F.col("n").alias("nb"), F.col("bits").alias("xb"))
-        differ = sum((F.bit_count(F.col("xa")[i].bitwiseXOR(F.col("xb")[i])) for i in range(1, BITS // 64)),
-                     F.bit_count(F.col("xa")[0].bitwiseXOR(F.col("xb")[0])))
+        mark = self.sets.select("row", "n", "bits", "counts", "s1", "s2")
+        one, two = ([F.col("row").alias(x)] + [F.col(c).alias(c + x) for c in ("n", "bits", "counts", "s1", "s2")] for x in "ab")
+        differ = sum((F.bit_count(F.col("bitsa")[i].bitwiseXOR(F.col("bitsb")[i])) for i in range(1, BITS // 64)),
+                     F.bit_count(F.col("bitsa")[0].bitwiseXOR(F.col("bitsb")[0])))
         # n - 2k elements differ, and 100 k >= percent (n - k)
-        total = F.col("na") + F.col("nb")
-        kept = store(
-            pairs.join(one, "a").join(two, "b")
-            .where((100 + self.percent) * differ <= (100 - self.percent) * total).select("a", "b", "na", "nb"), "candidates")
-        wanted = kept.select(F.col("a").alias("c")).union(kept.select("b")).distinct().join(self.classes, "c")
-        wanted = store(wanted.select("c", "n", "s1", "s2", "least"), "wanted")
+        more, less = 100 + self.percent, 100 - self.percent
+        near = pairs.join(mark.select(one), "a").join(mark.select(two), "b").where(more * differ <= less * (F.col("na") + F.col("nb")))
+
+        def close(batch: dict[str, list]) -> dict[str, object]:
+            kept = []
+            for i, (x, y) in enumerate(zip(batch["countsa"], batch["countsb"])):
+                if x and y:
+                    x, y = np.frombuffer(x, dtype=np.uint8).astype(np.int64), np.frombuffer(y, dtype=np.uint8).astype(np.int64)
+                    if more * int(np.abs(x - y).sum()) > less * (batch["na"][i] + batch["nb"][i]):
+                        continue
+                kept.append(i)
+            return {k: [batch[k][i] for i in kept] for k in names}
+
+        names = ("a", "b", "na", "s1a", "s2a", "nb", "s1b", "s2b")
+        kept = store(map_batches(
+            near.select(*names, "countsa", "countsb"), close,
+            "a long, b long, na int, s1a long, s2a long, nb int, s1b long, s2b long"), "candidates")
+        wanted = kept.select(F.col("a").alias("c")).union(kept.select("b")).distinct().join(self.classes, "c").select("least")
         sets = self.remade(wanted)
+        once = sets.groupBy("n", "s1", "s2").agg(F.first("set").alias("set"))
         percent = self.percent
 
         def meet(batch: dict[str, list]) -> dict[str, object]:
@@ -248,39 +271,46 @@ class Join:
                 linked.append(100 * both >= percent * (len(x) + len(y) - both))
             return {"a": batch["a"], "b": batch["b"], "linked": linked}
 
-        with_sets = kept.select("a", "b").join(sets.select(F.col("c").alias("a"), F.col("set").alias("sa")), "a").join(
-            sets.select(F.col("c").alias("b"), F.col("set").alias("sb")), "b")
+        of_a, of_b = (once.select(*[F.col(c).alias(c + x) for c in ("n", "s1", "s2")], F.col("set").alias("s" + x)) for x in "ab")
+        with_sets = kept.join(of_a, ["na", "s1a", "s2a"]).join(of_b, ["nb", "s1b", "s2b"])
         met = map_batches(with_sets.select("a", "b", "sa", "sb"), meet, "a long, b long, linked boolean")
-        return store(met.where("linked").select("a", "b"), "linked")
+        linked = store(met.where("linked").select("a", "b"), "linked")
+        release(self.spark, sets, kept)
+        return linked
 
     def remade(self, wanted: DataFrame) -> DataFrame:
-        """(c, set) of the wanted classes, from the texts of their first documents.
+        """(n, s1, s2, set) from the texts of the documents with the ids ``least`` of ``wanted``.
 
-        A table of SIEVE_BITS bits, set where a wanted document's id falls, goes
-        to the tasks, so that nearly only these texts are split into sets.
+        A table of SIEVE_BITS bits, set where such an id falls, goes to the
+        tasks: nearly only these texts are split into sets. Sets of other
+        documents that share a bit meet no pair. A task gives a set once.
         """
         place = F.pmod(F.xxhash64("least"), F.lit(SIEVE_BITS)).cast("int")
         sieve = np.zeros(SIEVE_BITS, dtype=bool)
         sieve[[r[0] for r in wanted.select(place).distinct().collect()]] = True
         spread = self.spark.sparkContext.broadcast(np.packbits(sieve))
         words = self.words
-
-        def remake(batch: dict[str, list]) -> dict[str, object]:
-            out = {k: [] for k in ("n", "s1", "s2", "set")}
-            flags = spread.value
-            for at, text in zip(batch["at"], batch["text"]):
-                if flags[at >> 3] & (128 >> (at & 7)):
-                    found = shingles(text, words)
-                    if len(found):
-                        s1, s2 = np.frombuffer(xxhash.xxh3_128_digest(found.tobytes()), dtype="<i8").tolist()
-                        for k, v in (("n", len(found)), ("s1", s1), ("s2", s2), ("set", found.tobytes())):
-                            out[k].append(v)
-            return out
-
-        source = self.docs.select(F.pmod(F.xxhash64(self.id_col), F.lit(SIEVE_BITS)).cast("int").alias("at"), F.col(self.text_col).alias("text"))
-        made = map_batches(source, remake, "n int, s1 long, s2 long, `set` binary")
-        # a class may come up twice (copies that share a sieve bit): one is enough
-        return store(made.join(wanted.select("c", "n", "s1", "s2"), ["n", "s1", "s2"]).select("c", "set").dropDuplicates(["c"]), "remade")
+        types = arrow_schema(self.spark, "n int, s1 long, s2 long, `set` binary")
+
+        def remake(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            flags, seen = spread.value, set()
+            for batch in batches:
+                batch = batch.to_pydict()
+                out = {k: [] for k in ("n", "s1", "s2", "set")}
+                for at, text in zip(batch["at"], batch["text"]):
+                    if flags[at >> 3] & (128 >> (at & 7)):
+                        found = shingles(text, words).tobytes()
+                        key = xxhash.xxh3_128_digest(found)
+                        if found and key not in seen:
+                            seen.add(key)
+                            s1, s2 = np.frombuffer(key, dtype="<i8").tolist()
+                            for k, v in (("n", len(found) // 8), ("s1", s1), ("s2", s2), ("set", found)):
+                                out[k].append(v)
+                yield batch_of(out, types)
+
+        source = self.docs.select(
+            F.pmod(F.xxhash64(self.id_col), F.lit(SIEVE_BITS)).cast("int").alias("at"), F.col(self.text_col).alias("text"))
+        return store(source.mapInArrow(remake, "n int, s1 long, s2 long, `set` binary"), "remade")
 
 
 def ordered(pairs: DataFrame) -> DataFrame:

@@ -7,7 +7,18 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from packetloom.llm import fm_decontam, hd_language, interleave_shards, prefix_join, token_counts, toxicity, vector_packing
+from packetloom.llm import (
+    fm_decontam,
+    hd_language,
+    interleave_shards,
+    license_scan,
+    multi_index,
+    pii_crf,
+    prefix_join,
+    token_counts,
+    toxicity,
+    vector_packing,
+)
 from packetloom.llm.common import remainder, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -98,3 +109,22 @@ reach AS (SELECT x, y FROM link UNION SELECT reach.x, link.y FROM reach JOIN lin
 SELECT d.doc_id, coalesce(n.n, 0) AS n_shingles, least(d.doc_id, coalesce(r.m, d.doc_id)) AS component_id
 FROM d LEFT JOIN n USING (doc_id) LEFT JOIN (SELECT x, min(y) AS m FROM reach GROUP BY 1) r ON r.x = d.doc_id
 """
+
+
+@query("op2_multi_index")
+def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
+    index = multi_index.MultiIndex(table(spark, sf_dir, "embeddings"), "vec_id", "embedding")
+    return index.search(F.col("id") % 100 == 0)
+
+
+@query("op7_license_scan")
+def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    found = license_scan.scan(docs, license_scan.train(docs))
+    return found.select("doc_id", "n_paragraphs", F.size("licenses").cast("long").alias("n_licenses"), "families", "n_unsure")
+
+
+@query("op10_pii_crf")
+def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return pii_crf.find(docs, pii_crf.learn(docs))
