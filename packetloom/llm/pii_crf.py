@@ -16,7 +16,8 @@ least ``sure`` for one kind become spans, neighbours of one kind joined.
 
 Weights are fitted to the labels that the patterns give (pseudo-likelihood,
 with the neighbours' labels known), from counts of
-(shape, neighbour labels, agreeing links, label) over all documents. These
+(shape, neighbour labels, agreeing links, label) over all documents, without
+the tokens that no pattern found but a link ties to a found one. These
 counts have a bound that does not depend on the data, and only they reach the
 driver. The fit sees a token's shape, not whether a pattern matched it.
 
@@ -186,6 +187,8 @@ def patterns_in(graph: Graph) -> Counter:
     np.add.at(links, (skip[:, 0], label[skip[:, 1]]), 1)
     np.add.at(links, (skip[:, 1], label[skip[:, 0]]), 1)
     rows = np.column_stack([shapes, left, right, np.minimum(links, MOST_LINKS), label])
+    # a token that no pattern found but a link ties to a found one may be what the pattern missed: it teaches nothing
+    rows = rows[(label != OTHER) | (links[:, :OTHER].sum(axis=1) == 0)]
     return Counter(map(tuple, rows.tolist()))
 
 
