@@ -6,10 +6,11 @@ tokens that hold a digit, ``@`` or ``+``, and those inside a pattern's span,
 whose label is given; every other token can only be "other" and enters as a
 constant. Three kinds of potentials score a labelling: token shape and label;
 labels of neighbouring tokens; and, along the skip chain, agreement of a
-token with the previous and next token of the same kind in the document (equal
-token, equal last ten digits, or equal part before ``@``; at least five
-characters, so short numbers link nothing). A token repeated a thousand times is a chain of a
-thousand links, not all pairs. Loopy belief propagation passes messages over
+token with the previous and next similar token of the document and with the
+first similar one that a pattern found (similar: equal token, equal last ten
+digits, or equal part before ``@``; at least five characters, so short numbers
+link nothing). A token repeated a thousand times has two thousand links, not
+all pairs. Loopy belief propagation passes messages over
 all links of a batch of documents at once; what a pattern found in one place
 thus reaches the places where the pattern fails. Tokens with a marginal of at
 least ``sure`` for one kind become spans, neighbours of one kind joined.
@@ -46,7 +47,7 @@ LABELS = OTHER + 1
 SURE = 0.9
 ROUNDS = 12
 MOST_LINKS = 2  # agreeing links counted per label in training
-AGREE = 2.0  # where the agreement weight starts, and stays if no training token has a link
+AGREE = 8.0  # where the agreement weight starts: tokens that share ten digits or a name are nearly always of one kind
 
 _DOMAIN = re.compile(r"[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
 _IP = re.compile(r"(?<![0-9])[0-9]++\.[0-9]++\.[0-9]++\.[0-9]++")
@@ -126,7 +127,7 @@ class Graph:
         self.skip: list[tuple[int, int]] = []
 
     def add(self, doc: int, text: str, spans: list[tuple[int, int, int]]) -> None:
-        last_of: dict[str, int] = {}
+        alike: dict[str, list[int]] = {}
         number_of_last, k = -2, 0
         for number, m in enumerate(_TOKEN.finditer(text)):
             start, end = m.span()
@@ -146,9 +147,12 @@ class Graph:
                 self.chain.append((node - 1, node))
             number_of_last = number
             for key in keys(word, text[inside[0] : inside[2]] if inside and inside[2] <= end else ""):
-                if key in last_of and last_of[key] != node:
-                    self.skip.append((last_of[key], node))
-                last_of[key] = node
+                alike.setdefault(key, []).append(node)
+        for nodes in alike.values():
+            self.skip += zip(nodes, nodes[1:])
+            found = next((i for i in nodes if self.given[i] >= 0), None)
+            if found is not None:
+                self.skip += [(min(i, found), max(i, found)) for i in nodes if self.given[i] < 0]
 
     def arrays(self) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
         chain = np.array(self.chain, dtype=np.int64).reshape(-1, 2)
@@ -183,12 +187,15 @@ def patterns_in(graph: Graph) -> Counter:
     label = np.where(given < 0, OTHER, given)
     left, right = np.full(n, OTHER), np.full(n, OTHER)
     right[chain[:, 0]], left[chain[:, 1]] = label[chain[:, 1]], label[chain[:, 0]]
+    # a token that no pattern found but a link ties to a found one may be what the pattern missed: it teaches nothing
+    open_ends = np.concatenate([skip, skip[:, ::-1]])
+    unsure = np.zeros(n, dtype=bool)
+    unsure[open_ends[(given[open_ends[:, 0]] < 0) & (given[open_ends[:, 1]] >= 0), 0]] = True
+    skip = skip[~unsure[skip].any(axis=1)]
     links = np.zeros((n, LABELS), dtype=np.int64)
     np.add.at(links, (skip[:, 0], label[skip[:, 1]]), 1)
     np.add.at(links, (skip[:, 1], label[skip[:, 0]]), 1)
-    rows = np.column_stack([shapes, left, right, np.minimum(links, MOST_LINKS), label])
-    # a token that no pattern found but a link ties to a found one may be what the pattern missed: it teaches nothing
-    rows = rows[(label != OTHER) | (links[:, :OTHER].sum(axis=1) == 0)]
+    rows = np.column_stack([shapes, left, right, np.minimum(links, MOST_LINKS), label])[~unsure]
     return Counter(map(tuple, rows.tolist()))
 
 
