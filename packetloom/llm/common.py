@@ -13,6 +13,9 @@ from pyspark.sql import functions as F
 from packetloom.session import scratch_path
 
 
+ROWS_AT_ONCE = 2_000  # of an Arrow batch, so that whole texts and what is made of them stay small in memory
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
@@ -42,8 +45,8 @@ def map_batches(df: DataFrame, fn: Callable[[dict[str, list]], dict[str, object]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            if batch.num_rows:
-                yield batch_of(fn(batch.to_pydict()), types)
+            for start in range(0, batch.num_rows, ROWS_AT_ONCE):
+                yield batch_of(fn(batch.slice(start, ROWS_AT_ONCE).to_pydict()), types)
 
     types = arrow_schema(df.sparkSession, schema)
     return df.mapInArrow(run, schema)

@@ -183,20 +183,25 @@ class Join:
         release(self.spark)
 
     def index(self) -> DataFrame:
-        """Rows (element, g, n, at, heavy, piece, partner) of all lists with two groups or more."""
-        entries = self.sets.join(self.groups.select(F.col("g").alias("row")), "row", "left_semi").select(
-            F.col("row").alias("g"), "n", "light", F.posexplode("prefix").alias("at", "element"))
+        """Rows (element, g, n, at, piece, again, partner) of all lists with two groups or more.
+
+        ``again``: the first round does not meet all pairs of the list, as it has more than two groups, is one piece
+        of several, or holds a group of several classes.
+        """
+        chosen = self.groups.select(F.col("g").alias("row"), "members")
+        entries = self.sets.select("row", "n", "light", "prefix").join(chosen, "row").select(
+            F.col("row").alias("g"), "n", "light", "members", F.posexplode("prefix").alias("at", "element"))
         entries = entries.select(
-            "element", "g", (F.shiftleft(F.col("n").cast("long"), 32) + F.col("at")).alias("place"),
+            "element", "g", "members", (F.shiftleft(F.col("n").cast("long"), 32) + F.col("at")).alias("place"),
             F.when(F.col("at") >= F.col("light"), F.pmod(F.xxhash64("g"), F.lit(LIST_PIECES))).otherwise(-1).cast("int").alias("piece"))
         lists = Window.partitionBy("element", "piece")
         entries = entries.select(
-            "*", F.count("*").over(lists).alias("long"),
+            "*", F.count("*").over(lists).alias("long"), F.max("members").over(lists).alias("most"),
             F.min(F.struct(F.xxhash64("element", "g").alias("order"), "g", "place")).over(lists).alias("partner"))
         entries = entries.where("long > 1 OR piece >= 0")
         return store(entries.select(
-            "element", "g", F.shiftright("place", 32).cast("int").alias("n"), F.col("place").bitwiseAND(2**31 - 1).cast("int").alias("at"), "piece",
-            F.col("partner.g").alias("g2"), F.shiftright("partner.place", 32).cast("int").alias("n2"),
+            "element", "g", "members", F.shiftright("place", 32).cast("int").alias("n"), F.col("place").bitwiseAND(2**31 - 1).cast("int").alias("at"), "piece",
+            F.expr("long > 2 OR piece >= 0 OR most > 1").alias("again"), F.col("partner.g").alias("g2"), F.shiftright("partner.place", 32).cast("int").alias("n2"),
             F.col("partner.place").bitwiseAND(2**31 - 1).cast("int").alias("at2")), "shared")
 
     def first_pairs(self) -> DataFrame:
@@ -217,12 +222,16 @@ class Join:
         placed = self.classes.join(roots.withColumnRenamed("node", "c"), "c", "left").select(
             "c", "g", F.coalesce("root", "c").alias("root"))
         of_group = placed.select("g", "root").distinct()
-        rows = self.shared.select("element", "g", "n", "at").join(of_group, "g")
+        rows = self.shared.where("again").select("element", "g", "n", "at", "members").join(of_group, "g")
         split = rows.groupBy("element").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).where("lo < hi").select("element")
-        left = store(rows.join(split, "element", "left_semi"), "left")
-        right = left.select("element", F.col("g").alias("g2"), F.col("n").alias("n2"), F.col("at").alias("at2"), F.col("root").alias("root2"))
+        bits = self.sets.select(F.col("row").alias("g"), "bits")
+        left = store(rows.join(split, "element", "left_semi").join(bits, "g")
+                     # the signature is the first class's: it says nothing of a group's other classes
+                     .withColumn("bits", F.when(F.col("members") == 1, F.col("bits"))), "left")
+        right = left.select("element", *[F.col(c).alias(c + "2") for c in ("g", "n", "at", "root", "bits")])
         met = left.join(right, "element").where(
-            (F.col("root") < F.col("root2")) & near_enough("n", "n2", "at", "at2", self.percent))
+            (F.col("root") < F.col("root2")) & near_enough("n", "n2", "at", "at2", self.percent)
+            & F.coalesce(self.bits_allow("bits", "bits2", "n", "n2"), F.lit(True)))
         met = met.select("g", "root", "g2", "root2").distinct()
         several = of_group.groupBy("g").agg(F.count("*").alias("k")).where("k > 1").select("g")
         same = of_group.join(several, "g", "left_semi")
@@ -233,15 +242,18 @@ class Join:
         pairs = met.join(placed.withColumnRenamed("c", "a"), ["g", "root"]).join(ends, ["g2", "root2"])
         return ordered(pairs.select("a", "b")).join(seen, ["a", "b"], "left_anti")
 
+    def bits_allow(self, bits: str, bits2: str, n: str, n2: str) -> F.Column:
+        """Not more bits differ than elements may: n + n2 - 2 k of them, where 100 k >= percent (n + n2 - k)."""
+        x, y = F.col(bits), F.col(bits2)
+        differ = sum((F.bit_count(x[i].bitwiseXOR(y[i])) for i in range(1, BITS // 64)), F.bit_count(x[0].bitwiseXOR(y[0])))
+        return (100 + self.percent) * differ <= (100 - self.percent) * (F.col(n) + F.col(n2))
+
     def verified(self, pairs: DataFrame) -> DataFrame:
         """The pairs (a, b) of classes whose sets reach the threshold."""
         mark = self.sets.select("row", "n", "bits", "counts", "s1", "s2")
         one, two = ([F.col("row").alias(x)] + [F.col(c).alias(c + x) for c in ("n", "bits", "counts", "s1", "s2")] for x in "ab")
-        differ = sum((F.bit_count(F.col("bitsa")[i].bitwiseXOR(F.col("bitsb")[i])) for i in range(1, BITS // 64)),
-                     F.bit_count(F.col("bitsa")[0].bitwiseXOR(F.col("bitsb")[0])))
-        # n - 2k elements differ, and 100 k >= percent (n - k)
         more, less = 100 + self.percent, 100 - self.percent
-        near = pairs.join(mark.select(one), "a").join(mark.select(two), "b").where(more * differ <= less * (F.col("na") + F.col("nb")))
+        near = pairs.join(mark.select(one), "a").join(mark.select(two), "b").where(self.bits_allow("bitsa", "bitsb", "na", "nb"))
 
         def close(batch: dict[str, list]) -> dict[str, object]:
             kept = []
