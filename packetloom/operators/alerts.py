@@ -86,12 +86,12 @@ def metrics(alerts: DataFrame, packets: DataFrame) -> DataFrame:
     )
 
 
-def flagged_ips(alerts: DataFrame, scanners: DataFrame, targets: DataFrame, limit: int | None = 100) -> DataFrame:
+def flagged_ips(alerts: DataFrame, scanners: DataFrame, targets: DataFrame, limit: int | None = None) -> DataFrame:
     """Addresses named by alerts, scanners or targets: count, worst severity, reasons.
 
     The three sources are stacked as long rows and grouped once, which costs one
-    shuffle instead of two outer joins. ``limit`` bounds the alerts considered,
-    newest first; None takes all.
+    shuffle instead of two outer joins. All alerts count; a screen may pass a
+    ``limit`` to consider the newest only.
     """
     chosen = alerts if limit is None else recent(alerts, limit)
     named = chosen.select(

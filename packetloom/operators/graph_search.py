@@ -130,12 +130,12 @@ def closeness(edge_table: DataFrame, sources: DataFrame | None = None) -> DataFr
     return sums.select("ip", "reachable", "total_distance", F.round(value, 4).alias("centrality"))
 
 
-def approximate_closeness(edge_table: DataFrame, precision: int = 12, max_rounds: int = 64) -> DataFrame:
+def approximate_closeness(edge_table: DataFrame, precision: int = 12) -> DataFrame:
     """Closeness of all vertices from HyperLogLog balls (Boldi & Vigna, 2013).
 
     Each round merges the neighbours' sketches, so the state is one sketch per
     vertex; growth of the estimated ball from hop to hop gives the distance sum.
-    Stops when no estimate grows.
+    Stops when no estimate grows, however far the last vertex is.
     """
     steps = cut(symmetric(undirected(edge_table)))
     everyone = edge_table.select(F.explode(F.array("src_ip", "dst_ip")).alias("ip")).distinct()
@@ -145,7 +145,9 @@ def approximate_closeness(edge_table: DataFrame, precision: int = 12, max_rounds
         )
     )
     n = everyone.agg(F.count("*")).scalar()
-    for hop in range(1, max_rounds + 1):
+    hop = 0
+    while True:
+        hop += 1
         incoming = skew_join(
             steps, state.select(F.col("ip").alias("u"), "sketch"), ["u"], ["v"]
         ).select(F.col("v").alias("ip"), "sketch")

@@ -14,14 +14,32 @@ def _minutes(n: float) -> Column:
 
 
 def latest(df: DataFrame, column: str = "timestamp") -> Column:
-    """Newest event time as a scalar subquery, the default for every ``as_of``."""
+    """Newest event time as a scalar subquery, the default for every ``as_of``.
+
+    Of a log partitioned by ``dt`` only the newest day is read.
+    """
+    if "dt" in df.columns:
+        df = df.where(F.col("dt") == df.agg(F.max("dt")).scalar())
     return df.agg(F.max(column)).scalar()
 
 
 def since(df: DataFrame, minutes: float, as_of=None) -> DataFrame:
-    """Rows of the last ``minutes`` up to the event time ``as_of``."""
+    """Rows of the last ``minutes`` up to the event time ``as_of``; prunes ``dt`` partitions when present."""
+    return df.where(_not_before(df, _cutoff(df, minutes, as_of)))
+
+
+def _cutoff(df: DataFrame, minutes: float, as_of=None) -> Column:
     anchor = latest(df) if as_of is None else F.lit(as_of).cast("timestamp_ntz")
-    return df.where(F.col("timestamp") >= anchor - _minutes(minutes))
+    return anchor - _minutes(minutes)
+
+
+def _not_before(df: DataFrame, cutoff: Column) -> Column:
+    kept = F.col("timestamp") >= cutoff
+    return kept & (F.col("dt") >= cutoff.cast("date")) if "dt" in df.columns else kept
+
+
+def _recent(df: DataFrame, minutes: float | None, as_of) -> DataFrame:
+    return df if minutes is None else since(df, minutes, as_of)
 
 
 # --- filters ----------------------------------------------------------------
@@ -66,9 +84,11 @@ def capture_filter(packets: DataFrame, protocol=None, port=None, host=None, net_
 
 def split_retention(logs: DataFrame, days: float = 7, as_of=None) -> tuple[DataFrame, DataFrame]:
     """(kept, expired) around ``as_of - days``; the cutoff itself is kept."""
-    anchor = latest(logs) if as_of is None else F.lit(as_of).cast("timestamp_ntz")
-    cutoff = anchor - _minutes(days * 1440)
-    return logs.where(F.col("timestamp") >= cutoff), logs.where(F.col("timestamp") < cutoff)
+    cutoff = _cutoff(logs, days * 1440, as_of)
+    expired = F.col("timestamp") < cutoff
+    if "dt" in logs.columns:
+        expired &= F.col("dt") <= cutoff.cast("date")
+    return logs.where(_not_before(logs, cutoff)), logs.where(expired)
 
 
 def retention_counts(logs: DataFrame, days: float = 7, as_of=None) -> DataFrame:
@@ -90,28 +110,33 @@ def packet_count_by_ip(packets: DataFrame, minutes: float, as_of=None, ip: str |
 
 def traffic_totals(packets: DataFrame, minutes: float | None = None, as_of=None, approximate=False) -> DataFrame:
     """Packets, bytes, mean size and distinct endpoints as one row (zeros when empty)."""
-    rows = packets if minutes is None else since(packets, minutes, as_of)
+    rows = _recent(packets, minutes, as_of)
+    n, size, sized = F.count("*"), F.sum("packet_size"), F.count("packet_size")
+    if not approximate:
+        # one row per pair first: packets are read once and not repeated per distinct count
+        rows = rows.groupBy("src_ip", "dst_ip").agg(n.alias("n"), size.alias("size"), sized.alias("sized"))
+        n, size, sized = F.coalesce(F.sum("n"), F.lit(0)), F.sum("size"), F.sum("sized")
     distinct = F.approx_count_distinct if approximate else F.count_distinct
     return rows.agg(
-        F.count("*").alias("packet_count"),
-        F.coalesce(F.sum("packet_size"), F.lit(0)).alias("total_bytes"),
-        F.coalesce(F.sum("packet_size") / F.count("packet_size"), F.lit(0.0)).alias("avg_packet_size"),
+        n.alias("packet_count"),
+        F.coalesce(size, F.lit(0)).alias("total_bytes"),
+        F.coalesce(size / sized, F.lit(0.0)).alias("avg_packet_size"),
         distinct("src_ip").alias("unique_sources"),
         distinct("dst_ip").alias("unique_destinations"),
     )
 
 
-def protocol_distribution(packets: DataFrame) -> DataFrame:
+def protocol_distribution(packets: DataFrame, minutes: float | None = None, as_of=None) -> DataFrame:
     return (
-        packets.groupBy("protocol")
+        _recent(packets, minutes, as_of).groupBy("protocol")
         .agg(F.count("*").alias("packet_count"))
         .orderBy(F.desc("packet_count"), "protocol")
     )
 
 
-def top_sources(packets: DataFrame, limit: int = 10) -> DataFrame:
+def top_sources(packets: DataFrame, limit: int = 10, minutes: float | None = None, as_of=None) -> DataFrame:
     return (
-        packets.groupBy("src_ip")
+        _recent(packets, minutes, as_of).groupBy("src_ip")
         .agg(F.count("*").alias("packet_count"), F.sum("packet_size").alias("total_bytes"))
         .orderBy(F.desc("packet_count"), "src_ip")
         .limit(limit)
@@ -127,7 +152,8 @@ def bandwidth_hogs(packets: DataFrame, k: int = 5) -> DataFrame:
     )
 
 
-def anomaly_trend(logs: DataFrame) -> DataFrame:
+def anomaly_trend(logs: DataFrame, minutes: float | None = None, as_of=None) -> DataFrame:
+    logs = _recent(logs, minutes, as_of)
     n = F.greatest(F.count("*"), F.lit(1))
     bad = F.count_if("is_anomaly")
     good = F.count_if(~F.col("is_anomaly"))

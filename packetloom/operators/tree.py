@@ -16,6 +16,8 @@ from pyspark.sql import functions as F
 from packetloom.operators import ordering
 from packetloom.session import cut
 
+LEAST_GAIN = 1e-12  # less is rounding noise
+
 NODE_SCHEMA = (
     "node_id INT, depth INT, feature INT, feature_name STRING, threshold DOUBLE, left INT, right INT, "
     "class STRING, samples BIGINT, gain DOUBLE"
@@ -92,10 +94,10 @@ def split_gains(
 
 def best_splits(gains: DataFrame, rows: DataFrame, columns: Sequence[str], node: str = "node") -> DataFrame:
     """The best split per node: highest gain, then lowest feature, then lowest threshold."""
-    order = F.struct("gain", (-F.col("feature")).alias("f"), (-F.col("value")).alias("v"))
+    order = F.struct(F.round("gain", 9).alias("gain"), (-F.col("feature")).alias("f"), (-F.col("value")).alias("v"))
     others = [c for c in gains.columns if c != node]
     best = gains.groupBy(node).agg(F.max_by(F.struct(*others), order).alias("b")).select(node, "b.*")
-    best = cut(best.where(F.col("gain") > 0))
+    best = cut(best.where(F.col("gain") > LEAST_GAIN))
     # The threshold is the midpoint to the next larger value of that feature in the node.
     value = F.get(F.array(*[F.col(c).cast("double") for c in columns]), F.col("feature"))
     following = (

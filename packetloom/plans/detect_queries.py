@@ -2,13 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from packetloom.operators import alerts, detect, graph, ordering, traffic
+from packetloom.operators import alerts, detect, graph, ml_detect, ordering, traffic
 from packetloom.plans.detect_sql import ALERTS, DETECTIONS, EMIT, ROLL_SQL, RULES_SQL, STATISTICAL_SQL
 from packetloom.plans.registry import LOGS_SQL, query
-from packetloom.sources.packets import current_alerts, load_packets, to_traffic_log
+from packetloom.session import cut, scratch_path
+from packetloom.sources.packets import current_alerts, load_packets, read_alerts, to_traffic_log, write_alerts
 
 LEAN = ["id", "timestamp", "src_ip", "dst_ip", "src_port", "dst_port", "protocol", "packet_size", "flags"]
 
@@ -27,7 +27,8 @@ def _show(detections):
 
 
 def _alerts(spark, sf):
-    return alerts.from_detections(detect.detect_all(load_packets(spark, sf)))
+    """The alert table, written once: queries that read it twice do not detect twice."""
+    return cut(alerts.from_detections(detect.detect_all(load_packets(spark, sf))))
 
 
 # --- order ----------------------------------------------------------------------
@@ -80,40 +81,25 @@ def every_nth(spark, sf):
     return ordering.every_nth(_index(spark, sf, ["id", "timestamp"]), 10).select("id", "i")
 
 
-def recent_endpoints(idx, rows=10):
-    """Addresses of the last ``rows`` packets at every packet, sorted."""
-    frame = W.partitionBy("_block").orderBy("i").rowsBetween(-(rows - 1), 0)
-    return (
-        ordering.with_halo(idx, rows - 1)
-        .withColumn("_src", F.collect_set("src_ip").over(frame))
-        .withColumn("_dst", F.collect_set("dst_ip").over(frame))
-        .where("_own")
-        .withColumn("related", F.array_sort(F.array_union("_src", "_dst")))
-        .drop("_block", "_own", "_src", "_dst")
-    )
+LAST_SQL = """SELECT id, i, array_to_string(list_sort(list_distinct(list_concat(s, d))), ',') AS related FROM (
+    SELECT id, i, list(src_ip) OVER w AS s, list(dst_ip) OVER w AS d FROM ix
+    WINDOW w AS (ORDER BY i ROWS 9 PRECEDING)) q"""
 
 
-@query(
-    "last10_ips",
-    """SELECT id, i, array_to_string(list_sort(list_distinct(list_concat(s, d))), ',') AS related FROM (
-    SELECT id, i, list(src_ip) OVER w AS s, list(dst_ip) OVER w AS d FROM ix
-    WINDOW w AS (ORDER BY i ROWS 9 PRECEDING)) q WHERE i % 10 = 0""",
-    ROLL_SQL,
-)
+def _related(spark, sf, every):
+    rows = ml_detect.recent_endpoints(_index(spark, sf, ["id", "timestamp", "src_ip", "dst_ip"]), 10, every)
+    return rows.select("id", "i", F.array_join("related", ",").alias("related"))
+
+
+@query("last10_ips", LAST_SQL, ROLL_SQL)
 def last10_ips(spark, sf):
-    rows = recent_endpoints(_index(spark, sf, ["id", "timestamp", "src_ip", "dst_ip"]))
-    return rows.where("i % 10 = 0").select("id", "i", F.array_join("related", ",").alias("related"))
+    return _related(spark, sf, 1)
 
 
-@query(
-    "related_ips",
-    "SELECT packet_id, rule_order, array_to_string(list_sort(list_distinct(related_ips)), ',') AS related FROM det",
-    DETECTIONS,
-)
+@query("related_ips", LAST_SQL + " WHERE i % 10 = 0", ROLL_SQL)
 def related_ips(spark, sf):
-    det = detect.detect_all(load_packets(spark, sf))
-    union = F.array_sort(F.array_union("related_ips", F.array().cast("array<string>")))
-    return det.select("packet_id", "rule_order", F.array_join(union, ",").alias("related"))
+    """As the model detector names them, at every tenth packet."""
+    return _related(spark, sf, 10)
 
 
 @query(
@@ -226,8 +212,11 @@ def alerts_from_traffic(spark, sf):
     ALERTS,
 )
 def scan_alerts(spark, sf):
-    table = _alerts(spark, sf)
-    state = current_alerts(table, alerts.resolve(table, F.expr("id % 3 = 0"), 5))
+    """The stored alert log with its resolutions."""
+    path = scratch_path(spark, "alerts")
+    write_alerts(_alerts(spark, sf), path)
+    stored = read_alerts(spark, path)
+    state = read_alerts(spark, path, alerts.resolve(stored, F.expr("id % 3 = 0"), 5))
     return state.select("id", "timestamp", "alert_type", "severity", "packet_count", "resolved_at", "is_resolved")
 
 
@@ -314,7 +303,7 @@ def table_stats(spark, sf):
     """SELECT ip, CAST(sum(c) AS BIGINT) AS alert_count, max(severity) AS highest_severity,
     array_to_string(list_sort(list(DISTINCT reason)), ', ') AS reasons FROM (
       SELECT unnest([src_ip, dst_ip]) AS ip, 1 AS c, severity, alert_type AS reason
-      FROM (SELECT * FROM alerts ORDER BY timestamp DESC, id DESC LIMIT 100) a
+      FROM alerts
       UNION ALL SELECT src_ip, 0, 2, 'port_scan' FROM packets GROUP BY src_ip HAVING count(DISTINCT dst_ip) >= 10
       UNION ALL SELECT dst_ip, 0, 3, 'ddos_suspect' FROM packets GROUP BY dst_ip HAVING count(DISTINCT src_ip) >= 10) q
     WHERE ip IS NOT NULL GROUP BY ip""",

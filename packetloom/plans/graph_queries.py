@@ -36,9 +36,10 @@ components AS (SELECT a AS ip, min(b) AS component FROM reach GROUP BY a)
 """
 
 DISTANCE_SQL = """
-hops(source, ip, distance) AS (SELECT ip, ip, 0 FROM vertices
-  UNION SELECT h.source, x.v, h.distance + 1 FROM hops h JOIN adj x ON h.ip = x.u WHERE h.distance < 12),
-dist AS (SELECT source, ip, min(distance) AS distance FROM hops GROUP BY 1, 2)
+hops(source, ip, distance) USING KEY (source, ip) AS (SELECT ip, ip, 0 FROM vertices
+  UNION SELECT h.source, x.v, min(h.distance) + 1 FROM hops h JOIN adj x ON h.ip = x.u
+  WHERE NOT EXISTS (SELECT 1 FROM recurring.hops r WHERE r.source = h.source AND r.ip = x.v) GROUP BY 1, 2),
+dist AS (SELECT * FROM hops)
 """
 
 CLUSTER_SQL = """
@@ -129,6 +130,16 @@ def most_central(spark, sf):
     return graph.most_central(_vertices(spark, sf), 5, "degree")
 
 
+@query("most_central_in", CENTRAL.format("in_degree") + " ORDER BY 2 DESC, 1 LIMIT 5", GRAPH_SQL)
+def most_central_in(spark, sf):
+    return graph.most_central(_vertices(spark, sf), 5, "in_degree")
+
+
+@query("most_central_out", CENTRAL.format("out_degree") + " ORDER BY 2 DESC, 1 LIMIT 5", GRAPH_SQL)
+def most_central_out(spark, sf):
+    return graph.most_central(_vertices(spark, sf), 5, "out_degree")
+
+
 @query(
     "high_degree",
     "SELECT v.* FROM vertices v, dstats s WHERE degree > mean + 2.0 * std_dev",
@@ -168,19 +179,22 @@ def ddos_targets(spark, sf):
     return graph.ddos_targets(_edges(spark, sf), 10)
 
 
-@query(
-    "isolated",
-    """SELECT DISTINCT '10.0.' || CAST(c_custkey // 250 AS VARCHAR) || '.' || CAST(c_custkey % 250 AS VARCHAR) AS ip
-    FROM customer WHERE '10.0.' || CAST(c_custkey // 250 AS VARCHAR) || '.' || CAST(c_custkey % 250 AS VARCHAR)
-    NOT IN (SELECT ip FROM vertices)""",
-    GRAPH_SQL,
-)
-def isolated(spark, sf):
-    """Hosts of an inventory (here: one per customer) that never appear in the traffic."""
-    hosts = spark.read.parquet(f"{sf}/customer.parquet").selectExpr(
+def _hosts(spark, sf):
+    """An inventory of hosts, here one per customer."""
+    return spark.read.parquet(f"{sf}/customer.parquet").selectExpr(
         "'10.0.' || CAST(c_custkey DIV 250 AS STRING) || '.' || CAST(c_custkey % 250 AS STRING) AS ip"
     )
-    return graph.isolated(hosts, _edges(spark, sf))
+
+
+ISOLATED_SQL = """SELECT DISTINCT '10.0.' || CAST(c_custkey // 250 AS VARCHAR) || '.' || CAST(c_custkey % 250 AS VARCHAR)
+    AS ip FROM customer WHERE '10.0.' || CAST(c_custkey // 250 AS VARCHAR) || '.' || CAST(c_custkey % 250 AS VARCHAR)
+    NOT IN (SELECT ip FROM vertices)"""
+
+
+@query("isolated", ISOLATED_SQL, GRAPH_SQL)
+def isolated(spark, sf):
+    """Hosts of an inventory that never appear in the traffic."""
+    return graph.isolated(_hosts(spark, sf), _edges(spark, sf))
 
 
 @query(
@@ -284,7 +298,7 @@ def connected_components(spark, sf):
 
 @query("local_clustering", "SELECT * FROM local", [GRAPH_SQL, CLUSTER_SQL])
 def local_clustering(spark, sf):
-    return graph_search.local_clustering(_edges(spark, sf))
+    return graph_search.local_clustering(cut(_edges(spark, sf)))
 
 
 @query(
@@ -293,12 +307,12 @@ def local_clustering(spark, sf):
     [GRAPH_SQL, CLUSTER_SQL],
 )
 def avg_clustering(spark, sf):
-    return graph_search.average_clustering(graph_search.local_clustering(_edges(spark, sf)))
+    return graph_search.average_clustering(graph_search.local_clustering(cut(_edges(spark, sf))))
 
 
 @query("bfs_distances", "SELECT * FROM dist", [GRAPH_SQL, DISTANCE_SQL])
 def bfs_distances(spark, sf):
-    return graph_search.bfs_distances(_edges(spark, sf))
+    return graph_search.bfs_distances(cut(_edges(spark, sf)))
 
 
 CLOSENESS_SQL = """SELECT source AS ip, count(*) FILTER (distance > 0) AS reachable,
@@ -323,9 +337,9 @@ def closeness_approx(spark, sf):
     """SELECT CAST(distance AS INT) AS step, ip FROM walk""",
     [
         GRAPH_SQL,
-        """hops(ip, distance) AS (SELECT '10.0.0.8', 0 UNION SELECT x.v, h.distance + 1 FROM hops h
-          JOIN adj x ON h.ip = x.u WHERE h.distance < 12),
-        dist AS (SELECT ip, min(distance) AS distance FROM hops GROUP BY 1),
+        """hops(ip, distance) USING KEY (ip) AS (SELECT '10.0.0.8', 0 UNION SELECT x.v, min(h.distance) + 1 FROM hops h
+          JOIN adj x ON h.ip = x.u WHERE NOT EXISTS (SELECT 1 FROM recurring.hops r WHERE r.ip = x.v) GROUP BY 1),
+        dist AS (SELECT * FROM hops),
         walk(ip, distance) AS (SELECT ip, distance FROM dist WHERE ip = '10.0.0.98'
           UNION ALL SELECT (SELECT min(x.v) FROM adj x JOIN dist d ON d.ip = x.v AND d.distance = w.distance - 1
             WHERE x.u = w.ip), w.distance - 1 FROM walk w WHERE w.distance > 0)""",
@@ -348,8 +362,9 @@ def shortest_path(spark, sf):
     UNION ALL SELECT 'top_out_degree', * FROM ({CENTRAL.format('out_degree')} ORDER BY 2 DESC, 1 LIMIT 5) e
     UNION ALL SELECT 'potential_scanners', ip, out_degree FROM vertices WHERE out_degree >= 10
     UNION ALL SELECT 'potential_ddos_targets', ip, in_degree FROM vertices WHERE in_degree >= 10
-    UNION ALL SELECT 'hub_nodes', ip, degree FROM vertices, dstats WHERE degree > mean + 2.0 * std_dev""",
+    UNION ALL SELECT 'hub_nodes', ip, degree FROM vertices, dstats WHERE degree > mean + 2.0 * std_dev
+    UNION ALL SELECT 'isolated_nodes', ip, 0 FROM ({ISOLATED_SQL}) f""",
     [GRAPH_SQL, COMPONENT_SQL, CLUSTER_SQL],
 )
 def analysis_report(spark, sf):
-    return report.analysis_report(load_packets(spark, sf))
+    return report.analysis_report(load_packets(spark, sf), _hosts(spark, sf))

@@ -10,7 +10,7 @@ from packetloom.plans import training
 from packetloom.plans.feature_queries import TRAILING_SQL, feature_sql
 from packetloom.plans.registry import query
 from packetloom.schema import FEATURES
-from packetloom.session import cut
+from packetloom.session import cut, scratch_path
 from packetloom.sources.packets import load_packets
 
 SECONDS = 5
@@ -338,6 +338,18 @@ def nb_fit(spark, sf):
     )
 
 
+@query(
+    "model_store",
+    """SELECT i, max(class) FILTER (rn = 1) AS predicted FROM pr GROUP BY i""",
+    NB_SQL,
+)
+def model_store(spark, sf):
+    """Predictions of a model that was saved and loaded again."""
+    rows, path = _indexed(spark, sf).df, scratch_path(spark, "models")
+    training.save_model(bayes.fit(rows, FEATURES), path, "naive_bayes")
+    return training.load_model(spark, path, "naive_bayes").predict(rows).select("i", "predicted")
+
+
 @query(
     "nb_predict",
     """SELECT i, max(class) FILTER (rn = 1) AS predicted,

@@ -7,7 +7,15 @@ from pyspark.sql import functions as F
 from packetloom.functions import net
 from packetloom.operators import traffic
 from packetloom.plans.registry import LOGS_SQL, query
-from packetloom.sources.packets import from_traffic_log, load_packets, to_traffic_log
+from packetloom.session import scratch_path
+from packetloom.sources.packets import (
+    delete_expired,
+    from_traffic_log,
+    load_packets,
+    read_traffic_log,
+    to_traffic_log,
+    write_traffic_log,
+)
 
 IP = "10.0.0.1"
 
@@ -86,9 +94,34 @@ def large_packet_flag(spark, sf):
     FROM packets, (SELECT max(timestamp) - INTERVAL 5 MINUTE AS c FROM packets) q""",
 )
 def retention(spark, sf):
+    """Counts around a real deletion: what the log held before and what it holds after."""
+    path = scratch_path(spark, "log")
+    logs = to_traffic_log(load_packets(spark, sf))
+    write_traffic_log(logs, path)
+    delete_expired(spark, path, days=5 / 1440)
+    kept = read_traffic_log(spark, path).agg(F.count("*").alias("kept"))
+    return kept.select((logs.agg(F.count("*")).scalar() - F.col("kept")).alias("deleted"), "kept")
+
+
+@query(
+    "retention_counts",
+    """SELECT count(*) FILTER (timestamp < c) AS deleted, count(*) FILTER (timestamp >= c) AS kept
+    FROM packets, (SELECT max(timestamp) - INTERVAL 5 MINUTE AS c FROM packets) q""",
+)
+def retention_counts(spark, sf):
     return traffic.retention_counts(load_packets(spark, sf), days=5 / 1440)
 
 
+@query("log_append", "SELECT * FROM logs", LOGS_SQL)
+def log_append(spark, sf):
+    """Two appends to the dated log, read back."""
+    path = scratch_path(spark, "log")
+    logs = to_traffic_log(load_packets(spark, sf))
+    write_traffic_log(logs.where("id % 2 = 0"), path)
+    write_traffic_log(logs.where("id % 2 = 1"), path)
+    return read_traffic_log(spark, path).drop("dt")
+
+
 @query(
     "capture_filter",
     "SELECT id, src_ip, dst_ip, src_port, dst_port FROM packets WHERE protocol='TCP' AND (src_port=80 OR dst_port=80)",
@@ -135,10 +168,10 @@ def packet_count_by_ip(spark, sf):
     """SELECT count(*) AS packet_count, CAST(coalesce(sum(packet_size), 0) AS BIGINT) AS total_bytes,
     round(coalesce(sum(packet_size) / count(*), 0), 6) AS avg_packet_size, count(DISTINCT src_ip) AS unique_sources,
     count(DISTINCT dst_ip) AS unique_destinations FROM packets
-    WHERE timestamp >= (SELECT max(timestamp) FROM packets) - INTERVAL 60 MINUTE""",
+    WHERE timestamp >= (SELECT max(timestamp) FROM packets) - INTERVAL 4 MINUTE""",
 )
 def traffic_totals(spark, sf):
-    return traffic.traffic_totals(load_packets(spark, sf), 60).withColumn(
+    return traffic.traffic_totals(load_packets(spark, sf), 4).withColumn(
         "avg_packet_size", F.round("avg_packet_size", 6)
     )
 
@@ -157,6 +190,35 @@ def top_sources(spark, sf):
     return traffic.top_sources(load_packets(spark, sf))
 
 
+LAST_4 = "timestamp >= (SELECT max(timestamp) FROM packets) - INTERVAL 4 MINUTE"
+
+
+@query("protocol_distribution_recent", f"SELECT protocol, count(*) AS packet_count FROM packets WHERE {LAST_4} GROUP BY 1")
+def protocol_distribution_recent(spark, sf):
+    return traffic.protocol_distribution(load_packets(spark, sf), 4)
+
+
+@query(
+    "top_sources_recent",
+    f"""SELECT src_ip, count(*) AS packet_count, CAST(sum(packet_size) AS BIGINT) AS total_bytes FROM packets
+    WHERE {LAST_4} GROUP BY 1 ORDER BY 2 DESC, 1 LIMIT 10""",
+)
+def top_sources_recent(spark, sf):
+    return traffic.top_sources(load_packets(spark, sf), 10, 4)
+
+
+@query(
+    "anomaly_trend_recent",
+    f"""SELECT count(*) FILTER (is_anomaly) AS anomaly_count, count(*) FILTER (NOT is_anomaly) AS normal_count,
+    round(100.0::DOUBLE * count(*) FILTER (NOT is_anomaly) / greatest(count(*), 1), 6) AS normal_percent,
+    round(100.0::DOUBLE * count(*) FILTER (is_anomaly) / greatest(count(*), 1), 6) AS anomalous_percent FROM logs
+    WHERE {LAST_4}""",
+    LOGS_SQL,
+)
+def anomaly_trend_recent(spark, sf):
+    return traffic.anomaly_trend(to_traffic_log(load_packets(spark, sf)), 4)
+
+
 @query(
     "bandwidth_hogs",
     "SELECT src_ip, CAST(sum(packet_size) AS BIGINT) AS total_bytes FROM packets GROUP BY 1 ORDER BY 2 DESC, 1 LIMIT 5",

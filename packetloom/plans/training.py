@@ -103,13 +103,18 @@ def train_all(packets: DataFrame, seconds: float = 5.0, limit: int | None = None
     return train_rows(idx)
 
 
+def save_model(table: DataFrame, path: str, kind: str) -> None:
+    """One model's table below ``path``, to be read by ``load_model``."""
+    table.write.mode("overwrite").parquet(f"{path}/{kind}")
+
+
 def save(trained: Trained, spark: SparkSession, path: str) -> None:
     """Every model as a Parquet table below ``path``."""
-    trained.tree.table(spark).write.mode("overwrite").parquet(f"{path}/decision_tree")
-    trained.kmeans.table(spark).write.mode("overwrite").parquet(f"{path}/kmeans")
-    trained.bayes.write.mode("overwrite").parquet(f"{path}/naive_bayes")
-    trained.linear.table(spark).write.mode("overwrite").parquet(f"{path}/linear_regression")
-    trained.scaler.write.mode("overwrite").parquet(f"{path}/scaler")
+    save_model(trained.tree.table(spark), path, "decision_tree")
+    save_model(trained.kmeans.table(spark), path, "kmeans")
+    save_model(trained.bayes, path, "naive_bayes")
+    save_model(trained.linear.table(spark), path, "linear_regression")
+    save_model(trained.scaler, path, "scaler")
 
 
 def load_model(spark: SparkSession, path: str, kind: str):

@@ -1,110 +1,167 @@
 """Operators that need order, on a stream: release what is final, run the batch operator on it.
 
-Packets wait in a table in the shared folder until the watermark has passed them.
-What is released goes through the same distributed batch operators as stored
-data, so a window or source with most of the traffic is never one task's state.
-All output and state of an epoch is written to the epoch's own folder, which a
-replay overwrites.
+Packets wait in tables in the shared folder until the newest time seen, less a
+delay, has passed them. What is released goes through the same distributed
+batch operators as stored data, so a window or source with most of the traffic
+is never one task's state.
+
+Nothing lives in the driver between two batches. Epoch k reads the state that
+epoch k - 1 wrote (how far was released, which epochs still have waiting rows),
+writes its own rows, output and state into folders named after k, and removes
+rows that no replay of k can need. So a replayed epoch gives what it gave
+before, and a new driver goes on where the old one stopped: the checkpoint lies
+in the same folder.
 """
 
 from __future__ import annotations
 
+import json
 from collections.abc import Callable
-from datetime import timedelta
+from datetime import datetime, timedelta
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from packetloom import schema
 from packetloom.operators import detect, ordering
 from packetloom.operators.ordering import Indexed
-from packetloom.session import cut
-from packetloom.streaming.queries import run_batches
+from packetloom.streaming.queries import exists, remove, run_batches
 from packetloom.streaming.source import SENTINEL_ID
 
 DELAY = timedelta(seconds=30)
 
 
-class _Released:
-    """Splits each batch into final rows and rows that must wait."""
+class _Epoch:
+    """One batch: what it releases, and the state it leaves."""
 
-    def __init__(self, path: str, align_seconds: int | None):
-        self.path = path
-        self.align = align_seconds
-        self.newest = None
-        self.boundary = None
-        self.waiting: DataFrame | None = None
+    def __init__(self, spark: SparkSession, path: str, epoch: int):
+        self.spark, self.path, self.epoch = spark, path, epoch
+        before = f"{path}/state/epoch={epoch - 1}"
+        found = spark.read.text(before).first() if epoch > 0 and exists(spark, before) else None
+        state = json.loads(found[0]) if found else {}
+        self.newest, self.boundary = _time(state.get("newest")), _time(state.get("boundary"))
+        self.waiting: dict[str, str] = state.get("waiting", {})  # epoch -> its newest row
+        self.late: int = state.get("late", 0)
+        self.seen: int = state.get("seen", 0)
 
-    def take(self, batch: DataFrame, epoch: int) -> DataFrame | None:
-        """Rows that became final with this batch; rows older than the last boundary are late and dropped."""
+    def rows(self, epochs) -> DataFrame:
+        return self.spark.read.schema(schema.PACKET).parquet(*[f"{self.path}/rows/epoch={e}" for e in epochs])
+
+    def release(self, batch: DataFrame, align: int | None) -> DataFrame | None:
+        """Rows that became final with this batch; rows up to the last boundary are late: counted and dropped."""
         rows = batch.withColumn("timestamp", F.col("timestamp").cast("timestamp_ntz"))
-        if self.boundary is not None:
-            rows = rows.where(F.col("timestamp") > F.lit(self.boundary).cast("timestamp_ntz"))
-        pending = rows if self.waiting is None else rows.unionByName(self.waiting)
-        folder = f"{self.path}/pending/epoch={epoch}"
-        pending.write.mode("overwrite").parquet(folder)
-        pending = batch.sparkSession.read.schema(schema.PACKET).parquet(folder)
-        newest = pending.agg(F.max("timestamp")).first()[0]
-        if newest is None:
+        folder, after = f"{self.path}/rows/epoch={self.epoch}", self.boundary
+        if after is not None:
+            passed = F.col("timestamp") <= F.lit(after).cast("timestamp_ntz")
+            rows.select(*schema.PACKET_COLUMNS).where(~passed).write.mode("overwrite").parquet(folder)
+            self.late += rows.where(passed).count()
+        else:
+            rows.select(*schema.PACKET_COLUMNS).write.mode("overwrite").parquet(folder)
+        newest = self.rows([self.epoch]).agg(F.max("timestamp")).first()[0]
+        if newest is not None:
+            self.waiting[str(self.epoch)] = newest.isoformat()
+            self.newest = newest if self.newest is None else max(self.newest, newest)
+        if self.newest is None:
             return None
-        self.newest = newest if self.newest is None else max(self.newest, newest)
         boundary = self.newest - DELAY
-        if self.align:
-            # The last instant before the open window.
+        if align:
+            # the last instant before the open window
             seconds = boundary.second + boundary.minute * 60 + boundary.hour * 3600
-            start = boundary - timedelta(seconds=seconds % self.align, microseconds=boundary.microsecond)
+            start = boundary - timedelta(seconds=seconds % align, microseconds=boundary.microsecond)
             boundary = start - timedelta(microseconds=1)
-        if self.boundary is not None and boundary <= self.boundary:
-            self.waiting = pending
+        if after is not None and boundary <= after:
             return None
         self.boundary = boundary
-        cutoff = F.lit(boundary).cast("timestamp_ntz")
-        self.waiting = pending.where(F.col("timestamp") > cutoff)
-        return pending.where((F.col("timestamp") <= cutoff) & (F.col("id") != SENTINEL_ID))
+        final = self.rows(self.waiting).where(
+            (F.col("timestamp") <= F.lit(boundary).cast("timestamp_ntz")) & (F.col("id") != SENTINEL_ID))
+        return final if after is None else final.where(F.col("timestamp") > F.lit(after).cast("timestamp_ntz"))
+
+    def close(self) -> None:
+        """Write the state, then drop rows that were all released before this epoch."""
+        left = {e: t for e, t in self.waiting.items() if self.boundary is None or _time(t) > self.boundary}
+        state = {"newest": _text(self.newest), "boundary": _text(self.boundary), "waiting": left, "late": self.late, "seen": self.seen}
+        self.spark.createDataFrame([(json.dumps(state),)], "value STRING").coalesce(1).write.mode("overwrite").text(
+            f"{self.path}/state/epoch={self.epoch}")
+        two_back = f"{self.path}/state/epoch={self.epoch - 2}"
+        if self.epoch > 1 and exists(self.spark, two_back):
+            older = json.loads(self.spark.read.text(two_back).first()[0])["waiting"]
+            for e in set(older) - set(self.waiting):
+                remove(self.spark, f"{self.path}/rows/epoch={e}")
+            remove(self.spark, two_back)
+
+
+def _time(text: str | None) -> datetime | None:
+    return datetime.fromisoformat(text) if text else None
+
+
+def _text(time: datetime | None) -> str | None:
+    return time.isoformat() if time else None
+
+
+def late_rows(spark: SparkSession, path: str) -> int:
+    """Rows dropped so far because they came after their time was released."""
+    states = spark.read.text(f"{path}/state").orderBy(F.desc("epoch")).select("value").first()
+    return json.loads(states[0])["late"] if states else 0
 
 
 def run_closed_windows(
-    stream: DataFrame, operator: Callable[[DataFrame], DataFrame], path: str, seconds: int = 60
-) -> DataFrame:
+    stream: DataFrame,
+    operator: Callable[[DataFrame], DataFrame],
+    path: str,
+    seconds: int = 60,
+    write: Callable[[DataFrame, int], None] | None = None,
+    trigger: dict | None = None,
+) -> DataFrame | None:
     """Apply a batch ``operator`` to the packets of every window once it is closed.
 
-    ``operator`` must treat aligned windows of ``seconds`` independently.
+    ``operator`` must treat aligned windows of ``seconds`` independently. Its
+    rows go to ``path/out``, whose table is returned, or to ``write``. A later
+    call with the same ``path`` continues.
     """
-    released = _Released(path, seconds)
 
-    def each(batch: DataFrame, epoch: int) -> None:
-        final = released.take(batch, epoch)
+    def each(batch: DataFrame, number: int) -> None:
+        epoch = _Epoch(batch.sparkSession, path, number)
+        final = epoch.release(batch, seconds)
         if final is not None:
-            operator(final).write.mode("overwrite").parquet(f"{path}/out/epoch={epoch}")
+            if write is None:
+                operator(final).write.mode("overwrite").parquet(f"{path}/out/epoch={number}")
+            else:
+                write(operator(final), number)
+        epoch.close()
 
-    run_batches(stream, each)
-    return stream.sparkSession.read.parquet(f"{path}/out").drop("epoch")
+    run_batches(stream, each, checkpoint=f"{path}/checkpoint", trigger=trigger)
+    return stream.sparkSession.read.parquet(f"{path}/out").drop("epoch") if write is None else None
 
 
-def run_rolling(stream: DataFrame, path: str, frame: int = 1000) -> DataFrame:
+def run_rolling(stream: DataFrame, path: str, frame: int = 1000, trigger: dict | None = None) -> DataFrame:
     """The statistical detector live: released packets with the last ``frame`` as context."""
-    released = _Released(path, None)
-    state: dict = {"seen": 0, "tail": None}
 
-    def each(batch: DataFrame, epoch: int) -> None:
-        final = released.take(batch, epoch)
+    def each(batch: DataFrame, number: int) -> None:
+        spark = batch.sparkSession
+        epoch = _Epoch(spark, path, number)
+        final = epoch.release(batch, None)
+        kept, tail = f"{path}/tail/epoch={number}", f"{path}/tail/epoch={number - 1}"
+        before = spark.read.schema(schema.PACKET).parquet(tail) if number > 0 and exists(spark, tail) else None
         if final is None:
-            return
-        seen, tail = state["seen"], state["tail"]
-        rows = final if tail is None else final.unionByName(tail)
-        before = 0 if tail is None else min(seen, frame)
-        indexed = ordering.with_global_index(rows)
-        # Positions continue over the whole stream; the context keeps its own.
-        shifted = Indexed(
-            indexed.df.withColumn("i", F.col("i") + F.lit(seen - before)), indexed.block_rows, indexed.total
-        )
-        found = detect.statistical(shifted, frame).join(
-            shifted.df.where(F.col("i") > seen).select(F.col("id").alias("packet_id")), "packet_id", "left_semi"
-        )
-        found.write.mode("overwrite").parquet(f"{path}/out/epoch={epoch}")
-        state["seen"] = seen - before + indexed.total
-        last = shifted.df.where(F.col("i") > state["seen"] - frame).select(*schema.PACKET_COLUMNS)
-        state["tail"] = cut(last)
-
-    run_batches(stream, each)
+            if before is not None:
+                before.write.mode("overwrite").parquet(kept)
+        else:
+            seen = epoch.seen
+            context = 0 if before is None else min(seen, frame)
+            indexed = ordering.with_global_index(final if before is None else final.unionByName(before))
+            # Positions continue over the whole stream; the context keeps its own.
+            shifted = Indexed(
+                indexed.df.withColumn("i", F.col("i") + F.lit(seen - context)), indexed.block_rows, indexed.total
+            )
+            found = detect.statistical(shifted, frame).join(
+                shifted.df.where(F.col("i") > seen).select(F.col("id").alias("packet_id")), "packet_id", "left_semi"
+            )
+            found.write.mode("overwrite").parquet(f"{path}/out/epoch={number}")
+            epoch.seen = seen - context + indexed.total
+            shifted.df.where(F.col("i") > epoch.seen - frame).select(*schema.PACKET_COLUMNS).write.mode("overwrite").parquet(kept)
+        epoch.close()
+        if number > 1:
+            remove(spark, f"{path}/tail/epoch={number - 2}")
+
+    run_batches(stream, each, checkpoint=f"{path}/checkpoint", trigger=trigger)
     return stream.sparkSession.read.parquet(f"{path}/out").drop("epoch")

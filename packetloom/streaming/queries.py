@@ -8,15 +8,18 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.streaming import StreamingQuery
 
-from packetloom.operators import alerts, detect
+from packetloom.operators import alerts, detect, ordering
 from packetloom.operators.detect import HIGH_RATE_PACKETS, PORT_SCAN_PORTS, SYN_FLOOD_SYNS
 from packetloom.session import scratch_path
 from packetloom.sources.packets import to_traffic_log
 from packetloom.streaming.source import WATERMARK
 
+USE_UP = {"availableNow": True}
+
 
 def ingest(stream: DataFrame, delay: str = WATERMARK) -> DataFrame:
     """Packets as log rows, repeated deliveries of an id removed within the watermark."""
@@ -66,26 +69,43 @@ def packet_rules(stream: DataFrame) -> DataFrame:
 
 # --- running ----------------------------------------------------------------------
 
-def run_append(result: DataFrame, path: str) -> DataFrame:
-    """Append a stream to Parquet until its input is used up; the written table."""
-    query = (
-        result.writeStream.outputMode("append")
-        .format("parquet")
-        .option("path", path)
-        .option("checkpointLocation", scratch_path(result.sparkSession, "checkpoint"))
-        .trigger(availableNow=True)
-        .start()
-    )
+def run_append(
+    result: DataFrame, path: str, checkpoint: str | None = None, trigger: dict | None = None, dated: str | None = None,
+    dropped: list[int] | None = None,
+) -> DataFrame:
+    """Append a stream to Parquet and wait for it; the written table.
+
+    A run that is to continue another must name the same ``checkpoint`` (by
+    default it lies beside the table). ``trigger`` is passed to the writer; the default uses the input up. With
+    ``dated`` the table is partitioned by the day (``dt``) of that time column, as
+    ``read_traffic_log`` expects. ``dropped`` gets the number of rows that came later than the watermark allows.
+    """
+    written = result if dated is None else result.withColumn("dt", F.to_date(dated))
+    writer = written.writeStream.outputMode("append").format("parquet").option("path", path)
+    if dated is not None:
+        writer = writer.partitionBy("dt")
+    query = writer.option("checkpointLocation", checkpoint or f"{path}-checkpoint").trigger(**(trigger or USE_UP)).start()
     query.awaitTermination()
-    return result.sparkSession.read.schema(result.schema).parquet(path)
+    if dropped is not None:
+        dropped.append(dropped_rows(query))
+    return result.sparkSession.read.schema(written.schema).parquet(path)
+
 
+def dropped_rows(query: StreamingQuery) -> int:
+    """Rows a query left out because they came later than its watermark allows, over the progress it still holds."""
+    return sum(op.numRowsDroppedByWatermark for p in query.recentProgress for op in p.stateOperators)
 
-def run_batches(stream: DataFrame, each: Callable[[DataFrame, int], None], mode: str = "append") -> None:
+
+def run_batches(
+    stream: DataFrame, each: Callable[[DataFrame, int], None], mode: str = "append", checkpoint: str | None = None,
+    trigger: dict | None = None,
+) -> None:
+    """Call ``each`` for every batch and wait; ``checkpoint`` and ``trigger`` as in ``run_append``."""
     query = (
         stream.writeStream.outputMode(mode)
         .foreachBatch(each)
-        .option("checkpointLocation", scratch_path(stream.sparkSession, "checkpoint"))
-        .trigger(availableNow=True)
+        .option("checkpointLocation", checkpoint or scratch_path(stream.sparkSession, "checkpoint"))
+        .trigger(**(trigger or USE_UP))
         .start()
     )
     query.awaitTermination()
@@ -108,7 +128,7 @@ def append_new_alerts(path: str) -> Callable[[DataFrame, int], None]:
         span = found.agg(F.min("dt").alias("lo"), F.max("dt").alias("hi")).first()
         if span["lo"] is not None:
             fresh = found
-            if epoch > 0 or _exists(spark, path):
+            if exists(spark, path):
                 stored = spark.read.schema(found.schema).parquet(path).where(
                     F.col("dt").between(F.lit(span["lo"]), F.lit(span["hi"]))
                 )
@@ -119,11 +139,26 @@ def append_new_alerts(path: str) -> Callable[[DataFrame, int], None]:
     return write
 
 
-def _exists(spark, path: str) -> bool:
+def exists(spark: SparkSession, path: str) -> bool:
     location = spark._jvm.org.apache.hadoop.fs.Path(path)
     return location.getFileSystem(spark._jsc.hadoopConfiguration()).exists(location)
 
 
+def remove(spark: SparkSession, path: str) -> None:
+    location = spark._jvm.org.apache.hadoop.fs.Path(path)
+    location.getFileSystem(spark._jsc.hadoopConfiguration()).delete(location, True)
+
+
+def minute_rules(packets: DataFrame) -> DataFrame:
+    """All rules over packets of whole minutes, for windows that have closed."""
+    idx = ordering.with_global_index(packets)
+    found = detect.suspicious_port(packets)
+    for more in (detect.large_packet(packets), detect.port_scan(packets), detect.high_rate(packets),
+                 detect.syn_flood(packets), detect.ddos_10x(idx)):
+        found = found.unionByName(more)
+    return found
+
+
 def run_top_k(stream: DataFrame, path: str, k: int = 5) -> DataFrame:
     """Sources by bytes sent so far; the table is rewritten after every batch."""
     totals = stream.groupBy("src_ip").agg(F.sum("packet_size").alias("total_bytes"))
@@ -131,5 +166,5 @@ def run_top_k(stream: DataFrame, path: str, k: int = 5) -> DataFrame:
     def write(batch: DataFrame, epoch: int) -> None:
         batch.orderBy(F.desc("total_bytes"), "src_ip").limit(k).write.mode("overwrite").parquet(path)
 
-    run_batches(totals, write, mode="complete")
+    run_batches(totals, write, mode="complete", checkpoint=f"{path}-checkpoint")
     return stream.sparkSession.read.schema("src_ip STRING, total_bytes BIGINT").parquet(path)
