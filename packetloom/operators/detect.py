@@ -39,6 +39,16 @@ COLUMNS = [
     "packet_id", "timestamp", "src_ip", "dst_ip", "detection_method", "rule_order", "score", "related_ips", "details",
 ]
 
+# The texts that alert descriptions carry.
+SIZE_TEXT = "Unusual packet size: %d bytes (Z=%.2f)"
+TIME_TEXT = "Unusual timing: IAT=%.4fs (Z=%.2f)"
+PORT_TEXT = "Suspicious port detected"
+LARGE_TEXT = "Unusually large packet"
+SCAN_TEXT = "Potential port scan"
+RATE_TEXT = "High packet rate"
+SYN_TEXT = "Potential SYN flood"
+DDOS_TEXT = "DDoS suspect: 10x average request rate"
+
 
 def _details(**parts) -> Column:
     """An ordered map of text."""
@@ -124,8 +134,8 @@ def statistical(idx: Indexed, frame: int = 1000, threshold: float = 3.0, warmup:
     )
     messages = F.array_compact(
         F.array(
-            F.when(by_size, F.format_string("Unusual packet size: %d bytes (Z=%.2f)", "packet_size", "size_z")),
-            F.when(by_time, F.format_string("Unusual timing: IAT=%.4fs (Z=%.2f)", "iat", "iat_z")),
+            F.when(by_size, F.format_string(SIZE_TEXT, "packet_size", "size_z")),
+            F.when(by_time, F.format_string(TIME_TEXT, "iat", "iat_z")),
         )
     )
     details = _details(
@@ -146,7 +156,7 @@ def suspicious_port(packets: DataFrame) -> DataFrame:
         hit,
         "rule:suspicious_port",
         0.7,
-        _details(rule="Suspicious port detected", src_port=F.col("src_port"), dst_port=F.col("dst_port")),
+        _details(rule=PORT_TEXT, src_port=F.col("src_port"), dst_port=F.col("dst_port")),
     )
 
 
@@ -155,7 +165,7 @@ def large_packet(packets: DataFrame, limit: int = MAX_NORMAL_PACKET) -> DataFram
         packets.where(F.col("packet_size") > limit),
         "rule:large_packet",
         0.5,
-        _details(rule="Unusually large packet", size=F.col("packet_size"), threshold=limit),
+        _details(rule=LARGE_TEXT, size=F.col("packet_size"), threshold=limit),
     )
 
 
@@ -204,7 +214,7 @@ def port_scan(packets: DataFrame, threshold: int = PORT_SCAN_PORTS) -> DataFrame
         _nth_per_source(first_touch, threshold + 1),
         "rule:port_scan",
         0.8,
-        _details(rule="Potential port scan", source_ip=F.col("src_ip"), unique_ports=threshold + 1),
+        _details(rule=SCAN_TEXT, source_ip=F.col("src_ip"), unique_ports=threshold + 1),
         related=F.array("src_ip"),
     )
 
@@ -216,7 +226,7 @@ def high_rate(packets: DataFrame, threshold: int = HIGH_RATE_PACKETS) -> DataFra
         "rule:high_rate",
         0.6,
         _details(
-            rule="High packet rate", source_ip=F.col("src_ip"), packet_count=threshold + 1, window_seconds=60
+            rule=RATE_TEXT, source_ip=F.col("src_ip"), packet_count=threshold + 1, window_seconds=60
         ),
         related=F.array("src_ip"),
     )
@@ -228,7 +238,7 @@ def syn_flood(packets: DataFrame, threshold: int = SYN_FLOOD_SYNS) -> DataFrame:
         _nth_per_source(syns.select("win", "src_ip", "dst_ip", "timestamp", "id"), threshold + 1),
         "rule:syn_flood",
         0.85,
-        _details(rule="Potential SYN flood", source_ip=F.col("src_ip"), syn_count=threshold + 1),
+        _details(rule=SYN_TEXT, source_ip=F.col("src_ip"), syn_count=threshold + 1),
     )
 
 
@@ -276,7 +286,7 @@ def ddos_10x(idx: Indexed, times: int = TIMES_AVERAGE) -> DataFrame:
         "rule:ddos_10x_avg",
         0.9,
         _details(
-            rule="DDoS suspect: 10x average request rate",
+            rule=DDOS_TEXT,
             source_ip=F.col("src_ip"),
             packet_count=F.col("src_count"),
             average_count=F.format_string("%.2f", average),

@@ -332,6 +332,16 @@ def closeness_approx(spark, sf):
     return graph_search.approximate_closeness(cut(_edges(spark, sf)))
 
 
+@query("closeness_error", "SELECT ip, true AS within FROM vertices", GRAPH_SQL)
+def closeness_error(spark, sf):
+    """Whether the sketched closeness of a vertex lies within a twentieth (or 0.005) of the exact one."""
+    edge_table = cut(_edges(spark, sf))
+    near = graph_search.approximate_closeness(edge_table).select("ip", F.col("centrality").alias("near"))
+    both = graph_search.closeness(edge_table).join(near, "ip")
+    bound = F.greatest(0.05 * F.col("centrality"), F.lit(0.005))
+    return both.select("ip", (F.abs(F.col("near") - F.col("centrality")) <= bound).alias("within"))
+
+
 @query(
     "shortest_path",
     """SELECT CAST(distance AS INT) AS step, ip FROM walk""",

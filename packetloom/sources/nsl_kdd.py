@@ -57,9 +57,18 @@ def attack_category(label: Column | str) -> Column:
 
 
 def one_hot(value: Column | str, categories: list[str]) -> Column:
-    """0/1 vector, case-insensitive; all zeros for an unknown value."""
+    """0/1 vector, case-insensitive; all zeros for an unknown value.
+
+    One lookup in a constant map of ready vectors, so the value is normalised once however many categories there are.
+    """
     text = F.lower(F.trim(value if isinstance(value, Column) else F.col(value)))
-    return F.array(*[F.coalesce((text == c.lower()).cast("double"), F.lit(0.0)) for c in categories])
+    names = [c.lower() for c in categories]
+
+    def vector(name: str | None) -> Column:
+        return F.array(*[F.lit(float(c == name)) for c in names])
+
+    ready = F.create_map(*[part for name in dict.fromkeys(names) for part in (F.lit(name), vector(name))])
+    return F.coalesce(F.element_at(ready, text), vector(None))
 
 
 def parse(lines: DataFrame, text: str = "value") -> DataFrame:
