@@ -7,6 +7,8 @@ round at most.
 
 from __future__ import annotations
 
+from math import ceil
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -14,6 +16,9 @@ from packetloom.operators.skew import ROWS_PER_TASK, skew_join
 from packetloom.session import cut
 
 
+LIST_PIECE = 256  # out-neighbours in one list
+
+
 def undirected(edge_table: DataFrame) -> DataFrame:
     """Distinct unordered pairs (a < b), self-loops left out."""
     return (
@@ -216,8 +221,11 @@ def triangles(edge_table: DataFrame, rows_per_task: int = ROWS_PER_TASK) -> Data
     """(ip, triangles) for every vertex that closes at least one.
 
     Edges point from the lower to the higher degree, so no vertex keeps more than
-    sqrt(2 * edges) out-neighbours, however large the hubs. Each edge intersects
-    the out-neighbour lists of its two ends; only closed triangles become rows.
+    sqrt(2 * edges) out-neighbours, however large the hubs. These are dealt by
+    hash into buckets of about ``LIST_PIECE``; an edge intersects the lists of its
+    two ends bucket by bucket, so a row carries short lists only, and both joins
+    split a vertex by the list entries that meet there. Only closed triangles
+    become rows.
     """
     pairs = cut(undirected(edge_table))
     degree = symmetric(pairs).groupBy("u").agg(F.count("*").alias("d"))
@@ -232,11 +240,14 @@ def triangles(edge_table: DataFrame, rows_per_task: int = ROWS_PER_TASK) -> Data
             F.when(low_first, F.col("b")).otherwise(F.col("a")).alias("v"),
         )
     )
-    out = oriented.groupBy("u").agg(F.collect_list("v").alias("out"))
-    from_u = oriented.join(out.withColumnRenamed("out", "out_u"), "u")
+    widest = oriented.groupBy("u").agg(F.count("*").alias("n")).agg(F.max("n")).first()[0] or 0
+    bucket = F.pmod(F.xxhash64("v"), F.lit(max(1, ceil(widest / LIST_PIECE)))).alias("bucket")
+    out = cut(oriented.groupBy("u", bucket).agg(F.collect_list("v").alias("out")))
+    rows_met = max(1, rows_per_task // LIST_PIECE)
+    from_u = cut(skew_join(oriented, out.withColumnRenamed("out", "out_u"), ["u"], ["v"], rows_per_task=rows_met))
     ends = skew_join(
-        from_u, out.select(F.col("u").alias("v"), F.col("out").alias("out_v")), ["v"], ["u"],
-        rows_per_task=rows_per_task,
+        from_u, out.select(F.col("u").alias("v"), "bucket", F.col("out").alias("out_v")), ["v", "bucket"], ["u"],
+        rows_per_task=rows_met,
     )
     closed = ends.select("u", "v", F.array_intersect("out_u", "out_v").alias("third")).where(F.size("third") > 0)
     counted = closed.select(

@@ -146,3 +146,12 @@ def test_flagged_addresses_count_all_alerts(spark):
     none = spark.createDataFrame([], "ip STRING, peers BIGINT")
     got = {r["ip"]: (r["alert_count"], r["highest_severity"]) for r in alerts.flagged_ips(table, none, none).collect()}
     assert got == {"10.0.0.0": (50, 4)} | {f"10.0.0.{k}": (50, 1) for k in range(1, 5)}
+
+
+def test_a_large_clique_has_short_lists(spark, monkeypatch):
+    monkeypatch.setattr(graph_search, "LIST_PIECE", 8)
+    hosts = [f"h{k:02d}" for k in range(40)]
+    rows = [(a, b, 1, "TCP") for i, a in enumerate(hosts) for b in hosts[i + 1:]]
+    local = graph_search.local_clustering(edges(spark, rows + [("h00", "x", 1, "TCP")]), rows_per_task=100)
+    got = {r["ip"]: (r["neighbors"], r["closed_pairs"]) for r in local.collect()}
+    assert got == {h: (39, 741) for h in hosts[1:]} | {"h00": (40, 741), "x": (1, 0)}
