@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from packetloom.llm import fm_decontam, hd_language, pii_crf, prefix_join, vector_packing
-from packetloom.llm.common import remainder, store, table
+from packetloom.llm.common import remainder, store, table, without
 
 LEAST_SCORE = 0.1
 
@@ -27,12 +27,17 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    # the row number tells repeated rows apart
+    ids = docs.groupBy("doc_id").agg(F.count("*").alias("n"))
+    if ids.where("n > 1 OR doc_id IS NULL").isEmpty():
+        linked = prefix_join.jaccard_join(docs)
+        gone = store(linked.where("doc_id <> component_id").select("doc_id"), "gone")
+        return without(docs, gone, "doc_id")
+    # a row number tells repeated rows apart; it needs a copy of the table
     numbered = store(docs.withColumn("_row", F.monotonically_increasing_id()), "numbered")
     named = numbered.withColumn("_id", F.struct(F.col("doc_id").alias("d"), F.col("_row").alias("r")))
     linked = prefix_join.jaccard_join(named, id_col="_id")
-    gone = linked.where(F.col("_id") != F.col("component_id")).select(F.col("_id.r").alias("_row"))
-    return numbered.join(gone, "_row", "left_anti").select(docs.columns)
+    gone = store(linked.where(F.col("_id") != F.col("component_id")).select(F.col("_id.r").alias("_row")), "gone")
+    return without(numbered, gone, "_row").select(docs.columns)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -6,6 +6,7 @@ import gc
 import os
 from collections.abc import Callable, Iterator
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -40,6 +41,40 @@ def release(spark: SparkSession, *tables: DataFrame) -> None:
     spark._jvm.System.gc()
 
 
+SIEVE_BITS = 1 << 22
+
+
+def sieve_of(keys: DataFrame, column: str) -> np.ndarray:
+    """SIEVE_BITS flags, packed, set where a key's hash falls: 512 KB however many keys there are."""
+    flags = np.zeros(SIEVE_BITS, dtype=bool)
+    flags[[r[0] for r in keys.select(sieve_place(column)).distinct().collect()]] = True
+    return np.packbits(flags)
+
+
+def sieve_place(column: str) -> F.Column:
+    return F.pmod(F.xxhash64(column), F.lit(SIEVE_BITS)).cast("int")
+
+
+def without(rows: DataFrame, gone: DataFrame, key: str) -> DataFrame:
+    """The rows whose key is not in ``gone`` (not null there), without a shuffle of nearly all of them.
+
+    A row whose flag in the sieve of ``gone`` is not set stays for sure; only the others are joined.
+    """
+    spread = rows.sparkSession.sparkContext.broadcast(sieve_of(gone, key))
+    marked = rows.withColumn("_place", sieve_place(key))
+
+    def pick(wanted: int) -> DataFrame:
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            flags = np.unpackbits(spread.value)
+            for batch in batches:
+                at = batch.schema.get_field_index("_place")
+                yield batch.filter(pa.array(flags[batch.column(at).to_numpy()] == wanted))
+
+        return marked.mapInArrow(run, marked.schema).select(rows.columns)
+
+    return pick(0).unionByName(pick(1).join(gone.select(key), key, "left_anti").select(rows.columns))
+
+
 def map_batches(df: DataFrame, fn: Callable[[dict[str, list]], dict[str, object]], schema: str) -> DataFrame:
     """Apply ``fn`` (columns as lists in, columns out) to every Arrow batch of ``df``."""
 

@@ -40,7 +40,7 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from packetloom.llm.common import arrow_schema, batch_of, map_batches, release, store
+from packetloom.llm.common import arrow_schema, batch_of, map_batches, release, sieve_of, sieve_place, store
 from packetloom.llm.components import components
 
 WORDS, PERCENT = 5, 80
@@ -48,7 +48,6 @@ BUCKETS = 1 << 17
 BITS = 2048
 LARGE, COUNTS = 1_000, 1_024
 LIST_PIECES = 64
-SIEVE_BITS = 1 << 22
 _REMEMBERED = 400_000
 _MIX = [np.uint64(m) for m in (0x9E3779B185EBCA87, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0x85EBCA77C2B2AE63, 0x27D4EB2F165667C5)]
 
@@ -293,14 +292,10 @@ class Join:
     def remade(self, wanted: DataFrame) -> DataFrame:
         """(n, s1, s2, set) from the texts of the documents with the ids ``least`` of ``wanted``.
 
-        A table of SIEVE_BITS bits, set where such an id falls, goes to the
-        tasks: nearly only these texts are split into sets. Sets of other
+        A sieve of the ids goes to the tasks: nearly only these texts are split into sets. Sets of other
         documents that share a bit meet no pair. A task gives a set once.
         """
-        place = F.pmod(F.xxhash64("least"), F.lit(SIEVE_BITS)).cast("int")
-        sieve = np.zeros(SIEVE_BITS, dtype=bool)
-        sieve[[r[0] for r in wanted.select(place).distinct().collect()]] = True
-        spread = self.spark.sparkContext.broadcast(np.packbits(sieve))
+        spread = self.spark.sparkContext.broadcast(sieve_of(wanted, "least"))
         words = self.words
         types = arrow_schema(self.spark, "n int, s1 long, s2 long, `set` binary")
 
@@ -321,7 +316,7 @@ class Join:
                 yield batch_of(out, types)
 
         source = self.docs.select(
-            F.pmod(F.xxhash64(self.id_col), F.lit(SIEVE_BITS)).cast("int").alias("at"), F.col(self.text_col).alias("text"))
+            sieve_place(self.id_col).alias("at"), F.col(self.text_col).alias("text"))
         return store(source.mapInArrow(remake, "n int, s1 long, s2 long, `set` binary"), "remade")
 
 
