@@ -20,7 +20,7 @@ os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
 
 _RUN = re.compile(r" (?:\s|\Z)")
 _CUT = re.compile(r" (?=\S)")
-REMEMBERED = 1_000_000  # pieces kept per worker; beyond that the later half, mostly rare pieces, is forgotten
+REMEMBERED = 600_000  # pieces kept per worker; beyond that the later half, mostly rare pieces, is forgotten
 LONG_PIECE = 2_000  # characters; longer ones are not remembered
 
 _open: dict[str, PieceEncoder] = {}

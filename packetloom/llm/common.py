@@ -17,6 +17,13 @@ from packetloom.session import scratch_path
 ROWS_AT_ONCE = 2_000  # of an Arrow batch, so that whole texts and what is made of them stay small in memory
 
 
+def small(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The batches in slices of ROWS_AT_ONCE rows."""
+    for batch in batches:
+        for start in range(0, batch.num_rows, ROWS_AT_ONCE):
+            yield batch.slice(start, ROWS_AT_ONCE)
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
@@ -79,9 +86,8 @@ def map_batches(df: DataFrame, fn: Callable[[dict[str, list]], dict[str, object]
     """Apply ``fn`` (columns as lists in, columns out) to every Arrow batch of ``df``."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for start in range(0, batch.num_rows, ROWS_AT_ONCE):
-                yield batch_of(fn(batch.slice(start, ROWS_AT_ONCE).to_pydict()), types)
+        for part in small(batches):
+            yield batch_of(fn(part.to_pydict()), types)
 
     types = arrow_schema(df.sparkSession, schema)
     return df.mapInArrow(run, schema)

@@ -32,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from packetloom.llm.common import arrow_schema, batch_of, store
+from packetloom.llm.common import arrow_schema, batch_of, small, store
 
 WINDOW = 13
 SHARD_WORDS = 1_000_000
@@ -219,7 +219,7 @@ def hits(
             columns["items"] = [found[k][1] for _, k in rows]
             return batch_of(columns, types)
 
-        for batch in batches:
+        for batch in small(batches):
             columns = batch.to_pydict()
             held = [columns[k] for k in (id_col, *keep)]
             for i, text in enumerate(columns[text_col]):

@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from packetloom.llm.common import arrow_schema, batch_of, map_batches
+from packetloom.llm.common import arrow_schema, batch_of, map_batches, small
 
 DIMENSION = 1024
 N = 3
@@ -143,7 +143,7 @@ class Space:
                 if len(grams):
                     parts.append(grams | (np.int64(owner) << 48))
                     size += len(grams)
-                if size >= 2 * PIECE_CHARS:
+                if size >= PIECE_CHARS // 2:
                     add()
                     parts, size = [], 0
         if parts:
@@ -178,7 +178,7 @@ def learn(
 
     def bundle(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sums: dict[str, np.ndarray] = {}
-        for batch in batches:
+        for batch in small(batches):
             columns = batch.to_pydict()
             names = sorted(set(columns["lang"]))
             number = {name: i for i, name in enumerate(names)}
@@ -243,7 +243,7 @@ def keep_known(
     unit = np.array([v / np.linalg.norm(v) for v in prototypes.values()]).reshape(len(names), dimension)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in small(batches):
             texts = [t or "" for t in batch.column(batch.schema.get_field_index(text_col)).to_pylist()]
             kept = np.zeros(len(texts), dtype=bool)
             for part in few(texts) if names else ():

@@ -39,7 +39,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from packetloom.llm.common import arrow_schema, batch_of, map_batches, slices
+from packetloom.llm.common import arrow_schema, batch_of, map_batches, slices, small
 
 KINDS = ("email", "ip", "card", "phone")
 OTHER = len(KINDS)
@@ -298,7 +298,7 @@ def learn(docs: DataFrame, text_col: str = "text") -> Field | None:
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total: Counter = Counter()
-        for batch in batches:
+        for batch in small(batches):
             for _, _, graph in graphs(batch.to_pydict()["text"]):
                 if graph.given:
                     total += patterns_in(graph)
@@ -361,7 +361,7 @@ def redact(docs: DataFrame, field: Field | None, sure: float = SURE, text_col: s
         return out
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in small(batches):
             at = batch.schema.get_field_index(text_col)
             yield batch.set_column(at, batch.schema.field(at), pa.array(clean(batch.column(at).to_pylist()), type=batch.schema.field(at).type))
 

@@ -40,7 +40,7 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from packetloom.llm.common import arrow_schema, batch_of, map_batches, release, sieve_of, sieve_place, store
+from packetloom.llm.common import arrow_schema, batch_of, map_batches, release, sieve_of, sieve_place, small, store
 from packetloom.llm.components import components
 
 WORDS, PERCENT = 5, 80
@@ -48,7 +48,7 @@ BUCKETS = 1 << 17
 BITS = 2048
 LARGE, COUNTS = 1_000, 1_024
 LIST_PIECES = 64
-_REMEMBERED = 400_000
+_REMEMBERED = 100_000
 _MIX = [np.uint64(m) for m in (0x9E3779B185EBCA87, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0x85EBCA77C2B2AE63, 0x27D4EB2F165667C5)]
 
 
@@ -95,7 +95,7 @@ def frequent_buckets(docs: DataFrame, text_col: str, words: int) -> np.ndarray:
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sums = np.zeros(BUCKETS, dtype=np.int64)
-        for batch in batches:
+        for batch in small(batches):
             held = []
             for text in batch.to_pydict()["text"]:
                 held.append(bucket_of(shingles(text, words)))
@@ -301,7 +301,7 @@ class Join:
 
         def remake(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             flags, seen = spread.value, set()
-            for batch in batches:
+            for batch in small(batches):
                 batch = batch.to_pydict()
                 out = {k: [] for k in ("n", "s1", "s2", "set")}
                 for at, text in zip(batch["at"], batch["text"]):
