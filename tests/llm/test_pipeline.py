@@ -145,3 +145,20 @@ def test_scores_do_not_depend_on_other_rows():
     alone = hd_language.Space(128, 1).bundle([0], ["wasser und haus"], 1)
     among = hd_language.Space(128, 1).bundle([0, 1], ["the water", "wasser und haus"], 2)
     assert (np.array(alone[0]) == among[1]).all()
+
+
+def test_unique_ids_need_no_copy_and_give_the_same(spark, tmp_path):
+    folder = str(tmp_path)
+    rows, _ = rows_and_items()
+    rows = sorted({r[0]: r for r in rows}.values())
+    spark.createDataFrame(rows, SCHEMA).write.parquet(f"{folder}/documents.parquet")
+    docs = spark.read.parquet(f"{folder}/documents.parquet")
+    kept = sorted(r.doc_id for r in corpus_pipeline.near_duplicates(spark, docs, folder).collect())
+    twice = corpus_pipeline.near_duplicates(spark, docs.union(docs), folder).collect()
+    assert set(kept) == {r.doc_id for r in twice} and len(kept) < len(rows)
+    # texts without a word are linked with nothing, so both rows of such a text stay
+    assert sorted(r.doc_id for r in twice if (r.text or "").split()) == [i for i in kept if (rows_of(rows, i) or "").split()]
+
+
+def rows_of(rows, doc):
+    return next(r[1] for r in rows if r[0] == doc)
