@@ -15,6 +15,12 @@ are calibrated. A prediction counts when its probability reaches ``sure`` and
 the paragraph holds at least ``like`` of the words of one of the family's
 notices, in order (longest common subsequence).
 
+A paragraph may name several licences: every shortest stretch of a piece that
+holds ``like`` of a notice is classified, with ``AROUND`` words on both sides,
+and the whole piece where none of them is confirmed. Shorter stretches go first; the words of a confirmed one
+are taken out of the others, which need ``REST`` of their notice without them,
+so the words of one notice (LGPL) do not name a second family (GPL).
+
 Null and empty texts: no paragraphs. Repeated rows each give a row, an empty
 table none (an empty corpus trains on the made rows alone).
 """
@@ -24,6 +30,7 @@ from __future__ import annotations
 import random
 import re
 from collections.abc import Iterator
+from math import ceil
 
 import numpy as np
 from pyspark.sql import DataFrame
@@ -35,6 +42,7 @@ SAMPLE_ROWS = 500
 PIECE, OVERLAP = 60, 30
 N = 3
 SURE, LIKE = 0.6, 0.75
+AROUND, REST = 2, 0.5
 UNKNOWN = "unknown"
 _WORDS = re.compile(r"[^\W_]+(?:[.-][0-9]+)*")
 
@@ -54,9 +62,11 @@ NOTICES = {
         "SPDX-License-Identifier: GPL-3.0-or-later"),
     "lgpl": (
         "Licensed under the GNU Lesser General Public License, version 2.1.", "Released under the LGPL version 3",
+        "This work is licensed under the GNU Lesser General Public License, version 3.",
         "SPDX-License-Identifier: LGPL-2.1"),
     "agpl": (
-        "Licensed under the GNU Affero General Public License, version 3.", "Released under the AGPL version 3"),
+        "Licensed under the GNU Affero General Public License, version 3.", "Released under the AGPL version 3",
+        "This work is licensed under the GNU Affero General Public License, version 3."),
     "bsd": (
         "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the "
         "following conditions are met", "Released under the BSD License", "Licensed under the 3-clause BSD license",
@@ -97,6 +107,9 @@ def pieces_of(text: str | None) -> Iterator[tuple[int, list[str]]]:
             yield number, words[start : start + PIECE]
 
 
+_WANTED = {family: [words_of(n) for n in notices] for family, notices in NOTICES.items()}
+
+
 def grams(words: list[str]) -> set[str]:
     return {" ".join(words[i : i + n]) for n in range(1, N + 1) for i in range(len(words) - n + 1)}
 
@@ -199,18 +212,77 @@ def train(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", sampl
     return fit([r.piece.split(" ") for r in taken])
 
 
+def shared(words: list[str], wanted: list[str], enough: int | None = None) -> tuple[int, int]:
+    """Length of the longest common subsequence and the number of words read, at most until it has ``enough``."""
+    line = [0] * (len(wanted) + 1)
+    for read, w in enumerate(words, start=1):
+        last = 0
+        for j, x in enumerate(wanted, start=1):
+            last, line[j] = line[j], last + 1 if w == x else max(line[j], line[j - 1])
+        if line[-1] == enough:
+            return enough, read
+    return line[-1], len(words)
+
+
 def likeness(words: list[str], family: str) -> float:
     """Largest share of a notice's words that occur in the paragraph in order."""
-    best = 0.0
-    for notice in NOTICES[family]:
-        wanted = words_of(notice)
-        line = [0] * (len(wanted) + 1)
-        for w in words:
-            last = 0
-            for j, x in enumerate(wanted, start=1):
-                last, line[j] = line[j], last + 1 if w == x else max(line[j], line[j - 1])
-        best = max(best, line[-1] / len(wanted))
-    return best
+    return max(shared(words, wanted)[0] / len(wanted) for wanted in _WANTED[family])
+
+
+def stretches(words: list[str], wanted: list[str], like: float) -> list[tuple[int, int]]:
+    """(start, end) of every stretch that holds ``like`` of the wanted words in order and no shorter one that does."""
+    enough, inside = max(1, ceil(like * len(wanted) - 1e-9)), set(wanted)
+    ends: dict[int, int] = {}
+    for start, w in enumerate(words):
+        if w in inside:
+            found, read = shared(words[start:], wanted, enough)
+            if found < enough:
+                break  # later starts hold less
+            ends[start + read] = start
+    return [(start, end) for end, start in ends.items()]
+
+
+def families_of(model: Classifier, words: list[str], sure: float, like: float) -> list[tuple[str, float, float, bool]]:
+    """(family, probability, likeness, confirmed) of every family a piece is predicted to name."""
+    out: dict[str, tuple[float, float, bool]] = {}
+    present = set(words)
+    open_ = [
+        (end - start, start, end, family, wanted)
+        for family, notices in _WANTED.items() for wanted in notices
+        if sum(w in present for w in wanted) >= like * len(wanted) - 1e-9  # no order yet: a cheap bound
+        for start, end in stretches(words, wanted, like)
+    ]
+    open_.sort()
+    taken: set[int] = set()
+
+    def rest(start: int, end: int) -> list[str]:
+        return [words[i] for i in range(max(0, start), min(end, len(words))) if i not in taken]
+
+    again = True
+    while again:
+        again = False
+        for _, start, end, family, wanted in open_:
+            if family in out and out[family][2]:
+                continue
+            around = rest(start - AROUND, end + AROUND)
+            if not around or taken and shared(rest(start, end), wanted)[0] < REST * len(wanted):
+                continue
+            name, chance = model.predict(around)
+            if name == family:
+                ok = chance >= sure
+                if family not in out or (ok, chance) > (out[family][2], out[family][0]):
+                    out[family] = chance, likeness(words, family), ok
+                if ok:
+                    taken.update(range(start, end))
+                    again = True
+                    break
+    name, chance = (UNKNOWN, 1.0) if taken else model.predict(words)
+    if name != UNKNOWN:
+        alike = likeness(words, name)
+        ok = chance >= sure and alike >= like
+        if name not in out or (ok, chance) > (out[name][2], out[name][0]):
+            out[name] = chance, alike, ok
+    return [(family, *found) for family, found in out.items()]
 
 
 def scan(
@@ -231,10 +303,7 @@ def scan(
             count, last = 0, -1
             for number, words in pieces_of(text):
                 count, last = count + (number != last), number
-                family, chance = fitted.predict(words)
-                if family != UNKNOWN:
-                    alike = likeness(words, family)
-                    ok = chance >= sure and alike >= like
+                for family, chance, alike, ok in families_of(fitted, words, sure, like):
                     old = found.get((number, family))
                     if old is None or (ok, chance) > (old["confirmed"], old["probability"]):
                         found[number, family] = {

@@ -214,3 +214,17 @@ def test_licence_classifier_knows_the_unknown():
     p = model.scores(license_scan.words_of("Released under the MIT License."))
     assert p.sum() == pytest.approx(1.0) and model.names[int(p.argmax())] == "mit"
     assert license_scan.likeness(license_scan.words_of("all the rights now reserved"), "all-rights-reserved") == 1.0
+
+
+@pytest.mark.parametrize("text, families", [
+    ("Licensed under the MIT License or the Apache License, Version 2.0", "apache-2.0,mit"),
+    ("Licensed under the Apache License, Version 2.0 or the MIT License", "apache-2.0,mit"),
+    ("Released under the MIT License. Licensed under CC BY-NC 4.0.", "cc-by-nc,mit"),
+    ("Licensed under CC BY-SA 4.0 and also licensed under CC BY 4.0.", "cc-by,cc-by-sa"),
+    ("Licensed under CC BY-SA 4.0.", "cc-by-sa"),
+    ("This work is licensed under the GNU Lesser General Public License, version 3.", "lgpl"),
+    ("all the rights of the people who had reserved seats", "")])
+def test_a_line_names_all_its_licences_and_no_other(text, families):
+    model = license_scan.fit([["plain", "words", "of", "the", "corpus"]] * 20)
+    found = [f for _, words in license_scan.pieces_of(text) for f in license_scan.families_of(model, words, license_scan.SURE, license_scan.LIKE)]
+    assert ",".join(sorted(name for name, _, _, confirmed in found if confirmed)) == families
