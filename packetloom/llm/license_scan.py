@@ -1,7 +1,9 @@
 """Licence scan: a trained paragraph classifier with a calibrated unknown class, confirmed by templates.
 
-Lines of a text are its paragraphs; one of more than ``PIECE`` words is read in
-overlapping pieces, so no place is left out. A paragraph becomes a sparse vector
+Runs of non-blank lines are the paragraphs of a text, so a notice may be wrapped;
+one of more than ``PIECE`` words is read in overlapping pieces, so no place is
+left out. What lies within ``AROUND`` words of a cut is judged in the other
+piece, where the words after or before it are known. A piece becomes a sparse vector
 of the word 1- to 3-grams known from training and of the share of its words
 that are not. Softmax regression gives a probability for each licence family
 and for "unknown".
@@ -17,9 +19,10 @@ notices, in order (longest common subsequence).
 
 A paragraph may name several licences: every shortest stretch of a piece that
 holds ``like`` of a notice is classified, with ``AROUND`` words on both sides,
-and the whole piece where none of them is confirmed. Shorter stretches go first; the words of a confirmed one
-are taken out of the others, which need ``REST`` of their notice without them,
-so the words of one notice (LGPL) do not name a second family (GPL).
+and the whole piece where none of them is confirmed. Shorter stretches go
+first; the words of a confirmed one are taken out of the others, which then need
+``like`` of their notice, or ``REST`` of it and a word that the first family's
+notices do not have: the words of an LGPL notice do not name the GPL too.
 
 Null and empty texts: no paragraphs. Repeated rows each give a row, an empty
 table none (an empty corpus trains on the made rows alone).
@@ -29,8 +32,11 @@ from __future__ import annotations
 
 import random
 import re
+from bisect import bisect_right
 from collections.abc import Iterator
+from functools import lru_cache
 from math import ceil
+from operator import itemgetter
 
 import numpy as np
 from pyspark.sql import DataFrame
@@ -40,6 +46,7 @@ from packetloom.llm.common import map_batches
 
 SAMPLE_ROWS = 500
 PIECE, OVERLAP = 60, 30
+LENGTHS = (12, 24, PIECE)
 N = 3
 SURE, LIKE = 0.6, 0.75
 AROUND, REST = 2, 0.5
@@ -63,10 +70,14 @@ NOTICES = {
     "lgpl": (
         "Licensed under the GNU Lesser General Public License, version 2.1.", "Released under the LGPL version 3",
         "This work is licensed under the GNU Lesser General Public License, version 3.",
+        "This program is free software: you can redistribute it and/or modify it under the terms of the GNU Lesser General "
+        "Public License as published by the Free Software Foundation",
         "SPDX-License-Identifier: LGPL-2.1"),
     "agpl": (
         "Licensed under the GNU Affero General Public License, version 3.", "Released under the AGPL version 3",
-        "This work is licensed under the GNU Affero General Public License, version 3."),
+        "This work is licensed under the GNU Affero General Public License, version 3.",
+        "This program is free software: you can redistribute it and/or modify it under the terms of the GNU Affero General "
+        "Public License as published by the Free Software Foundation"),
     "bsd": (
         "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the "
         "following conditions are met", "Released under the BSD License", "Licensed under the 3-clause BSD license",
@@ -99,15 +110,37 @@ def words_of(line: str) -> list[str]:
     return _WORDS.findall(line.lower())
 
 
-def pieces_of(text: str | None) -> Iterator[tuple[int, list[str]]]:
-    """(paragraph number, words) of every piece with a word."""
-    for number, line in enumerate((text or "").split("\n")):
-        words = words_of(line)
-        for start in range(0, max(1, len(words) - OVERLAP), PIECE - OVERLAP) if words else ():
-            yield number, words[start : start + PIECE]
+def pieces_of(text: str | None) -> Iterator[tuple[int, list[str], tuple[int, int]]]:
+    """(paragraph number, words, start and end of those not next to a cut) of every piece with a word."""
+    number, words, start = 0, [], 0
+    for line in (text or "").split("\n"):
+        if line.strip():
+            words += words_of(line)
+            at = 0
+            while len(words) - at > PIECE:
+                yield number, words[at : at + PIECE], (start, PIECE - AROUND)
+                at, start = at + PIECE - OVERLAP, AROUND
+            words = words[at:]
+        elif words:
+            yield number, words, (start, len(words))
+            number, words, start = number + 1, [], 0
+    if words:
+        yield number, words, (start, len(words))
 
 
 _WANTED = {family: [words_of(n) for n in notices] for family, notices in NOTICES.items()}
+_SPOKEN = frozenset(w for notices in _WANTED.values() for wanted in notices for w in wanted)
+
+
+@lru_cache
+def needs_of(like: float) -> list[tuple[float, str, list[str], frozenset[str], float]]:
+    """(distinct words needed, family, words, distinct words, words that may be missing) of the notices, shortest need first."""
+    out = []
+    for family, notices in _WANTED.items():
+        for wanted in notices:
+            distinct, spare = frozenset(wanted), (1 - like) * len(wanted) + 1e-9
+            out.append((len(distinct) - spare, family, wanted, distinct, spare))
+    return sorted(out, key=itemgetter(0))
 
 
 def grams(words: list[str]) -> set[str]:
@@ -122,23 +155,32 @@ class Classifier:
         self.known = {g for g in vocabulary if " " not in g}
 
     def row(self, words: list[str]) -> tuple[list[int], float]:
-        known = self.known
-        strange = sum(w not in known for w in words) / len(words)
-        return [self.vocabulary[g] for g in grams(words) if g in self.vocabulary], strange
+        columns, strange, run = set(), 0, 0
+        for i, w in enumerate(words):
+            if w in self.known:  # only a run of known words can be a known n-gram
+                run += 1
+                columns.add(self.vocabulary[w])
+                for n in range(2, min(run, N) + 1):
+                    columns.add(self.vocabulary.get(" ".join(words[i + 1 - n : i + 1]), -1))
+            else:
+                strange, run = strange + 1, 0
+        columns.discard(-1)
+        return sorted(columns), strange / len(words)
+
+    def logits(self, columns: list[int], strange: float) -> np.ndarray:
+        z = self.weights[-2] + self.weights[-1] * strange + np.add.reduce(self.weights.take(columns, axis=0))
+        return (z - z.max()) / self.temperature
 
     def scores(self, words: list[str]) -> np.ndarray:
-        columns, strange = self.row(words)
-        z = self.weights[-2] + self.weights[-1] * strange + self.weights[columns].sum(axis=0)
-        z = (z - z.max()) / self.temperature
-        p = np.exp(z - z.max())
+        p = np.exp(self.logits(*self.row(words)))
         return p / p.sum()
 
     def predict(self, words: list[str]) -> tuple[str, float]:
-        if sum(w in self.known for w in words) < 2:  # a notice has two known words at least
+        columns, strange = self.row(words)
+        if (1 - strange) * len(words) < 1.5:  # a notice has two known words at least
             return UNKNOWN, 1.0
-        p = self.scores(words)
-        best = int(p.argmax())
-        return self.names[best], float(p[best])
+        z = self.logits(columns, strange)
+        return self.names[int(z.argmax())], float(1 / np.exp(z).sum())
 
 
 def training_rows(paragraphs: list[list[str]], seed: int = 11) -> list[tuple[list[str], str]]:
@@ -146,11 +188,12 @@ def training_rows(paragraphs: list[list[str]], seed: int = 11) -> list[tuple[lis
     rng = random.Random(seed)
     around = [w for p in paragraphs for w in p] or [w for d in DECOYS for w in words_of(d)]
     rows = []
+    others = {family: {w for other in NOTICES if other != family for n in _WANTED[other] for w in n} for family in NOTICES}
     for family in sorted(NOTICES):
-        for notice in NOTICES[family]:
-            words = words_of(notice)
+        for words in _WANTED[family]:
             for k in range(24):
-                kept = [w for w in words if k < 4 or rng.random() > 0.08] or words
+                # words of no other family stay: without "affero" the notice is the GPL's
+                kept = [w for w in words if k < 4 or w not in others[family] or rng.random() > 0.08] or words
                 before, after = (rng.choices(around, k=rng.choice((0, 0, 3, 10))) for _ in range(2))
                 rows.append(((before + kept + after)[:PIECE], family))
     decoys = [words_of(d) for d in DECOYS]
@@ -198,14 +241,15 @@ def fit(paragraphs: list[list[str]], steps: int = 250, rate: float = 0.05, penal
 
 
 def train(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", sample_rows: int = SAMPLE_ROWS) -> Classifier:
-    """The classifier, with unknown paragraphs from a bounded sample: one short piece from each of ten places a text."""
+    """The classifier, with unknown paragraphs from a bounded sample: pieces of three lengths from ten places a text."""
     sample = docs.where(F.col(text_col).isNotNull()).orderBy(F.xxhash64(id_col), id_col).limit(sample_rows)
 
     def pick(batch: dict[str, list]) -> dict[str, object]:
         out = []
         for text in batch["text"]:
-            pieces = [p for _, p in pieces_of(text) if not MARKS & set(p)]
-            out += [" ".join(p) for p in pieces[:: max(1, len(pieces) // 10)][:10]]
+            pieces = [p for _, p, _ in pieces_of(text) if not MARKS & set(p)]
+            chosen = pieces[:: max(1, len(pieces) // 10)][:10]
+            out += [" ".join(p[: LENGTHS[k % len(LENGTHS)]]) for k, p in enumerate(chosen)]  # as long as a notice, or longer
         return {"piece": out}
 
     taken = map_batches(sample.select(F.col(text_col).alias("text")), pick, "piece string").orderBy("piece").collect()
@@ -242,22 +286,32 @@ def stretches(words: list[str], wanted: list[str], like: float) -> list[tuple[in
     return [(start, end) for end, start in ends.items()]
 
 
-def families_of(model: Classifier, words: list[str], sure: float, like: float) -> list[tuple[str, float, float, bool]]:
-    """(family, probability, likeness, confirmed) of every family a piece is predicted to name."""
+def families_of(
+    model: Classifier, words: list[str], inner: tuple[int, int], sure: float, like: float,
+) -> list[tuple[str, float, float, bool]]:
+    """(family, probability, likeness, confirmed) of every family that a piece is predicted to name in its ``inner`` words."""
     out: dict[str, tuple[float, float, bool]] = {}
-    present = set(words)
+    present, needs = _SPOKEN.intersection(words), needs_of(like)
     open_ = [
         (end - start, start, end, family, wanted)
-        for family, notices in _WANTED.items() for wanted in notices
-        if sum(w in present for w in wanted) >= like * len(wanted) - 1e-9  # no order yet: a cheap bound
+        for _, family, wanted, distinct, spare in needs[: bisect_right(needs, len(present), key=itemgetter(0))]
+        if len(distinct - present) <= spare  # no order yet: a cheap bound
         for start, end in stretches(words, wanted, like)
+        if inner[0] <= start and end <= inner[1] or end - start > OVERLAP - AROUND
     ]
     open_.sort()
-    taken: set[int] = set()
+    taken: dict[int, str] = {}
 
     def rest(start: int, end: int) -> list[str]:
         return [words[i] for i in range(max(0, start), min(end, len(words))) if i not in taken]
 
+    def own(start: int, end: int, wanted: list[str]) -> bool:
+        """Whether the stretch still speaks for its family without what confirmed families took."""
+        foreign = {w for g in {taken[i] for i in range(start, end) if i in taken} for n in _WANTED[g] for w in n}
+        left = rest(start, end)
+        held = shared(left, wanted)[0] / len(wanted)
+        return held >= like or held >= REST and any(w in left for w in wanted if w not in foreign)
+
     again = True
     while again:
         again = False
@@ -265,7 +319,7 @@ def families_of(model: Classifier, words: list[str], sure: float, like: float) -
             if family in out and out[family][2]:
                 continue
             around = rest(start - AROUND, end + AROUND)
-            if not around or taken and shared(rest(start, end), wanted)[0] < REST * len(wanted):
+            if not around or not taken.keys().isdisjoint(range(start, end)) and not own(start, end, wanted):
                 continue
             name, chance = model.predict(around)
             if name == family:
@@ -273,12 +327,12 @@ def families_of(model: Classifier, words: list[str], sure: float, like: float) -
                 if family not in out or (ok, chance) > (out[family][2], out[family][0]):
                     out[family] = chance, likeness(words, family), ok
                 if ok:
-                    taken.update(range(start, end))
+                    taken.update(dict.fromkeys(range(start, end), family))
                     again = True
                     break
     name, chance = (UNKNOWN, 1.0) if taken else model.predict(words)
     if name != UNKNOWN:
-        alike = likeness(words, name)
+        alike = likeness(words[slice(*inner)], name)
         ok = chance >= sure and alike >= like
         if name not in out or (ok, chance) > (out[name][2], out[name][0]):
             out[name] = chance, alike, ok
@@ -301,9 +355,9 @@ def scan(
         for text in batch["text"]:
             found: dict[tuple[int, str], dict] = {}
             count, last = 0, -1
-            for number, words in pieces_of(text):
+            for number, words, inner in pieces_of(text):
                 count, last = count + (number != last), number
-                for family, chance, alike, ok in families_of(fitted, words, sure, like):
+                for family, chance, alike, ok in families_of(fitted, words, inner, sure, like):
                     old = found.get((number, family))
                     if old is None or (ok, chance) > (old["confirmed"], old["probability"]):
                         found[number, family] = {

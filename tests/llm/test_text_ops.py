@@ -226,5 +226,42 @@ def test_licence_classifier_knows_the_unknown():
     ("all the rights of the people who had reserved seats", "")])
 def test_a_line_names_all_its_licences_and_no_other(text, families):
     model = license_scan.fit([["plain", "words", "of", "the", "corpus"]] * 20)
-    found = [f for _, words in license_scan.pieces_of(text) for f in license_scan.families_of(model, words, license_scan.SURE, license_scan.LIKE)]
-    assert ",".join(sorted(name for name, _, _, confirmed in found if confirmed)) == families
+    assert confirmed(model, text) == families
+
+
+def confirmed(model, text):
+    found = {f: ok for _, words, inner in license_scan.pieces_of(text)
+             for f, _, _, ok in license_scan.families_of(model, words, inner, license_scan.SURE, license_scan.LIKE) if ok}
+    return ",".join(sorted(found))
+
+
+MIT = """Permission is hereby granted, free of charge, to any person obtaining a copy
+of this software and associated documentation files (the "Software"), to deal
+in the Software without restriction, including without limitation the rights
+to use, copy, modify, merge, publish, distribute, sublicense, and/or sell
+copies of the Software, and to permit persons to whom the Software is
+furnished to do so, subject to the following conditions:"""
+BSD = """Redistribution and use in source and binary forms, with or without
+modification, are permitted provided that the following conditions are met:"""
+GPL = """ * This program is free software: you can redistribute it and/or modify
+ * it under the terms of the GNU General Public License as published by
+ * the Free Software Foundation, either version 3 of the License, or
+ * (at your option) any later version."""
+PROSE = "the water under the house and some other words of a long text\n"
+
+
+@pytest.mark.parametrize("notice, family", [
+    (MIT, "mit"), (BSD, "bsd"), (GPL, "gpl"), (GPL.replace("GNU", "GNU Lesser"), "lgpl"), (GPL.replace("GNU", "GNU Affero"), "agpl"),
+    ("All rights\nreserved.", "all-rights-reserved"), ("Licensed under CC BY-SA\n4.0.", "cc-by-sa")])
+def test_wrapped_notices(notice, family):
+    model = license_scan.fit([PROSE.split()] * 20)
+    for text in (notice, f"Title\r\n\r\n{notice.replace(chr(10), chr(13) + chr(10))}\r\n\r\nmore", PROSE * 7 + notice + "\n" + PROSE * 9):
+        assert confirmed(model, text) == family
+    for k in range(62):  # wherever the pieces are cut
+        assert confirmed(model, "water " * k + notice + " " + PROSE * 9) == family
+
+
+def test_runs_of_lines_are_paragraphs(spark):
+    docs = spark.createDataFrame([(1, MIT + "\n\n \n" + BSD + "\nmore\n"), (2, "\n\n"), (3, "one\ntwo")], "doc_id int, text string")
+    got = {r.doc_id: (r.families, r.n_paragraphs) for r in license_scan.scan(docs, license_scan.train(docs)).collect()}
+    assert got == {1: ("bsd,mit", 2), 2: ("", 0), 3: ("", 1)}
