@@ -1,6 +1,7 @@
 """A training corpus from raw documents: five stages, each written as Parquet and read again by the next.
 
-1. language_id: documents without a letter, or nearer than ``LEAST_SCORE`` to no language, go.
+1. language_id: documents that get no language (``und``) go: those without a letter, and all if none was learned. There is
+   no least score, as a short text is near no language for its length alone.
 2. near_duplicates: of documents linked by shingle similarity the one with the smallest id stays.
 3. decontamination: documents of which benchmark passages cover a twentieth or more go.
 4. pii: personal data is replaced by its kind in square brackets; n_chars of a changed text is its new length.
@@ -18,12 +19,10 @@ from pyspark.sql import functions as F
 from packetloom.llm import fm_decontam, hd_language, pii_crf, prefix_join, vector_packing
 from packetloom.llm.common import remainder, store, table, without
 
-LEAST_SCORE = 0.1
-
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     prototypes = hd_language.learn(docs.where(remainder("doc_id", 4) != 2))
-    return hd_language.keep_known(docs, prototypes, LEAST_SCORE)
+    return hd_language.keep_known(docs, prototypes)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -235,10 +235,9 @@ def predict(
 
 
 def keep_known(
-    docs: DataFrame, prototypes: dict[str, np.ndarray], least: float, text_col: str = "text", dimension: int = DIMENSION,
-    seed: int = SEED,
+    docs: DataFrame, prototypes: dict[str, np.ndarray], text_col: str = "text", dimension: int = DIMENSION, seed: int = SEED,
 ) -> DataFrame:
-    """The rows whose text gets a language with a score of at least ``least``; columns and texts as they are."""
+    """The rows whose text ``predict`` gives a language, however low its score; columns and texts as they are."""
     names = list(prototypes)
     unit = np.array([v / np.linalg.norm(v) for v in prototypes.values()]).reshape(len(names), dimension)
 
@@ -247,8 +246,8 @@ def keep_known(
             texts = [t or "" for t in batch.column(batch.schema.get_field_index(text_col)).to_pylist()]
             kept = np.zeros(len(texts), dtype=bool)
             for part in few(texts) if names else ():
-                _, scores = best_of(texts[part], unit, dimension, seed)
-                kept[part] = scores >= least
+                best, _ = best_of(texts[part], unit, dimension, seed)
+                kept[part] = best >= 0
             yield batch.filter(pa.array(kept))
 
     return docs.mapInArrow(run, docs.schema)

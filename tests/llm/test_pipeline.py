@@ -162,3 +162,13 @@ def test_unique_ids_need_no_copy_and_give_the_same(spark, tmp_path):
 
 def rows_of(rows, doc):
     return next(r[1] for r in rows if r[0] == doc)
+
+
+def test_short_documents_with_a_language_stay(spark):
+    rng = random.Random(3)
+    long = [(4 * i, sentence(rng, [f"{w}{x}" for w in ("water", "house", "under") for x in "bcdfghklmnprst"], 400), "en", "s", 0) for i in range(20)]
+    short = [(1, "Avec.", "fr", "s", 5), (5, "A.", "en", "s", 2), (9, "A.\nAll rights reserved.", "en", "s", 23), (13, "Ja", None, "s", 2), (17, "\u0436", None, "s", 1)]
+    without = [(3, "12 ...", "en", "s", 6), (7, "", "en", "s", 0), (11, None, "en", "s", 0)]
+    docs = spark.createDataFrame(long + short + without, SCHEMA)
+    kept = {r.doc_id for r in corpus_pipeline.language_id(spark, docs, "").collect()}
+    assert kept == {r[0] for r in long + short}
