@@ -103,7 +103,7 @@ def stream_rolling(spark, sf):
     ALERTS,
 )
 def stream_alerts(spark, sf):
-    """All rules of closed minutes. Every batch is written twice, as a replay after a failure would."""
+    """The rules of closed minutes, without the statistical one. Every batch is written twice, as a replay after a failure would."""
     path = scratch_path(spark, "alerts")
     write = queries.append_new_alerts(f"{path}/alerts")
 
@@ -115,6 +115,20 @@ def stream_alerts(spark, sf):
     return spark.read.parquet(f"{path}/alerts").drop("dt")
 
 
+@query("stream_all_alerts", f"SELECT * REPLACE ({ESCALATED_SQL}) FROM alerts", ALERTS)
+def stream_all_alerts(spark, sf):
+    """All rules, the statistical one too, in one sink. Every batch is written twice, as a replay after a failure would."""
+    path = scratch_path(spark, "all-alerts")
+    write = queries.append_new_alerts(f"{path}/alerts")
+
+    def twice(batch, epoch):
+        write(batch, epoch)
+        write(batch, epoch)
+
+    ordered.run_alerts(_stream(spark, load_packets(spark, sf)), path, twice)
+    return spark.read.parquet(f"{path}/alerts").drop("dt")
+
+
 @query(
     "stream_topk",
     "SELECT src_ip, CAST(sum(packet_size) AS BIGINT) AS total_bytes FROM packets GROUP BY 1 ORDER BY 2 DESC, 1 LIMIT 5",

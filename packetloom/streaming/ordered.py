@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 from packetloom import schema
 from packetloom.operators import detect, ordering
 from packetloom.operators.ordering import Indexed
-from packetloom.streaming.queries import exists, remove, run_batches
+from packetloom.streaming.queries import exists, minute_rules, remove, run_batches
 from packetloom.streaming.source import SENTINEL_ID
 
 DELAY = timedelta(seconds=30)
@@ -119,6 +119,14 @@ def run_closed_windows(
     call with the same ``path`` continues.
     """
 
+    each = _closed_windows(operator, path, seconds, write)
+    run_batches(stream, each, checkpoint=f"{path}/checkpoint", trigger=trigger)
+    return stream.sparkSession.read.parquet(f"{path}/out").drop("epoch") if write is None else None
+
+
+def _closed_windows(
+    operator: Callable[[DataFrame], DataFrame], path: str, seconds: int, write: Callable[[DataFrame, int], None] | None,
+) -> Callable[[DataFrame, int], None]:
     def each(batch: DataFrame, number: int) -> None:
         epoch = _Epoch(batch.sparkSession, path, number)
         final = epoch.release(batch, seconds)
@@ -129,13 +137,22 @@ def run_closed_windows(
                 write(operator(final), number)
         epoch.close()
 
-    run_batches(stream, each, checkpoint=f"{path}/checkpoint", trigger=trigger)
-    return stream.sparkSession.read.parquet(f"{path}/out").drop("epoch") if write is None else None
+    return each
 
 
-def run_rolling(stream: DataFrame, path: str, frame: int = 1000, trigger: dict | None = None) -> DataFrame:
-    """The statistical detector live: released packets with the last ``frame`` as context."""
+def run_rolling(
+    stream: DataFrame, path: str, frame: int = 1000, trigger: dict | None = None,
+    write: Callable[[DataFrame, int], None] | None = None,
+) -> DataFrame | None:
+    """The statistical detector live: released packets with the last ``frame`` as context.
+
+    Its rows go to ``path/out``, whose table is returned, or to ``write``.
+    """
+    run_batches(stream, _rolling(path, frame, write), checkpoint=f"{path}/checkpoint", trigger=trigger)
+    return stream.sparkSession.read.parquet(f"{path}/out").drop("epoch") if write is None else None
 
+
+def _rolling(path: str, frame: int, write: Callable[[DataFrame, int], None] | None) -> Callable[[DataFrame, int], None]:
     def each(batch: DataFrame, number: int) -> None:
         spark = batch.sparkSession
         epoch = _Epoch(spark, path, number)
@@ -156,12 +173,32 @@ def run_rolling(stream: DataFrame, path: str, frame: int = 1000, trigger: dict |
             found = detect.statistical(shifted, frame).join(
                 shifted.df.where(F.col("i") > seen).select(F.col("id").alias("packet_id")), "packet_id", "left_semi"
             )
-            found.write.mode("overwrite").parquet(f"{path}/out/epoch={number}")
+            if write is None:
+                found.write.mode("overwrite").parquet(f"{path}/out/epoch={number}")
+            else:
+                write(found, number)
             epoch.seen = seen - context + indexed.total
             shifted.df.where(F.col("i") > epoch.seen - frame).select(*schema.PACKET_COLUMNS).write.mode("overwrite").parquet(kept)
         epoch.close()
         if number > 1:
             remove(spark, f"{path}/tail/epoch={number - 2}")
 
+    return each
+
+
+def run_alerts(
+    stream: DataFrame, path: str, write: Callable[[DataFrame, int], None], frame: int = 1000, trigger: dict | None = None,
+) -> None:
+    """All detections of a stream into one sink: rules of closed minutes and the statistical detector.
+
+    One query runs both on every batch, one after the other, so two writers never append to the sink at once. Each
+    keeps its own state below ``path``. ``write`` must take a replay, as ``append_new_alerts`` does.
+    """
+    rules = _closed_windows(minute_rules, f"{path}/rules", 60, write)
+    statistical = _rolling(f"{path}/rolling", frame, write)
+
+    def each(batch: DataFrame, number: int) -> None:
+        rules(batch, number)
+        statistical(batch, number)
+
     run_batches(stream, each, checkpoint=f"{path}/checkpoint", trigger=trigger)
-    return stream.sparkSession.read.parquet(f"{path}/out").drop("epoch")

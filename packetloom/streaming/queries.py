@@ -150,7 +150,7 @@ def remove(spark: SparkSession, path: str) -> None:
 
 
 def minute_rules(packets: DataFrame) -> DataFrame:
-    """All rules over packets of whole minutes, for windows that have closed."""
+    """All rules but the statistical one over packets of whole minutes, for windows that have closed."""
     idx = ordering.with_global_index(packets)
     found = detect.suspicious_port(packets)
     for more in (detect.large_packet(packets), detect.port_scan(packets), detect.high_rate(packets),

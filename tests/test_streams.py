@@ -5,7 +5,7 @@ from datetime import datetime, timedelta
 import pytest
 from pyspark.sql import functions as F
 
-from packetloom.operators import detect, features, ordering
+from packetloom.operators import alerts, detect, features, ordering
 from packetloom.sources import packets as store
 from packetloom.streaming import ordered, queries, source
 from tests.helpers import random_packets, table
@@ -61,6 +61,18 @@ def test_rolling_statistics_go_on_after_a_restart(spark, packets, tmp_path):
     assert rows_of(got, "packet_id", "score") == rows_of(want, "packet_id", "score")
 
 
+def test_alerts_of_all_rules_reach_one_sink(spark, packets, tmp_path):
+    """The statistical detector (rule 0 of 16) is among them."""
+    folder, path = f"{tmp_path}/in", f"{tmp_path}/work"
+    feed(packets, folder, range(6))
+    ordered.run_alerts(source.read_files(spark, folder, 4), path, queries.append_new_alerts(f"{path}/alerts"), 50)
+    found = queries.minute_rules(packets).unionByName(detect.statistical(ordering.with_global_index(packets), 50))
+    want = alerts.escalate(alerts.from_detections(found)).dropDuplicates(["id"])
+    got = spark.read.parquet(f"{path}/alerts")
+    assert want.where("id % 16 = 0").count() > 0 and want.where("id % 16 > 0").count() > 0
+    assert rows_of(got, *want.columns) == rows_of(want, *want.columns)
+
+
 def test_a_replayed_epoch_gives_the_same(spark, packets, tmp_path):
     """Every epoch twice, the second time by a driver that knows nothing but the folder."""
     path = str(tmp_path)
