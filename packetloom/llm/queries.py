@@ -12,12 +12,15 @@ from packetloom.llm import (
     hd_language,
     interleave_shards,
     license_scan,
+    minhash_bbit,
     multi_index,
     pii_crf,
     prefix_join,
+    spelling_variants,
     token_counts,
     toxicity,
     vector_packing,
+    whitening,
 )
 from packetloom.llm.common import remainder, table
 
@@ -128,3 +131,63 @@ def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     return pii_crf.find(docs, pii_crf.learn(docs))
+
+
+@query("op13_whitening")
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = table(spark, sf_dir, "embeddings")
+    rows = whitening.whiten(vectors, whitening.fit(vectors))
+    return rows.withColumn("deviation", F.col("deviation").cast("long"))
+
+
+@query("op12_spelling_variants")
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling_variants.variants(table(spark, sf_dir, "documents"))
+
+
+ORACLES["op12_spelling_variants"] = r"""
+WITH RECURSIVE tab AS (SELECT i, list_reduce(list_prepend(CAST(i AS BIGINT), range(8)),
+    lambda x, y: CASE WHEN x % 2 = 1 THEN xor(x // 2, 3988292384) ELSE x // 2 END) AS c FROM range(256) g(i)),
+r AS (SELECT coalesce(CAST(doc_id AS VARCHAR), '') AS doc, unnest(regexp_extract_all(translate(coalesce(text, ''),
+    'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[A-Za-z\x{C0}-\x{FF}]+')) AS run FROM documents),
+d AS (SELECT run, hex(encode(doc || ':' || run)) AS code, count(*) AS n FROM r GROUP BY ALL),
+crc AS (SELECT code, 0 AS pos, CAST(4294967295 AS BIGINT) AS state FROM d
+    UNION ALL SELECT code, pos + 1, xor(state // 256, c) FROM crc
+    JOIN tab ON i = xor(state % 256, CAST('0x' || substr(code, 2 * pos + 1, 2) AS BIGINT)) WHERE 2 * pos < length(code)),
+h AS (SELECT run, n, xor(state, 4294967295) AS h FROM d JOIN crc USING (code) WHERE 2 * pos = length(code)),
+w AS (SELECT CASE WHEN h % 199 = 0 THEN substr(run, 1, CAST(h % length(run) AS INT)) || substr(run, CAST(h % length(run) AS INT) + 2) ELSE run END AS word, n FROM h),
+v AS (SELECT word, CAST(sum(n) AS BIGINT) AS n FROM w WHERE length(word) >= 6 GROUP BY 1 HAVING sum(n) >= 5),
+del AS (SELECT word, i, substr(word, 1, CAST(i AS INT) - 1) || substr(word, CAST(i AS INT) + 1) AS rest
+    FROM (SELECT word, unnest(range(1, length(word) + 1)) AS i FROM v) q),
+near AS (SELECT a.word AS x, b.word AS y FROM del a JOIN del b ON a.i = b.i AND a.rest = b.rest AND a.word <> b.word
+    AND length(a.word) = length(b.word)
+    UNION SELECT word, rest FROM del WHERE rest IN (SELECT word FROM v)
+    UNION SELECT rest, word FROM del WHERE rest IN (SELECT word FROM v)),
+k AS (SELECT x, count(*) AS n_near FROM near GROUP BY 1),
+best AS (SELECT x, y, v.n AS m, row_number() OVER (PARTITION BY x ORDER BY v.n DESC, encode(y)) AS p FROM near JOIN v ON v.word = y),
+f AS (SELECT x, y, m FROM best JOIN v ON v.word = x WHERE p = 1 AND m >= 5 * v.n),
+way AS (SELECT x, y, 1 AS depth FROM f UNION ALL SELECT way.x, f.y, depth + 1 FROM way JOIN f ON f.x = way.y),
+top AS (SELECT x, arg_max(y, depth) AS root FROM way GROUP BY 1)
+SELECT v.word, v.n, coalesce(n_near, 0) AS n_near, f.y AS form, f.m AS form_n, coalesce(root, v.word) AS root
+FROM v LEFT JOIN k ON k.x = v.word LEFT JOIN f ON f.x = v.word LEFT JOIN top ON top.x = v.word
+"""
+
+
+@query("op11_bbit_minhash")
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minhash_bbit.near_duplicates(table(spark, sf_dir, "documents"))
+
+
+ORACLES["op11_bbit_minhash"] = r"""
+WITH RECURSIVE d AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+    'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w FROM documents),
+i AS (SELECT doc_id, w, unnest(generate_series(1, greatest(1, len(w) - 2))) AS i FROM d WHERE len(w) > 0),
+sh AS (SELECT DISTINCT doc_id, array_to_string(w[i:i + 2], ' ') AS s FROM i),
+n AS (SELECT doc_id, count(*) AS n FROM sh GROUP BY 1),
+p AS (SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS k FROM sh a JOIN sh b ON a.s = b.s AND a.doc_id <> b.doc_id GROUP BY 1, 2),
+link AS (SELECT x, y FROM p JOIN n nx ON nx.doc_id = x JOIN n ny ON ny.doc_id = y WHERE 100 * k >= 85 * (nx.n + ny.n - k)),
+reach AS (SELECT x, y FROM link UNION SELECT reach.x, link.y FROM reach JOIN link ON reach.y = link.x)
+SELECT d.doc_id, coalesce(n.n, 0) AS n_shingles, least(d.doc_id, coalesce(r.m, d.doc_id)) AS component_id,
+  d.doc_id = least(d.doc_id, coalesce(r.m, d.doc_id)) AS kept
+FROM d LEFT JOIN n USING (doc_id) LEFT JOIN (SELECT x, min(y) AS m FROM reach GROUP BY 1) r ON r.x = d.doc_id
+"""
