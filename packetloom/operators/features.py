@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
@@ -79,19 +80,31 @@ def _finish(c: dict[str, Column]) -> list[Column]:
     return [formulas[name].cast("double").alias(name) for name in FEATURES]
 
 
+def _port_counts(packets: DataFrame, keys: list[str]) -> DataFrame:
+    """Exact distinct ports per key: 64 ports are the bits of one BIGINT, so tasks send words, not ports."""
+    entry = lambda kind, port: F.struct(
+        F.lit(kind).alias("kind"), F.shiftright(port, 6).alias("word"),
+        F.call_function("shiftleft", F.lit(1).cast("bigint"), F.col(port).bitwiseAND(63)).alias("bit"))
+    bits = packets.select(*keys, F.explode(F.array(entry(0, "src_port"), entry(1, "dst_port"))).alias("e"))
+    words = bits.select(*keys, "e.*").groupBy(*keys, "kind", "word").agg(F.bit_or("bit").alias("bits"))
+    ports = lambda kind: F.sum(F.when(F.col("kind") == kind, F.bit_count("bits").cast("bigint")))
+    return words.groupBy(*keys).agg(ports(0).alias("d_src_port"), ports(1).alias("d_dst_port"))
+
+
 def features(idx: Indexed, keys: Sequence[str] = ()) -> DataFrame:
     """One feature row per key (one row of zeros for an empty keyless input).
 
-    Inter-arrival times are taken inside each key by way of blocks; everything
-    else is one aggregation with map-side combine, distinct counts included, so a
-    key that owns most packets is still reduced by all tasks.
+    Inter-arrival times are taken inside each key by way of blocks; sums are one aggregation with map-side combine, so a
+    key that owns most packets is still reduced by all tasks. Distinct counts are taken apart, from narrow rows that are
+    reduced first: ports as bits of words, addresses from the distinct (source, destination) pairs. No packet is repeated
+    with all its columns for a count.
     """
     keys = list(keys)
+    marks = list(_row_marks())
     rows = ordering.inter_arrival(idx, keys, out="iat_us").df.withColumns(_row_marks())
     iat = F.col("iat_us").cast("decimal(18,0)")
     size = F.col("packet_size").cast("decimal(18,0)")
-    marks = list(_row_marks())
-    grouped = rows.groupBy(*keys).agg(
+    sums = rows.groupBy(*keys).agg(
         F.count("*").alias("n"),
         F.sum("packet_size").alias("s_size"),
         F.sum((size * size).cast("decimal(28,0)")).alias("q_size"),
@@ -100,12 +113,24 @@ def features(idx: Indexed, keys: Sequence[str] = ()) -> DataFrame:
         net.micros_between(F.min("timestamp"), F.max("timestamp")).alias("span_us"),
         F.sum((iat * iat).cast("decimal(28,0)")).alias("q_iat"),
         *[F.sum(m).alias(m) for m in marks],
-        F.count_distinct("src_port").alias("d_src_port"),
-        F.count_distinct("dst_port").alias("d_dst_port"),
-        F.count_distinct("src_ip").alias("d_src"),
-        F.count_distinct("dst_ip").alias("d_dst"),
-        F.count_distinct("src_ip", "dst_ip").alias("d_pair"),
     )
+    pairs = idx.df.select(*keys, F.col("src_ip").alias("_src"), F.col("dst_ip").alias("_dst")).distinct()
+    senders = pairs.groupBy(*keys, "_src").agg(F.count_if(F.col("_dst").isNotNull()).alias("_n"))
+    counts = [
+        _port_counts(idx.df, keys),
+        senders.groupBy(*keys).agg(F.count("_src").alias("d_src"), F.sum(F.when(F.col("_src").isNotNull(), F.col("_n"))).alias("d_pair")),
+        pairs.select(*keys, "_dst").distinct().groupBy(*keys).agg(F.count("_dst").alias("d_dst")),
+    ]
+    grouped = sums
+    for table in counts:
+        names = [c for c in table.columns if c not in keys]
+        if keys:
+            table = table.withColumnsRenamed({k: f"_k_{k}" for k in keys})
+            same = reduce(Column.__and__, [F.col(k).eqNullSafe(F.col(f"_k_{k}")) for k in keys])
+            grouped = grouped.join(table, same, "left").drop(*[f"_k_{k}" for k in keys])
+        else:
+            grouped = grouped.select("*", *[table.select(name).scalar().alias(name) for name in names])
+    grouped = grouped.fillna(0, ["d_src_port", "d_dst_port", "d_src", "d_pair", "d_dst"])
     columns = {c: F.col(c) for c in grouped.columns if c not in keys}
     return grouped.select(*keys, F.col("n").alias("packets"), *_finish(columns))
 
@@ -126,6 +151,11 @@ def features_windowed(packets: DataFrame | Indexed, seconds: int = 60, slide: in
     return features(idx.replace(rows), ["window_start"])
 
 
+def features_of_windows(packets: DataFrame) -> DataFrame:
+    """Features per window of packets that carry their ``window_start``, once for every window they lie in."""
+    return features(ordering.with_global_index(packets.select(*INPUT, "window_start")), ["window_start"])
+
+
 def features_anchored(packets: DataFrame | Indexed, seconds: float = 5.0) -> DataFrame:
     """Features per anchored window (each opens at its first packet)."""
     idx = packets if isinstance(packets, Indexed) else index_packets(packets)

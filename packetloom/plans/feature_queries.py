@@ -68,12 +68,11 @@ def features_windowed(spark, sf):
     return rounded(features.features_windowed(load_packets(spark, sf), 60), "window_start", "packets")
 
 
-@query(
-    "feature_buffer",
-    _show(feature_sql("sr", ["window_start"]), ["window_start"]),
-    """sr AS (SELECT p.*, time_bucket(INTERVAL 10 SECOND, timestamp) - o * INTERVAL 10 SECOND AS window_start
-      FROM packets p, range(3) t(o))""",
-)
+SLIDING_SQL = """sr AS (SELECT p.*, time_bucket(INTERVAL 10 SECOND, timestamp) - o * INTERVAL 10 SECOND AS window_start
+      FROM packets p, range(3) t(o))"""
+
+
+@query("feature_buffer", _show(feature_sql("sr", ["window_start"]), ["window_start"]), SLIDING_SQL)
 def feature_buffer(spark, sf):
     """Sliding buffer: 30 s of traffic every 10 s."""
     return rounded(features.features_windowed(load_packets(spark, sf), 30, 10), "window_start", "packets")

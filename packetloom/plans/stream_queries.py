@@ -6,14 +6,14 @@ from datetime import timedelta
 
 from pyspark.sql import functions as F
 
-from packetloom.operators import detect, features, ordering
+from packetloom.operators import detect, ordering
 from packetloom.plans.detect_queries import ESCALATED_SQL, _show
 from packetloom.plans.detect_sql import ALERTS, EMIT, ROLL_SQL, RULES_SQL, STATISTICAL_SQL
-from packetloom.plans.feature_queries import ROUNDED, WIN_FEATURES, rounded
+from packetloom.plans.feature_queries import ANCHORED_SQL, ROUNDED, SLIDING_SQL, WIN_FEATURES, feature_sql, rounded
 from packetloom.plans.registry import LOGS_SQL, query
 from packetloom.session import scratch_path
 from packetloom.sources.packets import load_packets
-from packetloom.streaming import ordered, queries, source
+from packetloom.streaming import held, late, queries, source
 
 FILES = 2
 
@@ -69,7 +69,7 @@ def stream_ddos(spark, sf):
     def operator(packets):
         return detect.ddos_10x(ordering.with_global_index(packets))
 
-    return _show(ordered.run_closed_windows(stream, operator, scratch_path(spark, "ddos")))
+    return _show(held.run_windows(stream, operator, scratch_path(spark, "ddos")))
 
 
 @query(
@@ -84,17 +84,32 @@ def stream_stateless(spark, sf):
 
 @query("stream_features", f"SELECT window_start, packets, {ROUNDED} FROM wf", WIN_FEATURES)
 def stream_features(spark, sf):
-    stream = _stream(spark, load_packets(spark, sf))
-    rows = ordered.run_closed_windows(
-        stream, lambda packets: features.features_windowed(packets, 60), scratch_path(spark, "features")
-    )
+    rows = held.run_features(_stream(spark, load_packets(spark, sf)), scratch_path(spark, "features"))
+    return rounded(rows, "window_start", "packets")
+
+
+@query(
+    "stream_features_sliding",
+    f"SELECT window_start, packets, {ROUNDED} FROM ({feature_sql('sr', ['window_start'])}) z",
+    SLIDING_SQL,
+)
+def stream_features_sliding(spark, sf):
+    """30 s of traffic every 10 s, each window split over eight keys of state."""
+    rows = held.run_features(_stream(spark, load_packets(spark, sf)), scratch_path(spark, "sliding"), 30, 10)
+    return rounded(rows, "window_start", "packets")
+
+
+@query("stream_features_anchored", f"SELECT window_start, packets, {ROUNDED} FROM af", ANCHORED_SQL)
+def stream_features_anchored(spark, sf):
+    """Windows of 5 s that open at their first packet."""
+    rows = held.run_anchored(_stream(spark, load_packets(spark, sf)), scratch_path(spark, "anchored"), 5.0)
     return rounded(rows, "window_start", "packets")
 
 
 @query("stream_rolling", EMIT.format("d_stat"), [ROLL_SQL, STATISTICAL_SQL])
 def stream_rolling(spark, sf):
     stream = _stream(spark, load_packets(spark, sf))
-    return _show(ordered.run_rolling(stream, scratch_path(spark, "rolling")))
+    return _show(held.run_rolling(stream, scratch_path(spark, "rolling")))
 
 
 @query(
@@ -111,7 +126,7 @@ def stream_alerts(spark, sf):
         write(batch, epoch)
         write(batch, epoch)
 
-    ordered.run_closed_windows(_stream(spark, load_packets(spark, sf)), queries.minute_rules, path, write=twice)
+    held.run_windows(_stream(spark, load_packets(spark, sf)), queries.minute_rules, path, write=twice)
     return spark.read.parquet(f"{path}/alerts").drop("dt")
 
 
@@ -125,7 +140,7 @@ def stream_all_alerts(spark, sf):
         write(batch, epoch)
         write(batch, epoch)
 
-    ordered.run_alerts(_stream(spark, load_packets(spark, sf)), path, twice)
+    held.run_alerts(_stream(spark, load_packets(spark, sf)), path, twice)
     return spark.read.parquet(f"{path}/alerts").drop("dt")
 
 
@@ -137,16 +152,20 @@ def stream_topk(spark, sf):
     return queries.run_top_k(_stream(spark, load_packets(spark, sf)), scratch_path(spark, "topk"), 5)
 
 
-@query("stream_late", RATE_SQL)
+LATE_SQL = """edge AS (SELECT epoch_us(min(timestamp)) + (epoch_us(max(timestamp)) - epoch_us(min(timestamp))) // 2 - 90000000
+    AS t FROM packets), late AS (SELECT count(*) AS n FROM packets, edge WHERE id % 7 = 0 AND epoch_us(timestamp) < t)"""
+
+
+@query("stream_late", f"SELECT win, protocol, packets, bytes, n AS late_rows FROM ({RATE_SQL}) r, late", LATE_SQL)
 def stream_late(spark, sf):
     """Packets that come minutes late do not change windows that are already closed; they are counted."""
     packets = load_packets(spark, sf)
     low, high = packets.agg(F.min("timestamp"), F.max("timestamp")).first()
-    cutoff = low + (high - low) / 2 - timedelta(seconds=90)
-    late = packets.where((F.col("id") % 7 == 0) & (F.col("timestamp") < F.lit(cutoff).cast("timestamp_ntz")))
-    stream = _stream(spark, packets, late)
-    dropped: list[int] = []
-    table = queries.run_append(queries.rate(stream), scratch_path(spark, "late"), dropped=dropped)
-    if not late.isEmpty() and dropped == [0]:
-        raise RuntimeError("late rows were not counted")
-    return _ntz(table, "win")
+    cutoff = low + (high - low) // 2 - timedelta(seconds=90)
+    late_packets = packets.where((F.col("id") % 7 == 0) & (F.col("timestamp") < F.lit(cutoff).cast("timestamp_ntz")))
+    ids: list[str] = []
+    with late.counted(spark, scratch_path(spark, "late-rows")) as counter:
+        table = queries.run_append(
+            queries.rate(_stream(spark, packets, late_packets), once=True), scratch_path(spark, "late"),
+            started=lambda q: ids.append(str(q.id)))
+    return _ntz(table, "win").withColumn("late_rows", F.lit(counter.total(ids[0])).cast("bigint"))

@@ -9,13 +9,13 @@ from packetloom.operators import traffic
 from packetloom.plans.registry import LOGS_SQL, query
 from packetloom.session import scratch_path
 from packetloom.sources.packets import (
-    delete_expired,
     from_traffic_log,
     load_packets,
     read_traffic_log,
     to_traffic_log,
     write_traffic_log,
 )
+from packetloom.sources.retention import delete_expired
 
 IP = "10.0.0.1"
 

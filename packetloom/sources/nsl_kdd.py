@@ -78,10 +78,12 @@ def parse(lines: DataFrame, text: str = "value") -> DataFrame:
     """
     others = [c for c in lines.columns if c != text]
     split = lines.select(*others, F.split(text, ",").alias("_f")).where(F.size("_f") >= 42)
-    fields = []
-    for k, name in enumerate(COLUMNS):
-        raw = F.trim(F.get("_f", F.lit(k)))
-        fields.append((raw if name in NOMINAL else F.coalesce(raw.try_cast("double"), F.lit(0.0))).alias(name))
+    # one small loop over the fields; 41 casts side by side are a method too long for the JVM to compile
+    number = F.transform(F.slice("_f", 1, len(COLUMNS)), lambda x: F.coalesce(F.trim(x).try_cast("double"), F.lit(0.0)))
+    split = split.select("*", number.alias("_n"))
+    fields = [
+        (F.trim(F.get("_f", F.lit(k))) if name in NOMINAL else F.get("_n", F.lit(k))).alias(name) for k, name in enumerate(COLUMNS)
+    ]
     label = F.lower(F.trim(F.get("_f", F.lit(41))))
     difficulty = F.coalesce(F.trim(F.get("_f", F.lit(42))).try_cast("int"), F.lit(0))
     category = attack_category(label)
@@ -109,7 +111,7 @@ def encode(records: DataFrame) -> DataFrame:
 def map_to_features(records: DataFrame) -> DataFrame:
     """The 22 traffic features approximated from a connection record.
 
-    Reads the encoded vector by position. After the one-hot part, position 20 of
+    Fixed values: which position of the vector feeds which feature, and the constants. Reads the encoded vector by position. After the one-hot part, position 20 of
     the numeric block feeds ``syn_ratio`` and position 22 ``rst_ratio``.
     """
     after = 1 + sum(len(v) for v in NOMINAL.values())

@@ -2,12 +2,11 @@
 
 from __future__ import annotations
 
-from datetime import datetime, timedelta
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from packetloom import schema
+from packetloom.sources import retention
 
 LARGE_PACKET_BYTES = 10_000
 LARGE_PACKET_SCALE = 50_000.0
@@ -148,40 +147,10 @@ def write_traffic_log(logs: DataFrame, path: str, mode: str = "append") -> None:
     )
 
 
-def delete_expired(spark: SparkSession, path: str, days: float = 7, as_of: datetime | None = None) -> None:
-    """Delete from the stored log what is older than ``as_of - days``; the cutoff itself stays.
-
-    Days before the cutoff's day are dropped as folders, without reading them.
-    The cutoff's own day is written anew beside the log and then swapped in.
-    """
-    logs = read_traffic_log(spark, path)
-    newest = as_of or logs.where(F.col("dt") == logs.agg(F.max("dt")).scalar()).agg(F.max("timestamp")).first()[0]
-    if newest is None:
-        return
-    cutoff = newest - timedelta(days=days)
-    root = spark._jvm.org.apache.hadoop.fs.Path(path)
-    files = root.getFileSystem(spark._jsc.hadoopConfiguration())
-    folders = {f.getPath().getName()[3:]: f.getPath() for f in files.listStatus(root) if f.getPath().getName().startswith("dt=")}
-    edge = cutoff.date().isoformat()
-    for day, folder in folders.items():
-        if day < edge:
-            files.delete(folder, True)
-    if edge in folders:
-        kept = logs.where((F.col("dt") == F.lit(edge).cast("date")) & (F.col("timestamp") >= F.lit(cutoff).cast("timestamp_ntz")))
-        beside = f"{path.rstrip('/')}_kept"
-        write_traffic_log(kept.drop("dt"), beside, mode="overwrite")
-        rewritten = spark._jvm.org.apache.hadoop.fs.Path(f"{beside}/dt={edge}")
-        files.delete(folders[edge], True)
-        if files.exists(rewritten):
-            files.rename(rewritten, folders[edge])
-        files.delete(spark._jvm.org.apache.hadoop.fs.Path(beside), True)
-
-
 def read_traffic_log(spark: SparkSession, path: str) -> DataFrame:
     """The stored log; a missing score reads as 0. Keeps ``dt`` for pruning."""
     return (
-        spark.read.schema(schema.TRAFFIC_LOG + ", dt DATE")
-        .parquet(path)
+        retention.live(spark, path)
         .withColumn("anomaly_score", F.coalesce("anomaly_score", F.lit(0.0)))
         .withColumn("is_anomaly", F.coalesce("is_anomaly", F.lit(False)))
     )

@@ -26,10 +26,15 @@ def ingest(stream: DataFrame, delay: str = WATERMARK) -> DataFrame:
     return to_traffic_log(stream.withWatermark("timestamp", delay).dropDuplicatesWithinWatermark(["id"]))
 
 
-def rate(stream: DataFrame, window: str = "60 seconds", delay: str = WATERMARK) -> DataFrame:
-    """Packets and bytes per window and protocol."""
+def rate(stream: DataFrame, window: str = "60 seconds", delay: str = WATERMARK, once: bool = False) -> DataFrame:
+    """Packets and bytes per window and protocol.
+
+    With ``once`` repeated deliveries count once, and packets later than the watermark are left out one by one, so the
+    engine's count of them is a count of packets.
+    """
+    packets = stream.withWatermark("timestamp", delay)
     return (
-        stream.withWatermark("timestamp", delay)
+        (packets.dropDuplicatesWithinWatermark(["id"]) if once else packets)
         .groupBy(F.window("timestamp", window).alias("w"), "protocol")
         .agg(F.count("*").alias("packets"), F.sum("packet_size").alias("bytes"))
         .select(F.col("w.start").alias("win"), "protocol", "packets", "bytes")
@@ -64,43 +69,38 @@ def counting_rules(stream: DataFrame, window: str = "60 seconds", delay: str = W
 
 def packet_rules(stream: DataFrame) -> DataFrame:
     """Suspicious ports and large packets, packet by packet, without state."""
-    return detect.suspicious_port(stream).unionByName(detect.large_packet(stream))
+    return detect.packet_rules(stream)
 
 
 # --- running ----------------------------------------------------------------------
 
 def run_append(
     result: DataFrame, path: str, checkpoint: str | None = None, trigger: dict | None = None, dated: str | None = None,
-    dropped: list[int] | None = None,
+    started: Callable[[StreamingQuery], None] | None = None,
 ) -> DataFrame:
     """Append a stream to Parquet and wait for it; the written table.
 
     A run that is to continue another must name the same ``checkpoint`` (by
     default it lies beside the table). ``trigger`` is passed to the writer; the default uses the input up. With
     ``dated`` the table is partitioned by the day (``dt``) of that time column, as
-    ``read_traffic_log`` expects. ``dropped`` gets the number of rows that came later than the watermark allows.
+    ``read_traffic_log`` expects. ``started`` is given the running query, for its id or its progress.
     """
     written = result if dated is None else result.withColumn("dt", F.to_date(dated))
     writer = written.writeStream.outputMode("append").format("parquet").option("path", path)
     if dated is not None:
         writer = writer.partitionBy("dt")
     query = writer.option("checkpointLocation", checkpoint or f"{path}-checkpoint").trigger(**(trigger or USE_UP)).start()
+    if started is not None:
+        started(query)
     query.awaitTermination()
-    if dropped is not None:
-        dropped.append(dropped_rows(query))
     return result.sparkSession.read.schema(written.schema).parquet(path)
 
 
-def dropped_rows(query: StreamingQuery) -> int:
-    """Rows a query left out because they came later than its watermark allows, over the progress it still holds."""
-    return sum(op.numRowsDroppedByWatermark for p in query.recentProgress for op in p.stateOperators)
-
-
 def run_batches(
     stream: DataFrame, each: Callable[[DataFrame, int], None], mode: str = "append", checkpoint: str | None = None,
-    trigger: dict | None = None,
+    trigger: dict | None = None, started: Callable[[StreamingQuery], None] | None = None,
 ) -> None:
-    """Call ``each`` for every batch and wait; ``checkpoint`` and ``trigger`` as in ``run_append``."""
+    """Call ``each`` for every batch and wait; ``checkpoint``, ``trigger`` and ``started`` as in ``run_append``."""
     query = (
         stream.writeStream.outputMode(mode)
         .foreachBatch(each)
@@ -108,6 +108,8 @@ def run_batches(
         .trigger(**(trigger or USE_UP))
         .start()
     )
+    if started is not None:
+        started(query)
     query.awaitTermination()
 
 
@@ -152,9 +154,8 @@ def remove(spark: SparkSession, path: str) -> None:
 def minute_rules(packets: DataFrame) -> DataFrame:
     """All rules but the statistical one over packets of whole minutes, for windows that have closed."""
     idx = ordering.with_global_index(packets)
-    found = detect.suspicious_port(packets)
-    for more in (detect.large_packet(packets), detect.port_scan(packets), detect.high_rate(packets),
-                 detect.syn_flood(packets), detect.ddos_10x(idx)):
+    found = detect.packet_rules(packets)
+    for more in (detect.port_scan(packets), detect.source_rules(packets), detect.ddos_10x(idx)):
         found = found.unionByName(more)
     return found
 
