@@ -151,21 +151,38 @@ def statistical(idx: Indexed, frame: int = 1000, threshold: float = 3.0, warmup:
 # --- stateless rules -----------------------------------------------------------
 
 def suspicious_port(packets: DataFrame) -> DataFrame:
-    hit = packets.where(F.col("dst_port").isin(SUSPICIOUS_PORTS) | F.col("src_port").isin(SUSPICIOUS_PORTS))
-    return _emit(
-        hit,
-        "rule:suspicious_port",
-        0.7,
-        _details(rule=PORT_TEXT, src_port=F.col("src_port"), dst_port=F.col("dst_port")),
-    )
+    return _hits(packets, [_port_hit()])
 
 
 def large_packet(packets: DataFrame, limit: int = MAX_NORMAL_PACKET) -> DataFrame:
-    return _emit(
-        packets.where(F.col("packet_size") > limit),
-        "rule:large_packet",
-        0.5,
-        _details(rule=LARGE_TEXT, size=F.col("packet_size"), threshold=limit),
+    return _hits(packets, [_size_hit(limit)])
+
+
+def packet_rules(packets: DataFrame) -> DataFrame:
+    """Both rules about a packet alone, in one scan."""
+    return _hits(packets, [_port_hit(), _size_hit(MAX_NORMAL_PACKET)])
+
+
+def _hit(condition: Column, method: str, score: float, details: Column) -> Column:
+    """NULL, or what a rule says of the packet."""
+    return F.when(condition, F.struct(F.lit(method).alias("method"), F.lit(score).alias("score"), details.alias("details")))
+
+
+def _port_hit() -> Column:
+    odd = F.col("dst_port").isin(SUSPICIOUS_PORTS) | F.col("src_port").isin(SUSPICIOUS_PORTS)
+    return _hit(odd, "rule:suspicious_port", 0.7, _details(rule=PORT_TEXT, src_port=F.col("src_port"), dst_port=F.col("dst_port")))
+
+
+def _size_hit(limit: int) -> Column:
+    return _hit(F.col("packet_size") > limit, "rule:large_packet", 0.5, _details(rule=LARGE_TEXT, size=F.col("packet_size"), threshold=limit))
+
+
+def _hits(packets: DataFrame, rules: list[Column]) -> DataFrame:
+    found = packets.select("id", "timestamp", "src_ip", "dst_ip", F.explode(F.array_compact(F.array(*rules))).alias("hit"))
+    order = F.create_map(*[F.lit(x) for pair in RULE_ORDER.items() for x in pair])
+    return found.select(
+        F.col("id").alias("packet_id"), "timestamp", "src_ip", "dst_ip", F.col("hit.method").alias("detection_method"),
+        order[F.col("hit.method")].alias("rule_order"), "hit.score", F.array("src_ip", "dst_ip").alias("related_ips"), "hit.details",
     )
 
 
@@ -221,27 +238,54 @@ def port_scan(packets: DataFrame, threshold: int = PORT_SCAN_PORTS) -> DataFrame
 
 def high_rate(packets: DataFrame, threshold: int = HIGH_RATE_PACKETS) -> DataFrame:
     rows = windowed(packets).select("win", "src_ip", "dst_ip", "timestamp", "id")
-    return _emit(
-        _nth_per_source(rows, threshold + 1),
-        "rule:high_rate",
-        0.6,
-        _details(
-            rule=RATE_TEXT, source_ip=F.col("src_ip"), packet_count=threshold + 1, window_seconds=60
-        ),
-        related=F.array("src_ip"),
-    )
+    return _rate_hit(_nth_per_source(rows, threshold + 1), threshold)
 
 
 def syn_flood(packets: DataFrame, threshold: int = SYN_FLOOD_SYNS) -> DataFrame:
-    syns = windowed(packets).where((F.col("protocol") == "TCP") & F.col("flags").contains("SYN"))
-    return _emit(
-        _nth_per_source(syns.select("win", "src_ip", "dst_ip", "timestamp", "id"), threshold + 1),
-        "rule:syn_flood",
-        0.85,
-        _details(rule=SYN_TEXT, source_ip=F.col("src_ip"), syn_count=threshold + 1),
+    syns = windowed(packets).where(_is_syn())
+    return _syn_hit(_nth_per_source(syns.select("win", "src_ip", "dst_ip", "timestamp", "id"), threshold + 1), threshold)
+
+
+def source_rules(packets: DataFrame) -> DataFrame:
+    """High rate and SYN flood in one scan: a SYN is a row for each."""
+    kinds = F.array_compact(F.array(F.lit("rate"), F.when(_is_syn(), "syn")))
+    rows = windowed(packets).select("win", "src_ip", "dst_ip", "timestamp", "id", F.explode(kinds).alias("kind"))
+    rank = F.row_number().over(W.partitionBy("win", "src_ip", "kind").orderBy("timestamp", "id"))
+    limits = {"rate": HIGH_RATE_PACKETS + 1, "syn": SYN_FLOOD_SYNS + 1}
+    crossing = F.when(F.col("kind") == "rate", limits["rate"]).otherwise(limits["syn"])
+    # the literal limit is what goes below the shuffle
+    met = rows.withColumn("_rank", rank).where(F.col("_rank") <= max(limits.values())).where(F.col("_rank") == crossing)
+    related = F.when(F.col("kind") == "rate", F.array("src_ip")).otherwise(F.array("src_ip", "dst_ip"))
+    details = F.when(F.col("kind") == "rate", _rate_details(HIGH_RATE_PACKETS)).otherwise(_syn_details(SYN_FLOOD_SYNS))
+    method = F.when(F.col("kind") == "rate", "rule:high_rate").otherwise("rule:syn_flood")
+    order = F.when(F.col("kind") == "rate", RULE_ORDER["rule:high_rate"]).otherwise(RULE_ORDER["rule:syn_flood"])
+    score = F.when(F.col("kind") == "rate", 0.6).otherwise(0.85)
+    return met.select(
+        F.col("id").alias("packet_id"), "timestamp", "src_ip", "dst_ip", method.alias("detection_method"), order.alias("rule_order"),
+        score.alias("score"), related.alias("related_ips"), details.alias("details"),
     )
 
 
+def _is_syn() -> Column:
+    return (F.col("protocol") == "TCP") & F.col("flags").contains("SYN")
+
+
+def _rate_details(threshold: int) -> Column:
+    return _details(rule=RATE_TEXT, source_ip=F.col("src_ip"), packet_count=threshold + 1, window_seconds=60)
+
+
+def _syn_details(threshold: int) -> Column:
+    return _details(rule=SYN_TEXT, source_ip=F.col("src_ip"), syn_count=threshold + 1)
+
+
+def _rate_hit(rows: DataFrame, threshold: int) -> DataFrame:
+    return _emit(rows, "rule:high_rate", 0.6, _rate_details(threshold), related=F.array("src_ip"))
+
+
+def _syn_hit(rows: DataFrame, threshold: int) -> DataFrame:
+    return _emit(rows, "rule:syn_flood", 0.85, _syn_details(threshold))
+
+
 def running_source_counts(idx: Indexed) -> Indexed:
     """Packets so far per (window, source)."""
     return ordering.running_sums(idx.replace(windowed(idx.df)), ["win", "src_ip"], {"src_count": F.lit(1)})
@@ -275,10 +319,12 @@ def ddos_10x(idx: Indexed, times: int = TIMES_AVERAGE) -> DataFrame:
     hit = totals.where(
         (F.col("sources") >= 2) & (F.col("src_count") * F.col("sources") >= times * F.col("total"))
     )
+    # fixed-width values only, so hits are reduced by hash; the destination is looked up for the few first ones
+    numbers = ["id", "timestamp", "src_count", "sources", "total"]
     first = (
         hit.groupBy("win", "src_ip")
-        .agg(F.min_by(F.struct("id", "timestamp", "dst_ip", "src_count", "sources", "total"), "i").alias("f"))
-        .select("src_ip", "f.*")
+        .agg(F.min("i").alias("i"), *[F.min_by(c, "i").alias(c) for c in numbers])
+        .join(idx.df.select("i", "dst_ip"), "i")
     )
     average = F.col("total") / F.col("sources")
     return _emit(
@@ -316,8 +362,7 @@ def detect_all(
         parts.append(statistical(idx))
     if "rule" in enable:
         rows = idx.df
-        parts += [suspicious_port(rows), large_packet(rows), port_scan(rows), high_rate(rows), ddos_10x(idx),
-                  syn_flood(rows)]
+        parts += [packet_rules(rows), port_scan(rows), source_rules(rows), ddos_10x(idx)]
     if "ml" in enable:
         if ml is None:
             raise ValueError("the ml detector needs its detections (see operators.ml_detect)")

@@ -1,5 +1,9 @@
 """Graph operators that iterate or close triangles: components, paths, clustering.
 
+Addresses are numbered once, in their order, and all loops work on the numbers:
+minima and joins are on BIGINT, and the smallest number is the smallest address.
+Addresses come back in the last step.
+
 The driver only sees row counts that decide when to stop. Every round is cut
 with a reliable checkpoint, so plans stay short and lost executors cost one
 round at most.
@@ -7,16 +11,20 @@ round at most.
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+from functools import reduce
 from math import ceil
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from packetloom.operators.skew import ROWS_PER_TASK, skew_join
+from packetloom.operators import ordering
+from packetloom.operators.skew import ROWS_PER_TASK, hot_keys, skew_join
 from packetloom.session import cut
 
 
 LIST_PIECE = 256  # out-neighbours in one list
+WORDS = 16  # of 64 sources each, that spread at once
 
 
 def undirected(edge_table: DataFrame) -> DataFrame:
@@ -34,6 +42,27 @@ def symmetric(pairs: DataFrame) -> DataFrame:
     return pairs.select(F.explode(both).alias("e")).select("e.u", "e.v")
 
 
+@dataclass
+class Numbered:
+    """A graph over dense numbers: ``names(ip, v)`` in address order from 1, ``pairs(a, b)`` undirected with a < b."""
+
+    names: DataFrame
+    pairs: DataFrame
+    count: int
+
+
+def numbered(edge_table: DataFrame, rows_per_task: int = ROWS_PER_TASK) -> Numbered:
+    """Number the addresses by one range shuffle and put the numbers into the edges."""
+    ips = edge_table.select(F.explode(F.array("src_ip", "dst_ip")).alias("ip")).distinct()
+    idx = ordering.with_global_index(ips, order=("ip",))
+    names = idx.df.select("ip", F.col("i").alias("v"))
+    pairs = undirected(edge_table)
+    for end, other in (("a", "b"), ("b", "a")):
+        found = names.select(F.col("ip").alias(end), F.col("v").alias(f"_{end}"))
+        pairs = skew_join(pairs, found, [end], [other], rows_per_task=rows_per_task)
+    return Numbered(names, cut(pairs.select(F.col("_a").alias("a"), F.col("_b").alias("b"))), idx.total)
+
+
 # --- connected components ------------------------------------------------------
 
 def _large_star(pairs: DataFrame, rows_per_task: int) -> DataFrame:
@@ -82,15 +111,14 @@ def connected_components(
     the number of rounds grows with the logarithm of the component size, not
     with the graph's diameter.
     """
-    pairs = cut(undirected(edge_table))
-    everyone = (
-        edge_table.select(F.explode(F.array("src_ip", "dst_ip")).alias("ip")).distinct()
-        if vertex_table is None
-        else vertex_table.select("ip")
-    )
+    graph = numbered(edge_table, rows_per_task)
+    pairs = graph.pairs
+    everyone = graph.names.select("ip") if vertex_table is None else vertex_table.select("ip")
     while not _is_star_forest(pairs):
         pairs = cut(_small_star(_large_star(pairs, rows_per_task), rows_per_task))
-    label = pairs.select(F.col("b").alias("ip"), F.col("a").alias("component"))
+    parents = graph.names.select(F.col("v").alias("a"), F.col("ip").alias("component"))
+    label = skew_join(pairs, parents, ["a"], ["b"], rows_per_task=rows_per_task).join(
+        graph.names.withColumnRenamed("v", "b"), "b").select("ip", "component")
     return everyone.join(label, "ip", "left").withColumn("component", F.coalesce("component", "ip"))
 
 
@@ -101,38 +129,91 @@ def bfs_distances(
 ) -> DataFrame:
     """(source, ip, distance) over undirected hops, each source with itself at 0.
 
-    ``sources`` (column ``ip``) bounds the work; None means every vertex, which is
-    quadratic in the vertex count by definition. A new frontier only has to be
+    A row per source and vertex is what is asked for: ``sources`` (column ``ip``) bounds it, None means every vertex.
+    Sums over all sources do not need these rows, see ``closeness``. A new frontier only has to be
     compared with the last two, because a neighbour of level d lies in d-1, d or d+1.
     """
-    steps = cut(symmetric(undirected(edge_table)).withColumnRenamed("v", "ip"))
-    if sources is None:
-        sources = edge_table.select(F.explode(F.array("src_ip", "dst_ip")).alias("ip")).distinct()
-    frontier = cut(sources.select(F.col("ip").alias("source"), "ip").distinct())
+    graph = numbered(edge_table, rows_per_task)
+    steps = cut(symmetric(graph.pairs).withColumnRenamed("v", "w"))
+    asked = graph.names.select("ip") if sources is None else sources.select("ip").distinct()
+    frontier = cut(asked.join(graph.names, "ip").select(F.col("v").alias("s"), F.col("v").alias("w")))
     before, depth = None, 0
     result = frontier.withColumn("distance", F.lit(0))
     while True:
         reached = skew_join(
-            frontier.withColumnRenamed("ip", "u"), steps, ["u"], ["source"], rows_per_task=rows_per_task
-        ).select("source", "ip").distinct()
+            frontier.withColumnRenamed("w", "u"), steps, ["u"], ["s"], rows_per_task=rows_per_task
+        ).select("s", "w").distinct()
         known = frontier if before is None else frontier.unionByName(before)
-        fresh = cut(reached.join(known, ["source", "ip"], "left_anti"))
+        fresh = cut(reached.join(known, ["s", "w"], "left_anti"))
         if fresh.isEmpty():
-            return result
+            break
         depth += 1
         result = result.unionByName(fresh.withColumn("distance", F.lit(depth)))
         before, frontier = frontier, fresh
+    ends = skew_join(result, graph.names.select(F.col("v").alias("s"), F.col("ip").alias("source")), ["s"], ["w"],
+                     rows_per_task=rows_per_task)
+    found = skew_join(ends, graph.names.withColumnRenamed("v", "w"), ["w"], ["s"], rows_per_task=rows_per_task)
+    # a source outside the graph reaches itself
+    alone = asked.join(graph.names, "ip", "left_anti").select(F.col("ip").alias("source"), "ip", F.lit(0).alias("distance"))
+    return found.select("source", "ip", "distance").unionByName(alone)
 
 
-def closeness(edge_table: DataFrame, sources: DataFrame | None = None) -> DataFrame:
-    """(r / (n - 1)) * (r / sum of distances), r = reachable others; rounded to 4."""
-    n = edge_table.select(F.explode(F.array("src_ip", "dst_ip")).alias("ip")).distinct().agg(F.count("*")).scalar()
-    sums = bfs_distances(edge_table, sources).groupBy(F.col("source").alias("ip")).agg(
-        F.count_if(F.col("distance") > 0).alias("reachable"), F.sum("distance").alias("total_distance")
-    )
-    r, d = F.col("reachable"), F.col("total_distance")
+def _closeness(n: int | Column, r: Column, d: Column) -> Column:
+    """(r / (n - 1)) * (r / d), rounded to 4; 0 where nothing is reached."""
+    n = F.lit(n) if isinstance(n, int) else n
     value = F.when((n > 1) & (d > 0), (r / F.greatest(n - 1, F.lit(1))) * (r / F.greatest(d, F.lit(1)))).otherwise(0.0)
-    return sums.select("ip", "reachable", "total_distance", F.round(value, 4).alias("centrality"))
+    return F.round(value, 4).alias("centrality")
+
+
+def closeness(edge_table: DataFrame, sources: DataFrame | None = None, words: int = WORDS) -> DataFrame:
+    """(r / (n - 1)) * (r / sum of distances), r = reachable others; rounded to 4.
+
+    Distances are the same both ways, so a vertex needs the sum of its distances from all sources. Sources go 64 to a
+    BIGINT, ``words`` of them at a time: a vertex holds one bit per source that has reached it, a hop is a ``bit_or``
+    over its neighbours, and the bits that are new add to its sums. The state is one row per vertex; no row per source
+    and vertex is ever made. With ``sources`` only their rows are asked for, which is what ``bfs_distances`` bounds.
+    """
+    if sources is not None:
+        n = edge_table.select(F.explode(F.array("src_ip", "dst_ip")).alias("ip")).distinct().agg(F.count("*")).scalar()
+        sums = bfs_distances(edge_table, sources).groupBy(F.col("source").alias("ip")).agg(
+            F.count_if(F.col("distance") > 0).alias("reachable"), F.sum("distance").alias("total_distance"))
+        return sums.select("ip", "reachable", "total_distance", _closeness(n, F.col("reachable"), F.col("total_distance")))
+    graph = numbered(edge_table)
+    steps = cut(symmetric(graph.pairs).withColumnRenamed("v", "w"))
+    hot = cut(hot_keys(steps, ["u"]))
+    zero = F.lit(0).cast("bigint")
+    sums = cut(graph.names.select("v", zero.alias("reachable"), zero.alias("total_distance")))
+    for first in range(1, graph.count + 1, 64 * words):
+        sums = _spread(steps, hot, sums, first, words)
+    out = graph.names.join(sums, "v")
+    return out.select("ip", "reachable", "total_distance", _closeness(graph.count, F.col("reachable"), F.col("total_distance")))
+
+
+def _spread(steps: DataFrame, hot: DataFrame, sums: DataFrame, first: int, words: int) -> DataFrame:
+    """``sums`` with what the 64 * words sources from number ``first`` on add."""
+    fronts, seen = [f"f{k}" for k in range(words)], [f"s{k}" for k in range(words)]
+    at = F.col("v") - F.lit(first)
+    own = [
+        F.when((at >= 64 * k) & (at < 64 * (k + 1)), F.call_function("shiftleft", F.lit(1).cast("bigint"), (at - 64 * k).cast("int")))
+        .otherwise(F.lit(0)).cast("bigint") for k in range(words)
+    ]
+    state = sums.select("*", *[c.alias(f) for c, f in zip(own, fronts)], *[c.alias(f) for c, f in zip(own, seen)])
+    hop = 0
+    while True:
+        hop += 1
+        front = state.where(reduce(Column.__or__, [F.col(f) != 0 for f in fronts])).select(F.col("v").alias("u"), *fronts)
+        met = skew_join(steps, front, ["u"], ["w"], hot=hot).groupBy(F.col("w").alias("v")).agg(
+            *[F.bit_or(f).alias(f"i{k}") for k, f in enumerate(fronts)])
+        fresh = [F.coalesce(f"i{k}", F.lit(0)).bitwiseAND(F.bitwise_not(f"s{k}")) for k in range(words)]
+        moved = state.drop(*fronts).join(met, "v", "left").select(
+            "v", "reachable", "total_distance", *[c.alias(f) for c, f in zip(fresh, fronts)], *seen)
+        news = reduce(Column.__add__, [F.bit_count(f) for f in fronts]).cast("bigint")
+        state = cut(moved.select(
+            "v", (F.col("reachable") + news).alias("reachable"), (F.col("total_distance") + hop * news).alias("total_distance"),
+            *fronts, *[F.col(s).bitwiseOR(F.col(f)).alias(s) for s, f in zip(seen, fronts)], (news > 0).alias("_new")))
+        if state.where("_new").isEmpty():
+            return state.select("v", "reachable", "total_distance")
+        state = state.drop("_new")
 
 
 def approximate_closeness(edge_table: DataFrame, precision: int = 12) -> DataFrame:
@@ -142,30 +223,29 @@ def approximate_closeness(edge_table: DataFrame, precision: int = 12) -> DataFra
     vertex; growth of the estimated ball from hop to hop gives the distance sum.
     Stops when no estimate grows, however far the last vertex is.
     """
-    steps = cut(symmetric(undirected(edge_table)))
-    everyone = edge_table.select(F.explode(F.array("src_ip", "dst_ip")).alias("ip")).distinct()
+    graph = numbered(edge_table)
+    steps = cut(symmetric(graph.pairs))
     state = cut(
-        everyone.groupBy("ip").agg(F.hll_sketch_agg("ip", precision).alias("sketch")).select(
-            "ip", "sketch", F.lit(1).cast("bigint").alias("ball"), F.lit(0).cast("bigint").alias("total_distance")
+        graph.names.groupBy("v").agg(F.hll_sketch_agg("v", precision).alias("sketch")).select(
+            "v", "sketch", F.lit(1).cast("bigint").alias("ball"), F.lit(0).cast("bigint").alias("total_distance")
         )
     )
-    n = everyone.agg(F.count("*")).scalar()
     hop = 0
     while True:
         hop += 1
         incoming = skew_join(
-            steps, state.select(F.col("ip").alias("u"), "sketch"), ["u"], ["v"]
-        ).select(F.col("v").alias("ip"), "sketch")
+            steps, state.select(F.col("v").alias("u"), "sketch"), ["u"], ["v"]
+        ).select("v", "sketch")
         merged = (
-            incoming.unionByName(state.select("ip", "sketch"))
-            .groupBy("ip")
+            incoming.unionByName(state.select("v", "sketch"))
+            .groupBy("v")
             .agg(F.hll_union_agg("sketch").alias("sketch"))
         )
-        grown = merged.join(state.select("ip", F.col("ball").alias("old"), "total_distance"), "ip")
+        grown = merged.join(state.select("v", F.col("ball").alias("old"), "total_distance"), "v")
         size = F.hll_sketch_estimate("sketch")
         state = cut(
             grown.select(
-                "ip", "sketch", F.greatest(size, F.col("old")).alias("ball"),
+                "v", "sketch", F.greatest(size, F.col("old")).alias("ball"),
                 (F.col("total_distance") + hop * F.greatest(size - F.col("old"), F.lit(0))).alias("total_distance"),
                 (size > F.col("old")).alias("grew"),
             )
@@ -174,8 +254,7 @@ def approximate_closeness(edge_table: DataFrame, precision: int = 12) -> DataFra
             break
         state = state.drop("grew")
     r, d = F.col("ball") - 1, F.col("total_distance")
-    value = F.when((n > 1) & (d > 0), (r / F.greatest(n - 1, F.lit(1))) * (r / F.greatest(d, F.lit(1)))).otherwise(0.0)
-    return state.select("ip", r.alias("reachable"), "total_distance", F.round(value, 4).alias("centrality"))
+    return state.join(graph.names, "v").select("ip", r.alias("reachable"), "total_distance", _closeness(graph.count, r, d))
 
 
 def shortest_path(edge_table: DataFrame, src: str, dst: str) -> DataFrame:
@@ -184,35 +263,34 @@ def shortest_path(edge_table: DataFrame, src: str, dst: str) -> DataFrame:
     The smallest parent wins at every node, so the path is unique.
     """
     spark = edge_table.sparkSession
-    known = edge_table.where(F.col("src_ip").isin(src, dst) | F.col("dst_ip").isin(src, dst)).select(
-        F.explode(F.array("src_ip", "dst_ip")).alias("ip")
-    ).where(F.col("ip").isin(src, dst)).distinct().count()
     empty = spark.createDataFrame([], "step INT, ip STRING")
-    if known < len({src, dst}):
+    graph = numbered(edge_table)
+    known = {r["ip"]: r["v"] for r in graph.names.where(F.col("ip").isin(src, dst)).collect()}
+    if len(known) < len({src, dst}):
         return empty
     if src == dst:
         return spark.createDataFrame([(0, src)], "step INT, ip STRING")
-    steps = cut(symmetric(undirected(edge_table)))
-    frontier = cut(spark.createDataFrame([(src, None)], "ip STRING, parent STRING"))
+    steps = cut(symmetric(graph.pairs))
+    frontier = cut(spark.createDataFrame([(known[src], None)], "w BIGINT, parent BIGINT"))
     levels = [frontier]
     while True:
         reached = (
-            skew_join(steps, frontier.select(F.col("ip").alias("u")), ["u"], ["v"])
-            .groupBy(F.col("v").alias("ip"))
+            skew_join(steps, frontier.select(F.col("w").alias("u")), ["u"], ["v"])
+            .groupBy(F.col("v").alias("w"))
             .agg(F.min("u").alias("parent"))
         )
         recent_levels = frontier if len(levels) < 2 else frontier.unionByName(levels[-2])
-        frontier = cut(reached.join(recent_levels.select("ip"), "ip", "left_anti"))
+        frontier = cut(reached.join(recent_levels.select("w"), "w", "left_anti"))
         if frontier.isEmpty():
             return empty
         levels.append(frontier)
-        if not frontier.where(F.col("ip") == dst).isEmpty():
+        if not frontier.where(F.col("w") == known[dst]).isEmpty():
             break
-    path, node = [(len(levels) - 1, dst)], dst
+    path, node = [(len(levels) - 1, known[dst])], known[dst]
     for depth in range(len(levels) - 1, 0, -1):
-        node = levels[depth].where(F.col("ip") == node).first()["parent"]
+        node = levels[depth].where(F.col("w") == node).first()["parent"]
         path.append((depth - 1, node))
-    return spark.createDataFrame(path[::-1], "step INT, ip STRING")
+    return spark.createDataFrame(path[::-1], "step INT, v BIGINT").join(graph.names, "v").select("step", "ip")
 
 
 # --- clustering -------------------------------------------------------------------
@@ -227,7 +305,8 @@ def triangles(edge_table: DataFrame, rows_per_task: int = ROWS_PER_TASK) -> Data
     split a vertex by the list entries that meet there. Only closed triangles
     become rows.
     """
-    pairs = cut(undirected(edge_table))
+    graph = numbered(edge_table, rows_per_task)
+    pairs = graph.pairs
     degree = symmetric(pairs).groupBy("u").agg(F.count("*").alias("d"))
     with_a = skew_join(pairs, degree.select(F.col("u").alias("a"), F.col("d").alias("da")), ["a"], ["b"],
                        rows_per_task=rows_per_task)
@@ -254,14 +333,15 @@ def triangles(edge_table: DataFrame, rows_per_task: int = ROWS_PER_TASK) -> Data
         F.explode(
             F.concat(
                 F.array(
-                    F.struct(F.col("u").alias("ip"), F.size("third").cast("bigint").alias("c")),
-                    F.struct(F.col("v").alias("ip"), F.size("third").cast("bigint").alias("c")),
+                    F.struct(F.col("u").alias("w"), F.size("third").cast("bigint").alias("c")),
+                    F.struct(F.col("v").alias("w"), F.size("third").cast("bigint").alias("c")),
                 ),
-                F.transform("third", lambda x: F.struct(x.alias("ip"), F.lit(1).cast("bigint").alias("c"))),
+                F.transform("third", lambda x: F.struct(x.alias("w"), F.lit(1).cast("bigint").alias("c"))),
             )
         ).alias("e")
     ).select("e.*")
-    return counted.groupBy("ip").agg(F.sum("c").alias("triangles"))
+    summed = counted.groupBy(F.col("w").alias("v")).agg(F.sum("c").alias("triangles"))
+    return summed.join(graph.names, "v").select("ip", "triangles")
 
 
 def local_clustering(edge_table: DataFrame, rows_per_task: int = ROWS_PER_TASK) -> DataFrame:

@@ -2,12 +2,10 @@
 
 from __future__ import annotations
 
-import random
 from collections.abc import Sequence
 
 import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from packetloom.operators.ordering import Indexed
@@ -77,44 +75,45 @@ class KMeans:
         return KMeans(centroids, columns)
 
 
-def plus_plus(idx: Indexed, columns: Sequence[str], k: int = 2, seed: int = 42) -> KMeans:
-    """k-means++ seeding: each next centroid is drawn with weight distance squared.
+def _draw(seed: int, turn: int) -> Column:
+    """A number below 2^52 from the seed, the round and the row's index alone."""
+    text = F.concat(F.lit(f"{seed}:{turn}:"), F.col("i").cast("string"))
+    return F.conv(F.substring(F.md5(text.cast("binary")), 1, 13), 16, 10).cast("decimal(16,0)")
 
-    The draw walks the rows in index order. Block sums say which block the draw
-    falls into, and only that block is scanned for the row.
-    """
-    rng = random.Random(seed)
 
-    def row_at(position: int) -> list[float]:
-        found = idx.df.where(F.col("i") == position).select(*columns).first()
-        return [float(v) for v in found]
+def parallel_seeds(idx: Indexed, columns: Sequence[str], k: int = 2, seed: int = 42, rounds: int = 3) -> KMeans:
+    """k-means|| seeding (Bahmani et al., 2012), the same whatever the partitions and blocks are.
 
-    chosen = [row_at(rng.randint(0, idx.total - 1) + 1)]
+    A round draws every row on its own, with 2 k times its share of the squared distances; shares are whole millionths
+    of the largest, so their sum is exact, and the draw is a hash of seed, round and index. The few rows drawn (about
+    2 k a round) are weighted by the rows nearest to them. Of these the heaviest is the first centroid, each further one
+    has the largest weight times squared distance from those before; ties go to the lower index.
+    """
+    rows = idx.df.select("i", *columns)
+    first = rows.orderBy(_draw(seed, 0), "i").limit(1).collect()
+    if not first:
+        raise ValueError("k-means needs at least one row")
+    drawn = {r["i"]: [float(r[c]) for c in columns] for r in first}
+    for turn in range(1, rounds + 1):
+        away = rows.withColumn("_d", F.array_min(KMeans([drawn[i] for i in sorted(drawn)], columns)._squares()))
+        most = away.agg(F.max("_d")).first()[0]
+        if not most > 0:
+            break
+        weighted = away.withColumn("_w", F.floor(F.col("_d") / F.lit(most) * 1_000_000 + 0.5).cast("bigint"))
+        total = weighted.agg(F.sum("_w")).first()[0]
+        share = F.col("_w").cast("decimal(20,0)") * F.lit(2 * k * 2**52).cast("decimal(18,0)")
+        for r in weighted.where(_draw(seed, turn) * F.lit(total).cast("decimal(20,0)") < share).select("i", *columns).collect():
+            drawn[r["i"]] = [float(r[c]) for c in columns]
+    order = sorted(drawn)
+    points = np.array([drawn[i] for i in order])
+    sizes = np.zeros(len(order))
+    for r in KMeans(points, columns).with_cluster(rows).groupBy("cluster").count().collect():
+        sizes[r["cluster"]] = r["count"]
+    chosen = [int(sizes.argmax())]
     while len(chosen) < k:
-        model = KMeans(chosen, columns)
-        weighted = idx.df.select(
-            "i", idx.block().alias("_block"), F.array_min(model._squares()).alias("_w")
-        )
-        blocks = weighted.groupBy("_block").agg(F.sum("_w").alias("w")).orderBy("_block").collect()
-        total = sum(b["w"] for b in blocks)
-        if total <= 0:
-            chosen.append(row_at(rng.randint(0, idx.total - 1) + 1))
-            continue
-        target, position = rng.random() * total, None
-        for block in blocks:
-            if target < block["w"]:
-                up_to_here = F.sum("_w").over(W.partitionBy("_block").orderBy("i"))
-                position = (
-                    weighted.where(F.col("_block") == block["_block"])
-                    .withColumn("_upto", up_to_here)
-                    .where(F.col("_upto") > target)
-                    .agg(F.min("i"))
-                    .first()[0]
-                )
-                break
-            target -= block["w"]
-        chosen.append(row_at(position if position is not None else idx.total))
-    return KMeans(chosen, columns)
+        squares = ((points[:, None] - points[chosen][None]) ** 2).sum(2).min(1)
+        chosen.append(int((sizes * squares).argmax()))
+    return KMeans(points[chosen], columns)
 
 
 def fit(

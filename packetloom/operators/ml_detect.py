@@ -56,6 +56,7 @@ def ml(idx: Indexed, model, scaler: Scaler | None, seconds: int = BUFFER_SECONDS
     rows = cut(features.features_trailing(idx, seconds, every).where(F.col("packets") >= MIN_BUFFER))
     scaled = rows if scaler is None else cut(scaling.minmax(rows, scaler, FEATURES))
     name, judged = judge(scaled, model)
+    judged = cut(judged.select("id", "timestamp", "score", "hit"))  # the model is worked out once, not again in the filter
     related = recent_endpoints(idx, 10, every).select("id", "related")
     hits = judged.where("hit").select("id", "timestamp", "score").join(related, "id")
     details = F.create_map(

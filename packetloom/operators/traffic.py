@@ -193,50 +193,35 @@ def connection_pairs(packets: DataFrame, limit: int | None = 100) -> DataFrame:
 def ip_stats(packets: DataFrame) -> DataFrame:
     """Per address: sent and received counters, peers, protocols and first/last sent.
 
-    One pass over the packets and no join: every pair counter speaks for both of
-    its ends, and one grouping by address adds up the two roles. An address
-    without one of them gets zeros there.
+    Every pair counter speaks for both of its ends. Grouped by address, role and peer first, a peer is one row of an
+    address and peers are counted by counting rows; a busy address is reduced peer by peer. The protocols come from
+    distinct (address, protocol) pairs, a few per address. An address without one of the roles gets zeros there.
     """
-    zero = F.lit(0).cast("bigint")
-    nothing = F.lit(None).cast("string")
+    src, dst = F.col("src_ip"), F.col("dst_ip")
     never = F.lit(None).cast("timestamp_ntz")
-    n, size = F.col("packet_count"), F.col("total_bytes")
-
-    def end(ip, out_peer, in_peer, n_out, b_out, n_in, b_in, protocol, first, last):
-        return F.struct(
-            ip.alias("ip"), out_peer.alias("to"), in_peer.alias("by"), n_out.alias("no"), b_out.alias("bo"),
-            n_in.alias("ni"), b_in.alias("bi"), protocol.alias("protocol"), first.alias("first"), last.alias("last"),
-        )
 
-    src, dst = F.col("src_ip"), F.col("dst_ip")
-    ends = pair_protocol_counts(packets).select(
-        F.explode(
-            F.array(
-                end(src, dst, nothing, n, size, zero, zero, F.col("protocol"), F.col("first_seen"), F.col("last_seen")),
-                end(dst, nothing, src, zero, zero, n, size, nothing, never, never),
-            )
-        ).alias("e")
-    ).select("e.*")
-    return (
-        ends.groupBy("ip")
-        .agg(
-            F.sum("no").alias("packets_sent"),
-            F.sum("bo").alias("bytes_sent"),
-            F.sum("ni").alias("packets_received"),
-            F.sum("bi").alias("bytes_received"),
-            F.count_distinct("to").alias("unique_destinations"),
-            F.count_distinct("by").alias("unique_sources"),
-            F.array_join(F.array_sort(F.collect_set("protocol")), ",").alias("protocols_used"),
-            F.min("first").alias("first_seen"),
-            F.max("last").alias("last_seen"),
-        )
-        .select(
-            "ip", "packets_sent", "bytes_sent", "packets_received", "bytes_received", "unique_destinations",
-            "unique_sources",
-            (F.col("packets_sent") + F.col("packets_received")).alias("total_packets"),
-            (F.col("bytes_sent") + F.col("bytes_received")).alias("total_bytes"),
-            "protocols_used", "first_seen", "last_seen",
-        )
+    def end(role, ip, peer, first, last):
+        return F.struct(F.lit(role).alias("role"), ip.alias("ip"), peer.alias("peer"), first.alias("first"), last.alias("last"))
+
+    ends = pair_protocol_counts(packets).select("packet_count", "total_bytes", F.explode(F.array(
+        end(0, src, dst, F.col("first_seen"), F.col("last_seen")), end(1, dst, src, never, never))).alias("e"))
+    peers = ends.select("packet_count", "total_bytes", "e.*").groupBy("ip", "role", "peer").agg(
+        F.sum("packet_count").alias("n"), F.sum("total_bytes").alias("b"), F.min("first").alias("first"), F.max("last").alias("last"))
+    of = lambda role, value: F.coalesce(F.sum(F.when(F.col("role") == role, value)), F.lit(0))
+    known = F.col("peer").isNotNull().cast("bigint")
+    counters = peers.groupBy("ip").agg(
+        of(0, F.col("n")).alias("packets_sent"), of(0, F.col("b")).alias("bytes_sent"),
+        of(1, F.col("n")).alias("packets_received"), of(1, F.col("b")).alias("bytes_received"),
+        of(0, known).alias("unique_destinations"), of(1, known).alias("unique_sources"),
+        F.min("first").alias("first_seen"), F.max("last").alias("last_seen"))
+    spoken = packets.select(src.alias("ip"), "protocol").distinct().groupBy("ip").agg(
+        F.array_join(F.array_sort(F.collect_list("protocol")), ",").alias("protocols_used"))
+    return counters.join(spoken, "ip", "left").select(
+        "ip", "packets_sent", "bytes_sent", "packets_received", "bytes_received", "unique_destinations",
+        "unique_sources",
+        (F.col("packets_sent") + F.col("packets_received")).alias("total_packets"),
+        (F.col("bytes_sent") + F.col("bytes_received")).alias("total_bytes"),
+        F.coalesce("protocols_used", F.lit("")).alias("protocols_used"), "first_seen", "last_seen",
     )
 
 

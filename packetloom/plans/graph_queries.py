@@ -327,8 +327,15 @@ def closeness(spark, sf):
     return graph_search.closeness(cut(_edges(spark, sf)))
 
 
-@query("closeness_approx")
+@query("most_central_closeness", f"SELECT ip, centrality FROM ({CLOSENESS_SQL}) c ORDER BY 2 DESC, 1 LIMIT 5", [GRAPH_SQL, DISTANCE_SQL])
+def most_central_closeness(spark, sf):
+    edge_table = cut(_edges(spark, sf))
+    return graph.most_central(_vertices(spark, sf), 5, "closeness", graph_search.closeness(edge_table))
+
+
+@query("closeness_approx", CLOSENESS_SQL, [GRAPH_SQL, DISTANCE_SQL])
 def closeness_approx(spark, sf):
+    """Below some hundred vertices a sketch holds every one of them, so its sums are exact there."""
     return graph_search.approximate_closeness(cut(_edges(spark, sf)))
 
 

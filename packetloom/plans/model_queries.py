@@ -7,7 +7,8 @@ from pyspark.sql import functions as F
 from packetloom.operators import alerts, bayes, detect, features, kmeans, labeling, linreg, metrics, ml_detect
 from packetloom.operators import ordering, scaling, tree
 from packetloom.plans import training
-from packetloom.plans.feature_queries import TRAILING_SQL, feature_sql
+from packetloom.plans.detect_sql import DETECTIONS
+from packetloom.plans.feature_queries import ANCHORED_SQL, TRAILING_SQL, feature_sql
 from packetloom.plans.registry import query
 from packetloom.schema import FEATURES
 from packetloom.session import cut, scratch_path
@@ -143,11 +144,11 @@ def best_split(spark, sf):
     )
 
 
-def grown_sql(train: str) -> list[str]:
-    """A tree grown level by level over the rows of ``train``, and all rows walked down it."""
+def grown_sql(train: str, rows: str = "lab") -> list[str]:
+    """A tree grown level by level over the rows of ``train``, and all ``rows`` walked down it."""
     return [
         *ROWS_SQL,
-        f"everything AS MATERIALIZED ({long_sql('lab', 'i', 'label')})",
+        f"everything AS MATERIALIZED ({long_sql(rows, 'i', 'label')})",
         f"cells AS MATERIALIZED (SELECT * FROM everything WHERE i IN (SELECT i FROM {train}))",
         """grown AS (SELECT 0 AS depth, i, label, 1 AS node, CAST(NULL AS BIGINT) AS f, CAST(NULL AS DOUBLE) AS t,
           CAST(NULL AS DOUBLE) AS g FROM (SELECT DISTINCT i, label FROM cells) c
@@ -179,7 +180,7 @@ def grown_sql(train: str) -> list[str]:
           CASE WHEN a >= b THEN 'anomaly' ELSE 'normal' END AS class
           FROM (SELECT node, depth, count(*) AS samples, count(*) FILTER (label = 'anomaly') AS a,
             count(*) FILTER (label = 'normal') AS b FROM grown GROUP BY 1, 2) n LEFT JOIN splits s ON n.node = s.node)""",
-        """walk AS (SELECT i, 1 AS node FROM lab UNION ALL
+        f"""walk AS (SELECT i, 1 AS node FROM {rows} UNION ALL
           SELECT w.i, CASE WHEN x.value <= s.t THEN 2 * w.node ELSE 2 * w.node + 1 END FROM walk w
           JOIN splits s ON s.node = w.node JOIN everything x ON x.i = w.i AND x.feature = s.f)""",
         """guess AS (SELECT i, class AS p FROM (SELECT i, max(node) AS node FROM walk GROUP BY 1) q
@@ -294,10 +295,51 @@ def kmeans_step(spark, sf):
     return moved.table(spark).select("cluster", "feature", F.round("value", 6).alias("value"))
 
 
-@query("kmeans_fit")
+def lloyd_sql(source: str, rounds: int = 3, steps: int = 40) -> list[str]:
+    """Two clusters of ``source(i, feature, value)``: drawn candidates, two of them, then Lloyd steps that come to rest.
+
+    The last step's centroids are ``fitted(cluster, feature, c)``, its assignment ``member(i, cluster)``.
+    """
+    squares = "SELECT p.i, c.i AS j, sum((p.value - c.value) * (p.value - c.value)) AS d FROM pts p JOIN pts c USING (feature)"
+    nearest = """SELECT i, arg_min(cluster, (round(distance, 12), cluster)) AS cluster FROM (SELECT p.i, cluster,
+      sqrt(sum((value - c) * (value - c))) AS distance FROM pts p JOIN {0} USING (feature) GROUP BY 1, 2) q GROUP BY 1"""
+    out = [
+        f"pts AS MATERIALIZED (SELECT i, feature, value FROM {source})",
+        "m0 AS MATERIALIZED (SELECT i FROM (SELECT DISTINCT i FROM pts) p ORDER BY md5('42:0:' || i)[:13], i LIMIT 1)",
+    ]
+    for r in range(1, rounds + 1):
+        out += [
+            f"""w{r} AS MATERIALIZED (SELECT i, CAST(floor(d / nullif(max(d) OVER (), 0) * 1000000 + 0.5) AS HUGEINT) AS w FROM (
+              SELECT i, min(d) AS d FROM ({squares} WHERE c.i IN (SELECT i FROM m{r - 1}) GROUP BY 1, 2) s GROUP BY 1) q)""",
+            f"""m{r} AS MATERIALIZED (SELECT i FROM m{r - 1} UNION SELECT i FROM w{r} WHERE
+              CAST(('0x' || md5('42:{r}:' || i)[:13]) AS HUGEINT) * (SELECT sum(w) FROM w{r}) < w * 18014398509481984)""",
+        ]
+    out += [
+        f"""cand AS MATERIALIZED (SELECT i AS cluster, feature, value AS c FROM pts WHERE i IN (SELECT i FROM m{rounds}))""",
+        f"cn AS MATERIALIZED (SELECT cluster AS j, count(*) AS n FROM ({nearest.format('cand')}) q GROUP BY 1)",
+        "k0 AS MATERIALIZED (SELECT j FROM cn ORDER BY n DESC, j LIMIT 1)",
+        f"""k1 AS MATERIALIZED (SELECT cn.j FROM cn JOIN ({squares} WHERE c.i IN (SELECT j FROM k0) GROUP BY 1, 2) s ON s.i = cn.j
+          ORDER BY n * d DESC, cn.j LIMIT 1)""",
+        """l0 AS MATERIALIZED (SELECT 0 AS cluster, feature, value AS c FROM pts WHERE i IN (SELECT j FROM k0)
+          UNION ALL SELECT 1, feature, value FROM pts WHERE i IN (SELECT j FROM k1))""",
+    ]
+    for t in range(1, steps + 1):
+        out += [
+            f"a{t} AS MATERIALIZED ({nearest.format(f'l{t - 1}')})",
+            f"l{t} AS MATERIALIZED (SELECT cluster, feature, avg(value) AS c FROM pts JOIN a{t} USING (i) GROUP BY 1, 2)",
+        ]
+    return [*out, f"fitted AS (SELECT * FROM l{steps})", f"member AS (SELECT * FROM a{steps})"]
+
+
+FITTED_SQL = f"""SELECT CAST(cluster AS INT) AS cluster, CAST(feature AS INT) AS feature, ({NAMES})[feature + 1] AS name,
+    round(c, 6) AS value FROM fitted"""
+
+
+@query("kmeans_fit", FITTED_SQL, [*MM_SQL[:6], *lloyd_sql("sc")])
 def kmeans_fit(spark, sf):
     idx = _scaled(spark, sf)
-    return kmeans.fit(idx.df, FEATURES, kmeans.plus_plus(idx, FEATURES, 2)).table(spark)
+    fitted = kmeans.fit(idx.df, FEATURES, kmeans.parallel_seeds(idx, FEATURES, 2)).table(spark)
+    return fitted.withColumn("value", F.round("value", 6))
 
 
 @query("kmeans_fit_mllib")
@@ -494,7 +536,11 @@ def train_eval_linreg(spark, sf):
     return training.train_linear(_indexed(spark, sf))[1]
 
 
-@query("train_eval_kmeans")
+@query(
+    "train_eval_kmeans",
+    "SELECT CAST(cluster AS INT) AS cluster, count(*) AS size FROM member GROUP BY 1",
+    [*ROWS_SQL, *lloyd_sql(f"({long_sql('lab', 'i')}) f")],
+)
 def train_eval_kmeans(spark, sf):
     return training.train_kmeans(_indexed(spark, sf))[1]
 
@@ -515,45 +561,94 @@ def classification_metrics(spark, sf):
     return metrics.classification(table, "truth", "predicted")
 
 
-@query("train_all")
+def _upright(model: str, columns: list[str], ctes: list[str], select: str) -> str:
+    """(model, metric, value) of a one-row SELECT that sees ``ctes`` on top of the labelled rows."""
+    names, values = ", ".join(f"'{c}'" for c in columns), ", ".join(f"CAST({c} AS DOUBLE)" for c in columns)
+    inner = f"(WITH RECURSIVE {', '.join(ctes[len(ROWS_SQL):])} {select})"
+    return f"SELECT '{model}' AS model, unnest([{names}]) AS metric, unnest([{values}]) AS value FROM {inner} {model}"
+
+
+COUNTED = ["tp", "tn", "fp", "fn", "accuracy", "precision", "recall", "f1_score"]
+ALL_LONG = [*ROWS_SQL, *lloyd_sql(f"({long_sql('lab', 'i')}) f")]
+SUMMARY_SQL = " UNION ALL ".join([
+    _upright("decision_tree", COUNTED, [*grown_sql(FIRST_80), CONFUSION_SQL], METRIC_SQL),
+    _upright("naive_bayes", COUNTED, SPLIT_NB, METRIC_SQL),
+    _upright("linear_regression", ["n", "mse", "rmse", "r_squared"], descent_sql(FIRST_80), REGRESSION_SQL + f" WHERE {LAST_20}"),
+    _upright(
+        "kmeans", ["size_0", "size_1", "inertia"], ALL_LONG,
+        """SELECT (SELECT count(*) FROM member WHERE cluster = 0) AS size_0, (SELECT count(*) FROM member WHERE cluster = 1) AS size_1,
+          (SELECT sum((value - c) * (value - c)) FROM pts JOIN member USING (i) JOIN fitted USING (cluster, feature)) AS inertia"""),
+])
+
+
+@query(
+    "train_all",
+    f"SELECT model, metric, round(value, 4) AS value FROM ({SUMMARY_SQL}) s",
+    [
+        *ANCHORED_SQL,
+        f"lab0 AS MATERIALIZED (SELECT *, {LABEL_SQL} AS label, {SCORE_SQL} AS score, row_number() OVER (ORDER BY window_start) AS i FROM af)",
+        """lab AS MATERIALIZED (SELECT * FROM lab0 UNION ALL SELECT * REPLACE (avg_packet_size * 10 AS avg_packet_size,
+          packets_per_second * 20 AS packets_per_second, 'anomaly' AS label, 0.9 AS score, (SELECT count(*) FROM lab0) + i AS i)
+          FROM lab0 WHERE i <= 10 AND (SELECT count(DISTINCT label) FROM lab0) = 1)""",
+    ],
+)
 def train_all(spark, sf):
-    return training.train_all(load_packets(spark, sf), SECONDS).summary
+    """The whole run on anchored windows: tree, naive Bayes and regression on the last fifth, clusters on all rows."""
+    return training.train_all(load_packets(spark, sf), SECONDS).summary.withColumn("value", F.round("value", 4))
 
 
 # --- the model-based detector ---------------------------------------------------------------
 
-DETECT_ML_SQL = [
-    *TRAILING_SQL[:2],
+PROBES_SQL = [
     f"tf AS ({feature_sql('tr', ['probe'])})",
     *MM_SQL,
     f"tlong AS ({long_sql('tf', 'probe', 'packets')})",
-    """tsc AS (SELECT probe, packets, feature, CASE WHEN hi > lo THEN (value - lo) / (hi - lo) ELSE 0.0 END AS value
-      FROM tlong JOIN rng USING (feature))""",
-    """td AS (SELECT probe, min(distance) AS score FROM (SELECT probe, cluster,
-      sqrt(sum((value - c) * (value - c))) AS distance FROM tsc JOIN c0 USING (feature) WHERE packets >= 10
-      GROUP BY 1, 2) q GROUP BY 1)""",
-    """rel AS (SELECT p.i AS probe, list_sort(list_distinct(flatten(list([x.src_ip, x.dst_ip])))) AS related
-      FROM ix p JOIN ix x ON x.i BETWEEN p.i - 9 AND p.i WHERE p.i % 10 = 0 GROUP BY 1)""",
-    """ml AS (SELECT p.id AS packet_id, p.timestamp, related[1] AS src_ip, related[2] AS dst_ip,
-      'ml:kmeans' AS detection_method, 7 AS rule_order, score, related AS related_ips,
-      'model_type=kmeans, prediction_score=' || printf('%.4f', score) AS description
-      FROM td JOIN ix p ON p.i = probe JOIN rel ON rel.probe = td.probe WHERE score > 0.7)""",
+    """tsc AS MATERIALIZED (SELECT probe, packets, feature, CASE WHEN hi > lo THEN (value - lo) / (hi - lo) ELSE 0.0 END AS value
+      FROM tlong JOIN rng USING (feature) WHERE packets >= 10)""",
+]
+RELATED_SQL = """rel AS (SELECT p.i AS probe, list_sort(list_distinct(flatten(list([x.src_ip, x.dst_ip])))) AS related
+      FROM ix p JOIN ix x ON x.i BETWEEN p.i - 9 AND p.i WHERE p.i % 10 = 0 GROUP BY 1)"""
+SCALED_SQL = "slab AS MATERIALIZED (SELECT i, label, " + ", ".join(
+    f"CASE WHEN max({c}) OVER () > min({c}) OVER () THEN ({c} - min({c}) OVER ()) / (max({c}) OVER () - min({c}) OVER ())"
+    f" ELSE 0.0 END AS {c}" for c in FEATURES) + " FROM lab)"
+CLASS_MEANS_SQL = """judged AS (SELECT probe, score FROM (SELECT probe, min(distance) AS score FROM (SELECT probe, cluster,
+      sqrt(sum((value - c) * (value - c))) AS distance FROM tsc JOIN c0 USING (feature) GROUP BY 1, 2) q GROUP BY 1) d
+      WHERE score > 0.7)"""
+FITTED_MEANS_SQL = [*lloyd_sql("sc"), CLASS_MEANS_SQL.replace("c0", "fitted")]
+TREE_SQL = [
+    SCALED_SQL,
+    *grown_sql("(SELECT i FROM lab) f", "slab")[len(ROWS_SQL):],
+    """descent AS (SELECT probe, 1 AS node FROM (SELECT DISTINCT probe FROM tsc) p UNION ALL
+      SELECT w.probe, CASE WHEN x.value <= s.t THEN 2 * w.node ELSE 2 * w.node + 1 END FROM descent w
+      JOIN splits s ON s.node = w.node JOIN tsc x ON x.probe = w.probe AND x.feature = s.f)""",
+    """judged AS (SELECT probe, 0.8::DOUBLE AS score FROM (SELECT probe, max(node) AS node FROM descent GROUP BY 1) q
+      JOIN nodes USING (node) WHERE class = 'anomaly')""",
+]
+BAYES_SQL = [
+    """nb AS (SELECT label AS class, count(*) / (SELECT count(*) FROM lab) AS prior, feature, avg(value) AS mean,
+      CASE WHEN CASE WHEN count(*) > 1 THEN var_pop(value) ELSE 1e-6 END > 0
+        THEN sqrt(CASE WHEN count(*) > 1 THEN var_pop(value) ELSE 1e-6 END) ELSE 1e-6 END AS std FROM sc GROUP BY label, feature)""",
+    """ll AS (SELECT probe, class, ln(any_value(prior)) + sum(CASE WHEN pdf > 0 THEN ln(nullif(pdf, 0)) ELSE -100 END) AS l
+      FROM (SELECT probe, class, prior, 1 / (sqrt(2 * pi()) * greatest(std, 1e-6))
+        * exp(-((value - mean) ** 2) / (2 * greatest(std, 1e-6) ** 2)) AS pdf FROM tsc JOIN nb USING (feature)) q GROUP BY 1, 2)""",
+    """judged AS (SELECT probe, 1 / sum(exp(l - a)) AS score FROM (SELECT *, max(CASE WHEN class = 'anomaly' THEN l END)
+      OVER (PARTITION BY probe) AS a, max(l) OVER (PARTITION BY probe) AS m FROM ll) q WHERE a = m GROUP BY 1)""",
 ]
 
 
-@query(
-    "detect_ml",
-    """SELECT packet_id, timestamp, src_ip, dst_ip, detection_method, CAST(rule_order AS INT) AS rule_order,
-    round(score, 6) AS score, array_to_string(related_ips, ',') AS related_ips, description FROM ml""",
-    DETECT_ML_SQL,
-)
-def detect_ml(spark, sf):
-    """Trailing 30 s judged by distance to the class means of the scaled training windows."""
+def _ml_sql(name: str) -> str:
+    return f"""SELECT p.id AS packet_id, p.timestamp, related[1] AS src_ip, related[2] AS dst_ip, 'ml:{name}' AS detection_method,
+    CAST(7 AS INT) AS rule_order, round(score, 6) AS score, array_to_string(related, ',') AS related_ips,
+    'model_type={name}, prediction_score=' || printf('%.4f', score) AS description
+    FROM judged JOIN ix p ON p.i = probe JOIN rel ON rel.probe = judged.probe"""
+
+
+def _judged(spark, sf, make):
+    """Trailing 30 s judged by a model of the scaled training windows."""
     idx = features.index_packets(load_packets(spark, sf))
     rows = cut(training.labelled(features.features_windowed(idx, SECONDS)))
     scaler = scaling.Scaler(scaling.fit(rows, FEATURES))
-    model = _class_means(scaling.minmax(rows, scaler, FEATURES))
-    found = ml_detect.ml(idx, model, scaler)
+    found = ml_detect.ml(idx, make(cut(scaling.minmax(rows, scaler, FEATURES))), scaler)
     return found.select(
         "packet_id", "timestamp", "src_ip", "dst_ip", "detection_method", "rule_order",
         F.round("score", 6).alias("score"), F.array_join("related_ips", ",").alias("related_ips"),
@@ -561,7 +656,39 @@ def detect_ml(spark, sf):
     )
 
 
-@query("detect_ensemble")
+@query("detect_ml", _ml_sql("kmeans"), [*TRAILING_SQL[:2], *PROBES_SQL, RELATED_SQL, CLASS_MEANS_SQL])
+def detect_ml(spark, sf):
+    """By distance to the class means."""
+    return _judged(spark, sf, _class_means)
+
+
+@query("detect_ml_kmeans", _ml_sql("kmeans"), [*TRAILING_SQL[:2], *PROBES_SQL, RELATED_SQL, *FITTED_MEANS_SQL])
+def detect_ml_kmeans(spark, sf):
+    """By distance to fitted centroids."""
+
+    def fitted(rows):
+        idx = ordering.with_global_index(rows, order=("window_start",))
+        return kmeans.fit(idx.df, FEATURES, kmeans.parallel_seeds(idx, FEATURES, 2))
+
+    return _judged(spark, sf, fitted)
+
+
+@query("detect_ml_tree", _ml_sql("decision_tree"), [*TRAILING_SQL[:2], *PROBES_SQL, RELATED_SQL, *TREE_SQL])
+def detect_ml_tree(spark, sf):
+    return _judged(spark, sf, lambda rows: tree.DecisionTree.fit(rows, FEATURES))
+
+
+@query("detect_ml_bayes", _ml_sql("naive_bayes"), [*TRAILING_SQL[:2], *PROBES_SQL, RELATED_SQL, *BAYES_SQL])
+def detect_ml_bayes(spark, sf):
+    return _judged(spark, sf, lambda rows: bayes.NaiveBayes(cut(bayes.fit(rows, FEATURES))))
+
+
+@query(
+    "detect_ensemble",
+    """SELECT detection_method, count(*) AS detections FROM (SELECT detection_method FROM det
+    UNION ALL SELECT 'ml:decision_tree' FROM judged) u GROUP BY 1""",
+    [*DETECTIONS, TRAILING_SQL[1], *PROBES_SQL, *TREE_SQL],
+)
 def detect_ensemble(spark, sf):
     """Statistical, rule and tree-model detections together, on one index."""
     packets = load_packets(spark, sf)

@@ -47,7 +47,7 @@ def train_linear(idx: Indexed, columns=FEATURES, target: str = "score") -> tuple
 
 
 def train_kmeans(idx: Indexed, columns=FEATURES, k: int = 2) -> tuple[kmeans.KMeans, DataFrame]:
-    model = kmeans.fit(idx.df, columns, kmeans.plus_plus(idx, columns, k))
+    model = kmeans.fit(idx.df, columns, kmeans.parallel_seeds(idx, columns, k))
     return model, kmeans.cluster_sizes(model.with_cluster(idx.df))
 
 

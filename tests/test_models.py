@@ -75,7 +75,7 @@ def test_tree_against_recursive_growth(spark):
 def test_kmeans(spark):
     corners = [(0.0, 0.0), (0.1, 0.0), (0.0, 0.1), (10.0, 10.0), (10.1, 10.0), (10.0, 10.1)]
     idx = ordering.with_global_index(frame(spark, corners, ["x", "y"]), order=("x", "y"))
-    model = kmeans.fit(idx.df, ["x", "y"], kmeans.plus_plus(idx, ["x", "y"], 2))
+    model = kmeans.fit(idx.df, ["x", "y"], kmeans.parallel_seeds(idx, ["x", "y"], 2))
     placed = model.with_cluster(idx.df).collect()
     low = {r["cluster"] for r in placed if r["x"] < 5}
     high = {r["cluster"] for r in placed if r["x"] > 5}
@@ -83,6 +83,19 @@ def test_kmeans(spark):
     assert model.inertia == pytest.approx(0.0266666, abs=1e-4)
 
 
+def test_seeds_do_not_depend_on_partitions_or_blocks(spark):
+    rng = random.Random(8)
+    points = [(rng.gauss(4 * (k % 3), 1), rng.gauss(0, 1)) for k in range(500)] + [(1.0, 1.0)] * 250
+    found = []
+    for parts, block in ((1, 10_000), (3, 100), (7, 64)):
+        table = frame(spark, points, ["x", "y"]).repartition(parts)
+        idx = ordering.with_global_index(table, order=("x", "y"), partitions=parts, block_rows=block)
+        found.append(kmeans.parallel_seeds(idx, ["x", "y"], 3).centroids.tolist())
+    assert found[0] == found[1] == found[2] and len({tuple(c) for c in found[0]}) == 3
+    same = ordering.with_global_index(frame(spark, [(2.0, 2.0)] * 5, ["x", "y"]), order=("x", "y"))
+    assert kmeans.parallel_seeds(same, ["x", "y"], 2).centroids.tolist() == [[2.0, 2.0]] * 2
+
+
 def test_outlier_scores_highest(spark):
     rows = frame(spark, [(0.0, 0.0), (1.0, 0.0), (0.0, 1.0), (100.0, 100.0)], ["x", "y"])
     scores = kmeans.KMeans([[25.25, 25.25]], ["x", "y"]).with_scores(rows)
