@@ -51,15 +51,18 @@ class Numbered:
     count: int
 
 
-def numbered(edge_table: DataFrame, rows_per_task: int = ROWS_PER_TASK) -> Numbered:
-    """Number the addresses by one range shuffle and put the numbers into the edges."""
+def numbered(edge_table: DataFrame) -> Numbered:
+    """Number the addresses by one range shuffle and put the numbers into the edges.
+
+    An address of very many edges is one large key on the left of a join with unique keys, which adaptive execution splits.
+    """
     ips = edge_table.select(F.explode(F.array("src_ip", "dst_ip")).alias("ip")).distinct()
     idx = ordering.with_global_index(ips, order=("ip",))
     names = idx.df.select("ip", F.col("i").alias("v"))
     pairs = undirected(edge_table)
-    for end, other in (("a", "b"), ("b", "a")):
+    for end in ("a", "b"):
         found = names.select(F.col("ip").alias(end), F.col("v").alias(f"_{end}"))
-        pairs = skew_join(pairs, found, [end], [other], rows_per_task=rows_per_task)
+        pairs = pairs.join(found, end)
     return Numbered(names, cut(pairs.select(F.col("_a").alias("a"), F.col("_b").alias("b"))), idx.total)
 
 
@@ -111,14 +114,13 @@ def connected_components(
     the number of rounds grows with the logarithm of the component size, not
     with the graph's diameter.
     """
-    graph = numbered(edge_table, rows_per_task)
+    graph = numbered(edge_table)
     pairs = graph.pairs
     everyone = graph.names.select("ip") if vertex_table is None else vertex_table.select("ip")
     while not _is_star_forest(pairs):
         pairs = cut(_small_star(_large_star(pairs, rows_per_task), rows_per_task))
     parents = graph.names.select(F.col("v").alias("a"), F.col("ip").alias("component"))
-    label = skew_join(pairs, parents, ["a"], ["b"], rows_per_task=rows_per_task).join(
-        graph.names.withColumnRenamed("v", "b"), "b").select("ip", "component")
+    label = pairs.join(parents, "a").join(graph.names.withColumnRenamed("v", "b"), "b").select("ip", "component")
     return everyone.join(label, "ip", "left").withColumn("component", F.coalesce("component", "ip"))
 
 
@@ -133,7 +135,7 @@ def bfs_distances(
     Sums over all sources do not need these rows, see ``closeness``. A new frontier only has to be
     compared with the last two, because a neighbour of level d lies in d-1, d or d+1.
     """
-    graph = numbered(edge_table, rows_per_task)
+    graph = numbered(edge_table)
     steps = cut(symmetric(graph.pairs).withColumnRenamed("v", "w"))
     asked = graph.names.select("ip") if sources is None else sources.select("ip").distinct()
     frontier = cut(asked.join(graph.names, "ip").select(F.col("v").alias("s"), F.col("v").alias("w")))
@@ -305,7 +307,7 @@ def triangles(edge_table: DataFrame, rows_per_task: int = ROWS_PER_TASK) -> Data
     split a vertex by the list entries that meet there. Only closed triangles
     become rows.
     """
-    graph = numbered(edge_table, rows_per_task)
+    graph = numbered(edge_table)
     pairs = graph.pairs
     degree = symmetric(pairs).groupBy("u").agg(F.count("*").alias("d"))
     with_a = skew_join(pairs, degree.select(F.col("u").alias("a"), F.col("d").alias("da")), ["a"], ["b"],

@@ -81,11 +81,11 @@ def _draw(seed: int, turn: int) -> Column:
     return F.conv(F.substring(F.md5(text.cast("binary")), 1, 13), 16, 10).cast("decimal(16,0)")
 
 
-def parallel_seeds(idx: Indexed, columns: Sequence[str], k: int = 2, seed: int = 42, rounds: int = 3) -> KMeans:
+def parallel_seeds(idx: Indexed, columns: Sequence[str], k: int = 2, seed: int = 42, rounds: int = 2) -> KMeans:
     """k-means|| seeding (Bahmani et al., 2012), the same whatever the partitions and blocks are.
 
     A round draws every row on its own, with 2 k times its share of the squared distances; shares are whole millionths
-    of the largest, so their sum is exact, and the draw is a hash of seed, round and index. The few rows drawn (about
+    of the largest distance of the first round, so their sum is exact, and the draw is a hash of seed, round and index. The few rows drawn (about
     2 k a round) are weighted by the rows nearest to them. Of these the heaviest is the first centroid, each further one
     has the largest weight times squared distance from those before; ties go to the lower index.
     """
@@ -94,13 +94,17 @@ def parallel_seeds(idx: Indexed, columns: Sequence[str], k: int = 2, seed: int =
     if not first:
         raise ValueError("k-means needs at least one row")
     drawn = {r["i"]: [float(r[c]) for c in columns] for r in first}
+    most = None
     for turn in range(1, rounds + 1):
         away = rows.withColumn("_d", F.array_min(KMeans([drawn[i] for i in sorted(drawn)], columns)._squares()))
-        most = away.agg(F.max("_d")).first()[0]
-        if not most > 0:
-            break
+        if most is None:
+            most = away.agg(F.max("_d")).first()[0]
+            if not most > 0:
+                break
         weighted = away.withColumn("_w", F.floor(F.col("_d") / F.lit(most) * 1_000_000 + 0.5).cast("bigint"))
         total = weighted.agg(F.sum("_w")).first()[0]
+        if not total:
+            break
         share = F.col("_w").cast("decimal(20,0)") * F.lit(2 * k * 2**52).cast("decimal(18,0)")
         for r in weighted.where(_draw(seed, turn) * F.lit(total).cast("decimal(20,0)") < share).select("i", *columns).collect():
             drawn[r["i"]] = [float(r[c]) for c in columns]

@@ -295,7 +295,7 @@ def kmeans_step(spark, sf):
     return moved.table(spark).select("cluster", "feature", F.round("value", 6).alias("value"))
 
 
-def lloyd_sql(source: str, rounds: int = 3, steps: int = 40) -> list[str]:
+def lloyd_sql(source: str, rounds: int = 2, steps: int = 40) -> list[str]:
     """Two clusters of ``source(i, feature, value)``: drawn candidates, two of them, then Lloyd steps that come to rest.
 
     The last step's centroids are ``fitted(cluster, feature, c)``, its assignment ``member(i, cluster)``.
@@ -309,8 +309,9 @@ def lloyd_sql(source: str, rounds: int = 3, steps: int = 40) -> list[str]:
     ]
     for r in range(1, rounds + 1):
         out += [
-            f"""w{r} AS MATERIALIZED (SELECT i, CAST(floor(d / nullif(max(d) OVER (), 0) * 1000000 + 0.5) AS HUGEINT) AS w FROM (
-              SELECT i, min(d) AS d FROM ({squares} WHERE c.i IN (SELECT i FROM m{r - 1}) GROUP BY 1, 2) s GROUP BY 1) q)""",
+            f"""d{r} AS MATERIALIZED (SELECT i, min(d) AS d FROM ({squares} WHERE c.i IN (SELECT i FROM m{r - 1}) GROUP BY 1, 2) s
+              GROUP BY 1)""",
+            f"w{r} AS MATERIALIZED (SELECT i, CAST(floor(d / (SELECT max(d) FROM d1) * 1000000 + 0.5) AS HUGEINT) AS w FROM d{r})",
             f"""m{r} AS MATERIALIZED (SELECT i FROM m{r - 1} UNION SELECT i FROM w{r} WHERE
               CAST(('0x' || md5('42:{r}:' || i)[:13]) AS HUGEINT) * (SELECT sum(w) FROM w{r}) < w * 18014398509481984)""",
         ]
