@@ -6,9 +6,8 @@ import gc
 import os
 from collections.abc import Callable, Iterator
 
-import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from packetloom.session import scratch_path
@@ -48,38 +47,59 @@ def release(spark: SparkSession, *tables: DataFrame) -> None:
     spark._jvm.System.gc()
 
 
-SIEVE_BITS = 1 << 22
+BROADCAST_KEYS = 1 << 20  # 8 MB of keys; more are joined by a shuffle
 
 
-def sieve_of(keys: DataFrame, column: str) -> np.ndarray:
-    """SIEVE_BITS flags, packed, set where a key's hash falls: 512 KB however many keys there are."""
-    flags = np.zeros(SIEVE_BITS, dtype=bool)
-    flags[[r[0] for r in keys.select(sieve_place(column)).distinct().collect()]] = True
-    return np.packbits(flags)
+_remembering: dict[str, Callable[[], None]] = {}
 
 
-def sieve_place(column: str) -> F.Column:
-    return F.pmod(F.xxhash64(column), F.lit(SIEVE_BITS)).cast("int")
+def alone(owner: str, forget: Callable[[], None]) -> None:
+    """Called in a task of ``owner``: what tasks of other operators have left in this worker's memory is freed.
+
+    A worker lives through many stages; ``forget`` frees what this owner remembers, once another one comes.
+    """
+    if _remembering.keys() != {owner}:
+        for name in list(_remembering):
+            if name != owner:
+                _remembering.pop(name)()
+        _remembering[owner] = forget
+
+
+def few_keys(keys: DataFrame) -> DataFrame:
+    """The distinct rows of ``keys``, for the right side of a join: broadcast if there are few enough, else shuffled.
+
+    Written first, so that they are counted before the join is planned.
+    """
+    stored = store(keys.distinct(), "keys")
+    return F.broadcast(stored) if stored.count() <= BROADCAST_KEYS else stored
 
 
 def without(rows: DataFrame, gone: DataFrame, key: str) -> DataFrame:
-    """The rows whose key is not in ``gone`` (not null there), without a shuffle of nearly all of them.
+    """The rows whose key is not in ``gone``; where few go, no row is shuffled. Columns are as they were."""
+    kept = rows.join(few_keys(gone.select(key)), key, "left_anti")
+    return kept.select([F.col(f"`{c}`") for c in rows.columns])
+
+
+def of_texts(fn: Callable[[list[str | None]], list], kind: str, done: Callable[[], None] | None = None) -> Callable[[Column], Column]:
+    """A column of type ``kind`` from a text column, ``fn`` applied to runs of texts.
 
-    A row whose flag in the sieve of ``gone`` is not set stays for sure; only the others are joined.
+    Only the text goes to Python; all other columns of a row stay where they are, whatever they are called. ``done``
+    is called when a task has seen all its texts: a worker lives on and should not hold what the task remembered.
     """
-    spread = rows.sparkSession.sparkContext.broadcast(sieve_of(gone, key))
-    marked = rows.withColumn("_place", sieve_place(key))
 
-    def pick(wanted: int) -> DataFrame:
-        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            flags = np.unpackbits(spread.value)
-            for batch in batches:
-                at = batch.schema.get_field_index("_place")
-                yield batch.filter(pa.array(flags[batch.column(at).to_numpy()] == wanted))
+    @F.arrow_udf(kind)
+    def run(arrays: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        for array in arrays:
+            parts = [fn(array.slice(start, ROWS_AT_ONCE).to_pylist()) for start in range(0, len(array), ROWS_AT_ONCE)]
+            yield pa.array([value for part in parts for value in part], type=types.field(0).type)
+        if done is not None:
+            done()
 
-        return marked.mapInArrow(run, marked.schema).select(rows.columns)
+    from pyspark.sql.pandas.types import to_arrow_schema
+    from pyspark.sql.types import StructType
 
-    return pick(0).unionByName(pick(1).join(gone.select(key), key, "left_anti").select(rows.columns))
+    types = to_arrow_schema(StructType.fromDDL(f"value {kind}"))
+    return run
 
 
 def map_batches(df: DataFrame, fn: Callable[[dict[str, list]], dict[str, object]], schema: str) -> DataFrame:

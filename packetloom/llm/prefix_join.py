@@ -40,7 +40,7 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from packetloom.llm.common import arrow_schema, batch_of, map_batches, release, sieve_of, sieve_place, small, store
+from packetloom.llm.common import alone, arrow_schema, batch_of, few_keys, map_batches, release, small, store
 from packetloom.llm.components import components
 
 WORDS, PERCENT = 5, 80
@@ -66,6 +66,7 @@ def shingles(text: str | None, words: int = WORDS) -> np.ndarray:
     found = text.encode().lower().split() if text else []
     if not found:
         return np.empty(0, dtype=np.uint64)
+    alone("words", _words.clear)
     if len(_words) > _REMEMBERED:
         _words.clear()
     one = np.fromiter(map(_words.__getitem__, found), dtype=np.uint64, count=len(found))
@@ -292,32 +293,31 @@ class Join:
     def remade(self, wanted: DataFrame) -> DataFrame:
         """(n, s1, s2, set) from the texts of the documents with the ids ``least`` of ``wanted``.
 
-        A sieve of the ids goes to the tasks: nearly only these texts are split into sets. Sets of other
-        documents that share a bit meet no pair. A task gives a set once.
+        Ids are compared by their hash; sets of other documents of that hash meet no pair. A task gives a set once.
         """
-        spread = self.spark.sparkContext.broadcast(sieve_of(wanted, "least"))
+        keys = few_keys(wanted.select(F.xxhash64("least").alias("at")))
         words = self.words
         types = arrow_schema(self.spark, "n int, s1 long, s2 long, `set` binary")
 
         def remake(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            flags, seen = spread.value, set()
+            seen = set()
             for batch in small(batches):
-                batch = batch.to_pydict()
                 out = {k: [] for k in ("n", "s1", "s2", "set")}
-                for at, text in zip(batch["at"], batch["text"]):
-                    if flags[at >> 3] & (128 >> (at & 7)):
-                        found = shingles(text, words).tobytes()
-                        key = xxhash.xxh3_128_digest(found)
-                        if found and key not in seen:
-                            seen.add(key)
-                            s1, s2 = np.frombuffer(key, dtype="<i8").tolist()
-                            for k, v in (("n", len(found) // 8), ("s1", s1), ("s2", s2), ("set", found)):
-                                out[k].append(v)
+                for text in batch.column(0).to_pylist():
+                    found = shingles(text, words).tobytes()
+                    key = xxhash.xxh3_128_digest(found)
+                    if found and key not in seen:
+                        seen.add(key)
+                        s1, s2 = np.frombuffer(key, dtype="<i8").tolist()
+                        for k, v in (("n", len(found) // 8), ("s1", s1), ("s2", s2), ("set", found)):
+                            out[k].append(v)
                 yield batch_of(out, types)
 
-        source = self.docs.select(
-            sieve_place(self.id_col).alias("at"), F.col(self.text_col).alias("text"))
-        return store(source.mapInArrow(remake, "n int, s1 long, s2 long, `set` binary"), "remade")
+        source = self.docs.select(F.xxhash64(self.id_col).alias("at"), F.col(self.text_col).alias("text"))
+        asked = source.join(keys, "at", "left_semi").select("text")
+        made = store(asked.mapInArrow(remake, "n int, s1 long, s2 long, `set` binary"), "remade")
+        release(self.spark, keys)
+        return made
 
 
 def ordered(pairs: DataFrame) -> DataFrame:
