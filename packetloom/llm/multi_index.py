@@ -48,7 +48,7 @@ def valid(vectors: DataFrame, id_col: str, vector_col: str) -> DataFrame:
     v = F.col("v")
     fine = F.forall(v, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf"))) & F.exists(v, lambda x: x != 0)
     rows = vectors.select(F.col(id_col).alias("id"), F.transform(vector_col, lambda x: x.cast("double")).alias("v"))
-    rows = rows.where(F.col("id").isNotNull() & v.isNotNull() & (F.size(v) > 1) & fine)
+    rows = rows.where(F.col("id").isNotNull() & v.isNotNull() & (F.size(v) > 0) & fine)
     # +0.0 and -0.0 are one value
     return rows.select("id", F.transform(v, lambda x: x + F.lit(0.0)).alias("v"))
 
@@ -149,11 +149,12 @@ class MultiIndex:
 
         of_first = F.element_at(F.lit([int(p) for p in pieces]), F.col("i") + 1)
         chunk_of = F.pmod(F.xxhash64("q"), F.lit(chunks)).cast("int")
-        probes = map_batches(queries, probe, "q long, v array<double>, i int, cells array<int>").select(
-            "*", F.explode(F.sequence(F.lit(0), of_first - 1)).alias("piece"), chunk_of.alias("chunk"))
-        blocks = self.entries.select(
-            "*", F.pmod(F.xxhash64("e"), of_first).cast("int").alias("piece"),
-            F.explode(F.sequence(F.lit(0), F.lit(chunks - 1))).alias("chunk"))
+        probed = store(map_batches(queries, probe, "q long, v array<double>, i int, cells array<int>").withColumn("chunk", chunk_of), "probes")
+        probes = probed.select("*", F.explode(F.sequence(F.lit(0), of_first - 1)).alias("piece"))
+        # an entry goes to the chunks that probe its first centroid; their lists are CENTROIDS rows
+        asking = probed.groupBy("i").agg(F.collect_set("chunk").alias("chunks"))
+        blocks = self.entries.join(asking, "i").select(
+            "*", F.pmod(F.xxhash64("e"), of_first).cast("int").alias("piece"), F.explode("chunks").alias("chunk")).drop("chunks")
         keys = ["i", "piece", "chunk"]
 
         def rerank(entries: pd.DataFrame, asked: pd.DataFrame) -> pd.DataFrame:
