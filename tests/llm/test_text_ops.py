@@ -113,27 +113,41 @@ def test_packing_cost_limit_and_density():
 
 def plain_shards(rows, shards, seed):
     import hashlib
+    import zlib
 
-    def key(r):
-        return hashlib.md5(f"{seed}:{'' if r.doc_id is None else r.doc_id}".encode()).hexdigest()
-
-    groups = defaultdict(list)
+    md5 = lambda text: hashlib.md5(text.encode()).hexdigest()
+    low = lambda value: (value is not None, value or 0)
+    copies, groups = defaultdict(int), defaultdict(list)
     for r in rows:
-        groups[r.source].append(r)
+        raw = (r.text or "").encode()
+        row = (r.doc_id, len(raw) + 1, zlib.crc32(raw))
+        copy = copies[r.source, row]
+        copies[r.source, row] += 1
+        groups[r.source].append((md5(":".join([seed, *("" if x is None else str(x) for x in row), str(copy)])), low(r.doc_id), copy, row))
+    by_size = defaultdict(list)
+    for source, members in groups.items():
+        name = "\0" if source is None else source
+        by_size[len(members)].append((md5(f"{seed}:source:{name}"), low(source)[0], source or "", source))
+    turns = {}
+    for same in by_size.values():
+        for k, (*_, source) in enumerate(sorted(same, key=lambda s: s[:3])):
+            turns[source] = int(((k + 0.5) * interleave_shards.GOLDEN) % 1 * interleave_shards.STEPS)
     placed = []
     for source, members in groups.items():
-        size = lambda r: len((r.text or "").encode()) + 1
-        members.sort(key=lambda r: (key(r), r.doc_id is not None, r.doc_id or 0, size(r)))
-        placed += [((2 * k + 1) / (2 * len(members)), (source is not None, source or ""), k, r.doc_id, size(r)) for k, r in enumerate(members)]
+        for k, (*_, row) in enumerate(sorted(members, key=lambda m: m[:3])):
+            fraction = (k * interleave_shards.STEPS + turns[source]) / (len(members) * interleave_shards.STEPS)
+            placed.append((fraction, (source is not None, source or ""), k, row))
     placed.sort(key=lambda p: p[:3])
     n, out = len(placed), []
-    for at, (*_, doc, size) in enumerate(placed):
+    for at, (*_, (doc, size, _)) in enumerate(placed):
         shard = at * shards // n
         out.append((doc, size, shard, at - (shard * n + shards - 1) // shards))
     return sorted(out, key=str)
 
 
-def test_shards_equal_the_plain_version(docs):
+@pytest.mark.parametrize("copies", [1, 4_096])
+def test_shards_equal_the_plain_version(docs, copies, monkeypatch):
+    monkeypatch.setattr(interleave_shards, "COPIES", copies)
     got = interleave_shards.interleave_shards(docs, 8, "t").select("doc_id", "size", "shard", "slot").collect()
     assert sorted(map(tuple, got), key=str) == plain_shards(docs.collect(), 8, "t")
 
@@ -146,6 +160,27 @@ def test_shards_match_the_mixture(spark):
     assert len(rows) == 8 and all(r.n == 375 and abs(r.hot - 125) <= 1 for r in rows)
 
 
+@pytest.mark.parametrize("per_source", [1, 2, 3])
+def test_many_small_sources_are_spread_like_a_large_one(spark, per_source):
+    """8,000 rows in sources of one to three rows beside a hot source: every shard within a hundredth of the mixture."""
+    rows = spark.range(16_000).select(
+        F.col("id").alias("doc_id"), F.lit("t").alias("text"),
+        F.when(F.col("id") % 2 == 0, "hot").otherwise(F.concat(F.lit("s"), F.floor(F.col("id") / (2 * per_source)).cast("string"))).alias("source"))
+    shards = interleave_shards.interleave_shards(rows).join(rows, "doc_id").groupBy("shard").agg(
+        F.count("*").alias("n"), F.sum(F.expr("int(source = 'hot')")).alias("hot")).collect()
+    assert len(shards) == 8 and all(r.n == 2_000 and abs(r.hot - 1_000) <= 10 for r in shards)
+
+
+def test_copies_and_rows_without_id_are_spread(spark):
+    rows = spark.range(6_000).select(
+        F.when(F.col("id") % 3 == 0, F.lit(None)).when(F.col("id") % 3 == 1, F.lit(7)).otherwise(F.col("id")).cast("long").alias("doc_id"),
+        F.lit("t").alias("text"), F.lit("s").alias("source"), F.col("id").alias("size"), F.lit("x").alias("copies"))
+    shards = interleave_shards.interleave_shards(rows).groupBy("shard").agg(
+        F.count("*").alias("n"), F.count_if(F.col("doc_id").isNull()).alias("nulls"), F.count_if(F.col("doc_id") == 7).alias("sevens"),
+        F.countDistinct("slot").alias("slots")).collect()
+    assert len(shards) == 8 and all(r.n == r.slots == 750 and abs(r.nulls - 250) < 60 and abs(r.sevens - 250) < 60 for r in shards)
+
+
 def test_empty_tables(spark):
     none = spark.createDataFrame([], SCHEMA)
     assert token_counts.token_counts(none).count() == 0
