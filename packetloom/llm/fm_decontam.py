@@ -26,16 +26,18 @@ from __future__ import annotations
 import re
 from collections.abc import Iterator
 from math import ceil
+from uuid import uuid4
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from packetloom.llm.common import arrow_schema, batch_of, small, store
+from packetloom.llm.common import alone, arrow_schema, batch_of, of_texts, slices, small, store, without
 
 WINDOW = 13
 SHARD_WORDS = 1_000_000
+SHARD_ROWS, SHARD_BYTES = 20_000, 32 << 20  # of the rows that wait for their shard, copies and kept columns included
 SAMPLE = 16
 BLOCK_BYTES = 16 << 20
 
@@ -48,20 +50,46 @@ def words_of(text: str | None) -> list[bytes]:
 
 
 class Windows:
-    """The distinct windows of a block of benchmark items."""
+    """The distinct windows of a block of benchmark items, as one sorted array."""
 
     def __init__(self, items: list[tuple[object, str | None]], window: int):
         self.symbols: dict[bytes, int] = {}
-        owners: dict[tuple[int, ...], set[str]] = {}
-        for item, text in items:
-            ids = [self.symbols.setdefault(w, len(self.symbols) + 2) for w in words_of(text)]
-            for i in range(max(1, len(ids) - window + 1) if ids else 0):
-                owners.setdefault(tuple(ids[i : i + window]), set()).add(str(item))
-        self.owners = [sorted(s) for s in owners.values()]
-        self.lengths = np.array([len(w) for w in owners], dtype=np.int64)
-        self.table = np.zeros((len(owners), window), dtype=np.int64)  # right-aligned
-        for row, w in zip(self.table, owners):
-            row[window - len(w) :] = w
+        self.names = [str(item) for item, _ in items]
+        parts, sizes = [], []
+        for _, text in items:
+            ids = np.array([self.symbols.setdefault(w, len(self.symbols) + 2) for w in words_of(text)], dtype=np.uint32)
+            many = max(1, len(ids) - window + 1) if len(ids) else 0
+            part = np.zeros((many, window), dtype=np.uint32)  # right-aligned; 0 is no word
+            for j in range(min(window, len(ids))):
+                part[:, window - min(window, len(ids)) + j] = ids[j : j + many]
+            parts.append(part)
+            sizes.append(many)
+        every = np.concatenate(parts) if parts else np.zeros((0, window), dtype=np.uint32)
+        of = np.repeat(np.arange(len(items)), sizes)
+        order = np.lexsort(every.T[::-1])
+        every, of = every[order], of[order]
+        first = np.ones(len(every), dtype=bool)
+        first[1:] = (every[1:] != every[:-1]).any(axis=1)
+        self.table = every[first]
+        self.lengths = (self.table != 0).sum(axis=1)
+        self.starts, self.of = np.append(np.flatnonzero(first), len(every)), of
+
+    def items_of(self, numbers: set[int]) -> list[str]:
+        """Names of the items that hold one of the windows, sorted."""
+        return sorted({self.names[i] for k in numbers for i in self.of[self.starts[k] : self.starts[k + 1]].tolist()})
+
+
+_windows: dict[tuple[object, int], Windows] = {}
+
+
+def windows_of(name: object, items: list[tuple[object, str | None]], window: int) -> Windows:
+    """The windows of a block, made once per worker; only the last block's are kept."""
+    alone("windows", _windows.clear)
+    key = (name, window)
+    if key not in _windows:
+        _windows.clear()
+        _windows[key] = Windows(items, window)
+    return _windows[key]
 
 
 def suffix_order(text: np.ndarray) -> np.ndarray:
@@ -134,7 +162,7 @@ class Index:
                 alive, lo, hi = alive[~ended], lo[~ended], hi[~ended]
             if not len(alive):
                 break
-            symbol = windows.table[alive, width - 1 - step]
+            symbol = windows.table[alive, width - 1 - step].astype(np.int64)
             zero = self.walk(symbol, np.zeros(len(alive), dtype=np.int64))
             start = self.before[symbol] - zero
             lo, hi = start + self.walk(symbol, lo), start + self.walk(symbol, hi)
@@ -192,7 +220,7 @@ def search_shard(texts: list[np.ndarray], windows: Windows) -> list[tuple[list[t
             spans[-1] = (spans[-1][0], max(spans[-1][1], end))
         else:
             spans.append((begin, end))
-    return [(spans, sorted({name for k in set(items) for name in windows.owners[k]})) for spans, items in found]
+    return [(spans, windows.items_of(set(items))) for spans, items in found]
 
 
 def hits(
@@ -204,12 +232,12 @@ def hits(
     schema = (f"`{id_col}` {docs.schema[id_col].dataType.simpleString()}{kinds}, n_words long, "
               "spans array<struct<begin: long, `end`: long>>, items array<string>")
     types = arrow_schema(docs.sparkSession, schema)
-    spread = docs.sparkSession.sparkContext.broadcast(items)
+    spread, name = docs.sparkSession.sparkContext.broadcast(items), uuid4().hex
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        windows = Windows(spread.value, window)
+        windows = windows_of(name, spread.value, window)
         get = windows.symbols.get
-        rows, texts, number, size = [], [], {}, 0
+        rows, texts, number, size, held_bytes = [], [], {}, 0, 0
 
         def flush() -> pa.RecordBatch:
             found = search_shard(texts, windows)
@@ -230,9 +258,10 @@ def hits(
                     texts.append(np.fromiter([get(w, OTHER) for w in words], dtype=np.int64, count=len(words)))
                     size += len(words)
                 rows.append((tuple(h[i] for h in held), k))
-                if size >= shard_words:
+                held_bytes += sum(len(v) for v in rows[-1][0] if isinstance(v, (str, bytes)))
+                if size >= shard_words or len(rows) >= SHARD_ROWS or held_bytes >= SHARD_BYTES:
                     yield flush()
-                    rows, texts, number, size = [], [], {}, 0
+                    rows, texts, number, size, held_bytes = [], [], {}, 0, 0
         if rows:
             yield flush()
 
@@ -273,6 +302,40 @@ def decontaminate(
         "contaminated", (F.col("n_hit") > 0) & (20 * F.col("n_hit") >= F.col("n_words")))
 
 
+def clean(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", window: int = WINDOW,
+          shard_words: int = SHARD_WORDS, block_bytes: int = BLOCK_BYTES) -> DataFrame:
+    """The rows that are not contaminated, with all their columns, whatever these are called.
+
+    With one block of benchmark only texts go to Python. With several the rows are numbered and stored, as spans of a
+    row come from several searches.
+    """
+    size = benchmark.agg(F.sum(F.octet_length("text")).alias("n")).first().n or 0
+    if size > block_bytes:
+        numbered = store(docs.select(F.monotonically_increasing_id().alias("n"), F.struct("*").alias("row")), "numbered")
+        found = decontaminate(numbered.select(F.col("n").alias(id_col), F.col("row")[text_col].alias(text_col)), benchmark,
+                              window, shard_words, block_bytes, id_col, text_col)
+        return without(numbered, found.where("contaminated").select(F.col(id_col).alias("n")), "n").select("row.*")
+    items = [(r.item_id, r.text) for r in benchmark.select("item_id", "text").collect()]
+    spread, name = docs.sparkSession.sparkContext.broadcast(items), uuid4().hex
+
+    def fine(texts: list[str | None]) -> list[bool]:
+        windows, out = windows_of(name, spread.value, window), []
+        get = windows.symbols.get
+        for part in slices([t or "" for t in texts], 6 * shard_words):
+            number: dict[str | None, int] = {}
+            shard = []
+            for text in texts[part]:
+                if text not in number:
+                    number[text] = len(shard)
+                    words = words_of(text)
+                    shard.append(np.fromiter([get(w, OTHER) for w in words], dtype=np.int64, count=len(words)))
+            hit = [sum(b - a for a, b in spans) for spans, _ in search_shard(shard, windows)]
+            out += [not 0 < len(shard[k]) <= 20 * hit[k] for k in (number[text] for text in texts[part])]
+        return out
+
+    return docs.where(of_texts(fine, "boolean")(F.col(text_col)))
+
+
 def merged(spans: F.Column) -> F.Column:
     """Sorted spans with overlapping and adjoining ones joined."""
     kind = "array<struct<begin: long, end: long>>"

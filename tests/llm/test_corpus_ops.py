@@ -54,6 +54,37 @@ def test_decontamination_equals_brute_force(spark, shard_words, block_bytes):
         assert spans == sorted(spans) and all(a[1] < b[0] for a, b in zip(spans, spans[1:]))
 
 
+@pytest.mark.parametrize("block_bytes,keys", [(1 << 24, 1 << 20), (40, 1 << 20), (40, 0)])
+def test_clean_keeps_what_is_not_contaminated(spark, monkeypatch, block_bytes, keys):
+    from packetloom.llm import common
+
+    monkeypatch.setattr(common, "BROADCAST_KEYS", keys)
+    rng = random.Random(9)
+    items = [(i, sentence(rng, "abcdefgh", rng.choice([2, 4, 9]))) for i in range(10)] + [(20, None)]
+    texts = [None, "", "?!"] + [sentence(rng, "abcdefgh" if k % 3 else "stuvwxyz", rng.choice([1, 5, 40, 90])) for k in range(60)]
+    rows = [(k % 50, t, "n", "r") for k, t in enumerate(texts)] + [(None, texts[9], "n", "r")] * 3
+    docs = spark.createDataFrame(rows, "doc_id int, text string, n string, `row` string")
+    benchmark = spark.createDataFrame(items, "item_id int, text string")
+
+    def fine(text):
+        words, hit, _ = plain_hits(text, items, 4)
+        return not (hit > 0 and 20 * hit >= words)
+
+    got = fm_decontam.clean(docs, benchmark, window=4, shard_words=70, block_bytes=block_bytes).collect()
+    assert sorted(map(tuple, got), key=str) == sorted((r for r in rows if fine(r[1])), key=str)
+    assert 0 < len(got) < len(rows)
+
+
+def test_shards_end_by_rows_and_bytes(monkeypatch, spark):
+    """Copies and empty rows wait in bounded numbers; the result does not change."""
+    docs = spark.createDataFrame([(i, "a b c d e" if i % 2 else None, "y" * 100) for i in range(300)], "doc_id int, text string, more string").coalesce(1)
+    benchmark = spark.createDataFrame([(1, "b c d")], "item_id int, text string")
+    want = sorted(map(str, fm_decontam.decontaminate(docs, benchmark, window=3, keep=("more",)).collect()))
+    monkeypatch.setattr(fm_decontam, "SHARD_ROWS", 7)
+    monkeypatch.setattr(fm_decontam, "SHARD_BYTES", 450)
+    assert sorted(map(str, fm_decontam.decontaminate(docs, benchmark, window=3, keep=("more",)).collect())) == want
+
+
 def test_decontamination_of_empty_tables_and_span_removal(spark):
     none = spark.createDataFrame([], "doc_id int, text string")
     nothing = spark.createDataFrame([], "item_id int, text string")
