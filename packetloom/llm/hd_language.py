@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from packetloom.llm.common import arrow_schema, batch_of, map_batches, small
+from packetloom.llm.common import alone, arrow_schema, batch_of, map_batches, of_texts, small
 
 DIMENSION = 1024
 N = 3
@@ -135,7 +135,8 @@ class Space:
             distinct = np.unique(gram)
             table = np.zeros((rows, len(distinct)), dtype=np.float32)
             table[owner, np.searchsorted(distinct, gram)] = counts
-            out[:] += table @ self.of(distinct).astype(np.float32)
+            for lo in range(0, len(distinct), 4096):  # vectors become floats a few at a time
+                out[:] += table[:, lo : lo + 4096] @ self.of(distinct[lo : lo + 4096]).astype(np.float32)
 
         for owner, text in zip(owners, texts):
             for piece in pieces_of(text):
@@ -188,6 +189,7 @@ def learn(
                     [number[columns["lang"][i]] - lo for i in own], [columns["text"][i] for i in own], min(ROWS, len(names) - lo))
                 for name, vector in zip(names[lo : lo + ROWS], added):
                     sums[name] = sums.get(name, 0) + vector
+        space(dimension, seed).clear()
         if sums:
             yield batch_of({"lang": list(sums), "bundle": [v.astype(np.int64) for v in sums.values()]}, types)
 
@@ -203,6 +205,7 @@ def learn(
 
 def best_of(texts: list[str], unit: np.ndarray, dimension: int, seed: int) -> tuple[np.ndarray, np.ndarray]:
     """Number of the nearest prototype and its cosine, negative ones as 0; -1 and -1.0 for a text without a letter."""
+    alone("n-grams", _spaces.clear)
     bundles = space(dimension, seed).bundle(list(range(len(texts))), texts, len(texts))
     norms = np.linalg.norm(bundles, axis=1)
     cosines = bundles @ unit.T / np.where(norms > 0, norms, 1.0)[:, None]
@@ -241,13 +244,12 @@ def keep_known(
     names = list(prototypes)
     unit = np.array([v / np.linalg.norm(v) for v in prototypes.values()]).reshape(len(names), dimension)
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in small(batches):
-            texts = [t or "" for t in batch.column(batch.schema.get_field_index(text_col)).to_pylist()]
-            kept = np.zeros(len(texts), dtype=bool)
-            for part in few(texts) if names else ():
-                best, _ = best_of(texts[part], unit, dimension, seed)
-                kept[part] = best >= 0
-            yield batch.filter(pa.array(kept))
-
-    return docs.mapInArrow(run, docs.schema)
+    def known(texts: list[str | None]) -> list[bool]:
+        kept = np.zeros(len(texts), dtype=bool)
+        texts = [t or "" for t in texts]
+        for part in few(texts) if names else ():
+            best, _ = best_of(texts[part], unit, dimension, seed)
+            kept[part] = best >= 0
+        return kept.tolist()
+
+    return docs.where(of_texts(known, "boolean", lambda: space(dimension, seed).clear())(F.col(text_col)))

@@ -39,7 +39,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from packetloom.llm.common import arrow_schema, batch_of, map_batches, slices, small
+from packetloom.llm.common import arrow_schema, batch_of, map_batches, of_texts, slices, small
 
 KINDS = ("email", "ip", "card", "phone")
 OTHER = len(KINDS)
@@ -343,8 +343,8 @@ def find(
     return map_batches(source, of_batch, schema).withColumnRenamed("id", id_col)
 
 
-def redact(docs: DataFrame, field: Field | None, sure: float = SURE, text_col: str = "text") -> DataFrame:
-    """The same rows with every span replaced by its kind in square brackets; overlapping spans become one."""
+def redacted(field: Field | None, text: F.Column, sure: float = SURE) -> F.Column:
+    """The text with every span replaced by its kind in square brackets; overlapping spans become one."""
 
     def clean(texts: list[str | None]) -> list[str | None]:
         out: list[str | None] = list(texts)
@@ -360,9 +360,9 @@ def redact(docs: DataFrame, field: Field | None, sure: float = SURE, text_col: s
                     out[i] = "".join([*pieces, text[last:]])
         return out
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in small(batches):
-            at = batch.schema.get_field_index(text_col)
-            yield batch.set_column(at, batch.schema.field(at), pa.array(clean(batch.column(at).to_pylist()), type=batch.schema.field(at).type))
+    return of_texts(clean, "string")(text)
 
-    return docs.mapInArrow(run, docs.schema)
+
+def redact(docs: DataFrame, field: Field | None, sure: float = SURE, text_col: str = "text") -> DataFrame:
+    """The same rows with redacted texts."""
+    return docs.withColumn(text_col, redacted(field, F.col(text_col), sure))
