@@ -4,16 +4,20 @@ A document is the set of its distinct word n-grams, hashed to 64 bits. ``BANDS *
 each. Full minima make the band keys, one per run of ROWS; documents that share a key are candidates. Of every minimum
 only the low ``BITS`` bits are kept, packed into a few longs. Two sets of similarity J agree in a lane with probability
 J + (1 - J) / 2^BITS, as unequal minima agree by chance; so the bit count of equal lanes, corrected for such
-collisions, estimates J. Candidates below the threshold by more than ``SLACK`` standard errors go; the others are
-verified on full sets, made again from the texts of the documents in question.
+collisions, estimates J. Candidates below the threshold by more than ``SLACK`` standard errors go. So do those whose
+sets set too many different bits of a 2048-bit table, as every such bit needs an element that the other set lacks: an
+exact bound that tells copies just below the threshold from links. The others are verified on full sets, made again
+from the texts of the documents in question.
 
 A pair exactly at the threshold (0.85) shares no key with probability (1 - 0.85^5)^32 = 7e-9, and its estimate falls
 short with 1e-9; links of greater similarity are lost more seldom still.
 
-Equal sets are one class. Only components are asked for, so not all pairs of a group of near copies are made: first
-every class meets the smallest and the largest class of each of its keys' lists. What verifies gives components. Then
-lists that still hold several components are met in full, but only between components, with the estimate as condition
-of the join; long lists are cut into pieces by class, each of which meets the list in a task of its own.
+Equal sets are one class. Only components are asked for, so not all pairs of a group of near copies are made: every
+class meets the smallest of each of its keys' lists and the next two in a random order of the list. What verifies gives
+components. Lists that still hold several components are put into other random orders, ``TURNS`` times, which joins what
+is left of large groups at a cost in proportion to the lists. Then lists of several components are met in full, but only
+between components, with the estimate as condition of the join; long lists are cut into pieces by class, each of which
+meets the list in a task of its own.
 
 Null texts and texts without a word have an empty set, no link and are their own component. A text of fewer than
 ``words`` words is one element. Rows without id take part, their component is named by others; ``kept`` is false for
@@ -29,10 +33,10 @@ from math import floor, sqrt
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from packetloom.llm.common import arrow_schema, batch_of, map_batches, release, small, store
+from packetloom.llm.common import arrow_schema, batch_of, few_keys, map_batches, release, small, store
 from packetloom.llm.components import components
 from packetloom.llm.prefix_join import shingles
 
@@ -42,7 +46,8 @@ HASHES = BANDS * ROWS
 LANES = 64 // BITS  # of a long
 SLACK = 6.0
 PIECE = 1_000
-BROADCAST_KEYS = 1 << 20  # 8 MB of keys; more are joined by a shuffle
+TABLE_BITS = 2_048
+TURNS = 1
 
 _rng = np.random.default_rng(20)
 _FACTORS = (_rng.integers(0, 1 << 32, HASHES, dtype=np.uint64) | np.uint64(1)).astype(np.uint32)
@@ -89,6 +94,17 @@ def unequal_lanes(one: F.Column, two: F.Column) -> F.Column:
     return sum((count(i) for i in range(1, HASHES // LANES)), count(0))
 
 
+def table(found: np.ndarray) -> list[int]:
+    """TABLE_BITS bits of a set, TABLE_BITS / 64 longs: set where an element falls."""
+    marked = np.zeros(TABLE_BITS, dtype=np.uint8)
+    marked[((found >> np.uint64(17)) % np.uint64(TABLE_BITS)).astype(np.int64)] = 1
+    return np.packbits(marked, bitorder="little").view("<i8").tolist()
+
+
+def differing_bits(one: F.Column, two: F.Column) -> F.Column:
+    return sum((F.bit_count(one[i].bitwiseXOR(two[i])) for i in range(1, TABLE_BITS // 64)), F.bit_count(one[0].bitwiseXOR(two[0])))
+
+
 def estimate(unequal: F.Column) -> F.Column:
     """Similarity from the unequal lanes, corrected for lanes that agree by chance."""
     chance = 2.0**-BITS
@@ -107,25 +123,25 @@ def signed(docs: DataFrame, id_col: str, text_col: str, words: int) -> DataFrame
     A task gives bands and signature once per set; later rows with the same set have null there.
     """
     id_type = docs.schema[id_col].dataType.simpleString()
-    columns = f"row long, id {id_type}, place long, n int, s1 long, s2 long, bands array<long>, sig array<long>"
+    columns = f"row long, id {id_type}, place long, n int, s1 long, s2 long, bands array<long>, sig array<long>, bits array<long>"
     types = arrow_schema(docs.sparkSession, columns)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set[bytes] = set()
         for batch in small(batches):
-            out = {k: [] for k in ("n", "s1", "s2", "bands", "sig")}
+            out = {k: [] for k in ("n", "s1", "s2", "bands", "sig", "bits")}
             for text in batch.column(3).to_pylist():
                 found = shingles(text, words)
                 key = xxhash.xxh3_128_digest(found.tobytes())
-                bands = sig = None
+                bands = sig = bits = None
                 if len(found) and key not in seen:
                     if len(seen) >= 200_000:
                         seen.clear()
                     seen.add(key)
                     least = minima(found)
-                    bands, sig = band_keys(least), packed(least)
+                    bands, sig, bits = band_keys(least), packed(least), table(found)
                 s1, s2 = np.frombuffer(key, dtype="<i8").tolist()
-                for k, v in (("n", len(found)), ("s1", s1), ("s2", s2), ("bands", bands), ("sig", sig)):
+                for k, v in (("n", len(found)), ("s1", s1), ("s2", s2), ("bands", bands), ("sig", sig), ("bits", bits)):
                     out[k].append(v)
             yield batch_of({"row": batch.column(0), "id": batch.column(1), "place": batch.column(2), **out}, types)
 
@@ -146,51 +162,76 @@ class Dedup:
         self.classes = store(
             self.rows.where("n > 0").groupBy("n", "s1", "s2").agg(
                 F.min(F.when(F.col("sig").isNotNull(), F.col("row"))).alias("c"), F.min("id").alias("least")), "classes")
-        chosen = self.rows.where("sig IS NOT NULL").select("row", "n", "place", "s1", "s2", "bands", "sig")
+        chosen = self.rows.where("sig IS NOT NULL").select("row", "n", "place", "s1", "s2", "bands", "sig", "bits")
         chosen = chosen.join(self.classes.select(F.col("c").alias("row")), "row")
-        self.signatures = store(chosen.select(F.col("row").alias("c"), "n", "place", "s1", "s2", "sig", "bands"), "signatures")
+        self.signatures = store(chosen.select(F.col("row").alias("c"), "n", "place", "s1", "s2", "sig", "bits", "bands"), "signatures")
         entries = self.signatures.select("c", "n", F.explode("bands").alias("k"))
-        lists = entries.groupBy("k").agg(
-            F.count("*").alias("long"), F.min("c").alias("lo"), F.max("c").alias("hi")).where("long > 1")
+        lists = entries.groupBy("k").agg(F.count("*").alias("long"), F.min("c").alias("lo")).where("long > 1")
         self.shared = store(entries.join(lists, "k"), "lists")
 
-    def sizes_allow(self, n: str, n2: str) -> F.Column:
-        return 100 * F.least(n, n2) >= self.percent * F.greatest(n, n2)
+    def may_link(self, one: str, two: str) -> F.Column:
+        """Whether sizes, signatures and bits of two rows, whose columns end in ``one`` and ``two``, allow a link."""
+        n, n2, sig, sig2, bits, bits2 = (F.col(c + end) for c in ("n", "sig", "bits") for end in (one, two))
+        sizes = 100 * F.least(n, n2) >= self.percent * F.greatest(n, n2)
+        # of n + n2 elements n + n2 - 2 k are in one set only, where 100 k >= percent (n + n2 - k)
+        apart = (100 + self.percent) * differing_bits(bits, bits2) <= (100 - self.percent) * (n + n2)
+        return sizes & (unequal_lanes(sig, sig2) <= self.most) & apart
 
     def first_pairs(self) -> DataFrame:
-        """Every class with the smallest and the largest of its lists."""
-        ends = self.shared.select(F.col("c").alias("x"), F.explode(F.array("lo", "hi")).alias("y")).where("x <> y")
-        return ordered(ends)
+        """Every class with the smallest of its lists and with the next two in a random order: all of a list of three."""
+        smallest = self.shared.select(F.col("c").alias("x"), F.col("lo").alias("y"))
+        return ordered(smallest.union(self.neighbours(self.shared, 0)))
 
-    def other_pairs(self, roots: DataFrame, seen: DataFrame) -> DataFrame:
-        """Pairs of different components in a list of four or more, where sizes and signatures allow a link.
+    def neighbours(self, rows: DataFrame, turn: int) -> DataFrame:
+        """(x, y): every class with the next two of its list, in an order that ``turn`` and the list decide.
+
+        Long lists are ordered in pieces that the order deals.
+        """
+        order = F.xxhash64("k", "c", F.lit(turn))
+        dealt = rows.select("k", "c", order.alias("o"), F.pmod(order, F.ceil(F.col("long") / PIECE)).alias("piece"))
+        by = Window.partitionBy("k", "piece").orderBy("o", "c")
+        near = dealt.select("c", F.array_compact(F.array(F.lead("c", 1).over(by), F.lead("c", 2).over(by))).alias("y"))
+        return near.select(F.col("c").alias("x"), F.explode("y").alias("y"))
+
+    def split(self, roots: DataFrame) -> DataFrame:
+        """(k, c, n, long, root) of the lists of four or more that hold several components.
 
         In shorter lists the first round met all pairs.
         """
         rows = self.shared.where("long > 3").select("k", "c", "n", "long").join(
             roots.withColumnRenamed("node", "c"), "c", "left").withColumn("root", F.coalesce("root", "c"))
-        split = rows.groupBy("k").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).where("lo < hi").select("k")
-        sig = self.signatures.select("c", "sig")
-        rows = store(rows.join(split, "k", "left_semi").join(sig, "c").withColumn(
+        several = rows.groupBy("k").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).where("lo < hi").select("k")
+        return rows.join(several, "k", "left_semi")
+
+    def more_pairs(self, roots: DataFrame, seen: DataFrame, turn: int) -> DataFrame:
+        """Neighbours in another order of the lists, where they are of different components."""
+        rows = store(self.split(roots), "split")
+        placed = rows.select("c", "root").distinct()
+        pairs = ordered(self.neighbours(rows, turn))
+        for end in "ab":
+            pairs = pairs.join(placed.select(F.col("c").alias(end), F.col("root").alias(f"root_{end}")), end)
+        return pairs.where("root_a <> root_b").select("a", "b").join(seen, ["a", "b"], "left_anti")
+
+    def other_pairs(self, roots: DataFrame, seen: DataFrame) -> DataFrame:
+        """Pairs of different components in one list, where sizes and signatures allow a link."""
+        sig = self.signatures.select("c", "sig", "bits")
+        rows = store(self.split(roots).join(sig, "c").withColumn(
             "pieces", F.ceil(F.col("long") / PIECE).cast("int")), "split")
         left = rows.withColumn("piece", F.pmod(F.xxhash64("c"), F.col("pieces")).cast("int"))
-        right = rows.select("k", *[F.col(c).alias(c + "2") for c in ("c", "n", "root", "sig")],
+        right = rows.select("k", *[F.col(c).alias(c + "2") for c in ("c", "n", "root", "sig", "bits")],
                             F.explode(F.sequence(F.lit(0), F.col("pieces") - 1)).alias("piece"))
-        met = left.join(right, ["k", "piece"]).where(
-            (F.col("root") < F.col("root2")) & self.sizes_allow("n", "n2")
-            & (unequal_lanes(F.col("sig"), F.col("sig2")) <= self.most))
+        met = left.join(right, ["k", "piece"]).where((F.col("root") < F.col("root2")) & self.may_link("", "2"))
         pairs = store(ordered(met.select(F.col("c").alias("x"), F.col("c2").alias("y"))), "pairs")
         release(self.spark, rows)
         return pairs.join(seen, ["a", "b"], "left_anti")
 
     def verified(self, pairs: DataFrame) -> DataFrame:
         """The pairs (a, b) of classes whose sets reach the threshold."""
-        mark = self.signatures.select("c", "n", "sig", "s1", "s2", "place")
+        mark = self.signatures.select("c", "n", "sig", "bits", "s1", "s2", "place")
         one, two = ([F.col("c").alias(x)] + [F.col(c).alias(c + x) for c in mark.columns[1:]] for x in "ab")
-        near = pairs.join(mark.select(one), "a").join(mark.select(two), "b").where(
-            self.sizes_allow("na", "nb") & (unequal_lanes(F.col("siga"), F.col("sigb")) <= self.most))
+        near = pairs.join(mark.select(one), "a").join(mark.select(two), "b").where(self.may_link("a", "b"))
         near = store(near.select("a", "b", *[c + x for x in "ab" for c in ("n", "s1", "s2", "place")]), "candidates")
-        sets = self.remade(near.select(F.explode(F.array("placea", "placeb")).alias("place")).distinct())
+        sets = self.remade(near.select(F.explode(F.array("placea", "placeb")).alias("place")))
         percent = self.percent
 
         def meet(batch: dict[str, list]) -> dict[str, object]:
@@ -213,8 +254,7 @@ class Dedup:
 
         Sets of other documents of that hash meet no pair.
         """
-        wanted = store(wanted, "wanted")
-        keys = F.broadcast(wanted) if wanted.count() <= BROADCAST_KEYS else wanted
+        keys = few_keys(wanted)
         words, schema = self.words, "n int, s1 long, s2 long, `set` binary"
         types = arrow_schema(self.spark, schema)
 
@@ -235,7 +275,7 @@ class Dedup:
         texts = self.docs.select(F.xxhash64(self.id_col).alias("place"), F.col(self.text_col).alias("text"))
         made = texts.join(keys, "place", "left_semi").select("text").mapInArrow(remake, schema)
         sets = store(made.groupBy("n", "s1", "s2").agg(F.first("set").alias("set")), "remade")
-        release(self.spark, wanted)
+        release(self.spark, keys)
         return sets
 
 
@@ -248,10 +288,13 @@ def near_duplicates(
 ) -> DataFrame:
     """``id_col``, n_shingles, component_id, kept of every row."""
     steps = Dedup(docs, id_col, text_col, words, percent)
-    first = store(steps.first_pairs(), "pairs")
-    links = steps.verified(first)
-    more = steps.verified(store(steps.other_pairs(components(links), first), "pairs"))
-    roots = store(components(links.union(more)), "roots")
+    seen = store(steps.first_pairs(), "pairs")
+    links = steps.verified(seen)
+    for turn in range(1, TURNS + 1):
+        more = store(steps.more_pairs(components(links), seen, turn), "pairs")
+        links, seen = links.union(steps.verified(more)), seen.union(more)
+    last = steps.verified(store(steps.other_pairs(components(links), seen), "pairs"))
+    roots = store(components(links.union(last)), "roots")
     placed = steps.classes.join(roots.withColumnRenamed("node", "c"), "c", "left").withColumn("root", F.coalesce("root", "c"))
     names = placed.groupBy("root").agg(F.min("least").alias("name"))
     named = placed.join(names, "root").select("n", "s1", "s2", "name")

@@ -7,7 +7,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from packetloom.llm import minhash_bbit
+from packetloom.llm import common, minhash_bbit
 from packetloom.llm.prefix_join import shingles
 
 SCHEMA = "doc_id long, text string, n int, row string, kept string, sig int"
@@ -75,7 +75,7 @@ def test_components_equal_all_pairs(spark, monkeypatch, percent, piece):
 
 
 def test_without_a_broadcast(spark, monkeypatch):
-    monkeypatch.setattr(minhash_bbit, "BROADCAST_KEYS", 0)
+    monkeypatch.setattr(common, "BROADCAST_KEYS", 0)
     rows = copies()[:120]
     docs = spark.createDataFrame(rows, "doc_id long, text string")
     got = minhash_bbit.near_duplicates(docs).collect()
