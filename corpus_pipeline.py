@@ -8,7 +8,7 @@
 5. packing: the rest is packed into token sequences.
 
 Stages 1 to 4 return the columns of documents. Null texts have no letter and go in stage 1. Empty tables pass through
-all stages. Of repeated rows one stays.
+all stages. Of repeated rows one stays. Extra columns pass stages 1 to 4 as they are, whatever they are called.
 """
 
 from __future__ import annotations
@@ -29,28 +29,26 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     ids = docs.groupBy("doc_id").agg(F.count("*").alias("n"))
     if ids.where("n > 1 OR doc_id IS NULL").isEmpty():
         linked = prefix_join.jaccard_join(docs)
-        gone = store(linked.where("doc_id <> component_id").select("doc_id"), "gone")
-        return without(docs, gone, "doc_id")
+        return without(docs, linked.where("doc_id <> component_id").select("doc_id"), "doc_id")
     # a row number tells repeated rows apart; it needs a copy of the table
-    numbered = store(docs.withColumn("_row", F.monotonically_increasing_id()), "numbered")
-    named = numbered.withColumn("_id", F.struct(F.col("doc_id").alias("d"), F.col("_row").alias("r")))
-    linked = prefix_join.jaccard_join(named, id_col="_id")
-    gone = store(linked.where(F.col("_id") != F.col("component_id")).select(F.col("_id.r").alias("_row")), "gone")
-    return without(numbered, gone, "_row").select(docs.columns)
+    numbered = store(docs.select(F.monotonically_increasing_id().alias("n"), F.struct("*").alias("row")), "numbered")
+    named = numbered.select(F.struct(F.col("row.doc_id").alias("d"), "n").alias("id"), F.col("row.text").alias("text"))
+    linked = prefix_join.jaccard_join(named, id_col="id")
+    gone = linked.where(F.col("id") != F.col("component_id")).select(F.col("id.n").alias("n"))
+    return without(numbered, gone, "n").select("row.*")
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    rest = tuple(c for c in docs.columns if c != "doc_id")
-    found = fm_decontam.decontaminate(docs, table(spark, sf_dir, "benchmark"), keep=rest)
-    return found.where(~F.col("contaminated")).select(docs.columns)
+    return fm_decontam.clean(docs, table(spark, sf_dir, "benchmark"))
 
 
 def pii(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    cleaned = pii_crf.redact(docs.withColumn("_before", F.length("text")), pii_crf.learn(docs))
-    length = F.length("text")
-    return cleaned.withColumn(
-        "n_chars", F.when(length != F.col("_before"), length).otherwise(F.col("n_chars")).cast(docs.schema["n_chars"].dataType)
-    ).select(docs.columns)
+    field = pii_crf.learn(docs)
+    rows = docs.select(F.struct("*").alias("row"), pii_crf.redacted(field, F.col("text")).alias("new"))
+    before, after = F.length("row.text"), F.length("new")
+    n_chars = F.when(after != before, after).otherwise(F.col("row.n_chars")).cast(docs.schema["n_chars"].dataType)
+    changed = {"text": F.col("new"), "n_chars": n_chars}
+    return rows.select([changed.get(c, F.col("row")[c]).alias(c) for c in docs.columns])
 
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
