@@ -16,6 +16,8 @@ from itertools import islice
 
 import numpy as np
 
+from packetloom.llm.common import alone
+
 os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
 
 _RUN = re.compile(r" (?:\s|\Z)")
@@ -34,11 +36,18 @@ def default_path() -> str:
 
 def encoder(path: str) -> PieceEncoder:
     """One encoder per worker process and file."""
+    alone("pieces", forget)
     if path not in _open:
         _open[path] = PieceEncoder(path)
     return _open[path]
 
 
+def forget() -> None:
+    """Drop the remembered pieces; the tokenizers stay open."""
+    for known in _open.values():
+        known.led = {}
+
+
 class PieceEncoder:
     def __init__(self, path: str):
         from tokenizers import Tokenizer
@@ -54,6 +63,11 @@ class PieceEncoder:
         special = [(t["id"], t["content"]) for t in spec.get("added_tokens", [])]
         self.cuts_at_spaces &= not any(re.search(r"\s", content) for _, content in special)
         self.mark_id, self.mark = special[0] if special else (None, None)
+        self.special = [content for _, content in special]
+        # ids whose token begins with a blank (its letter in this alphabet is U+0120): where a led piece begins
+        vocabulary = self.tokenizer.get_vocab()
+        self.blank = np.zeros(max(vocabulary.values(), default=0) + 1, dtype=bool)
+        self.blank[[i for token, i in vocabulary.items() if token.startswith("\u0120")]] = True
         self.longest_special = max([len(content) for _, content in special], default=0)
         self.led: dict[str, bytes] = {}  # ids of " " + key
 
@@ -65,22 +79,33 @@ class PieceEncoder:
         """The first piece, then the others without the space each begins with."""
         return _CUT.split(text) if _RUN.search(text) else text.split(" ")
 
-    def learn(self, pieces: set[str]) -> dict[str, bytes]:
-        """Ids of " " + piece: many pieces per call, a special token of the library between two."""
-        out, plain = {}, []
+    def learn(self, pieces: set[str], lead: str = " ") -> dict[str, bytes]:
+        """Ids of lead + piece, many pieces per call.
+
+        Led pieces without a blank inside are put behind each other: no token crosses the blank that each begins with,
+        so a piece begins where a token does that begins with a blank. Others have a special token between two.
+        """
+        out, led, apart = {}, [], []
         for p in pieces:
-            if self.mark is None or self.mark in p or len(p) > LONG_PIECE:
-                out[p] = self.ids_whole(" " + p)
+            if self.mark is None or len(p) > LONG_PIECE or any(content in p for content in self.special):
+                out[p] = self.ids_whole(lead + p)
+            elif lead == " " and " " not in p:
+                led.append(p)
             else:
-                plain.append(p)
-        for i in range(0, len(plain), 2000):
-            run = plain[i : i + 2000]
-            flat = np.frombuffer(self.ids_whole(self.mark.join([" " + p for p in run])), dtype="<u4")
-            ends = [*np.flatnonzero(flat == self.mark_id).tolist(), len(flat)]
-            raw, start = flat.tobytes(), 0
-            for p, end in zip(run, ends, strict=True):
-                out[p] = raw[4 * start : 4 * end]
-                start = end + 1
+                apart.append(p)
+        for group, between in ((led, " "), (apart, self.mark + lead if self.mark else "")):
+            for i in range(0, len(group), 2000):
+                run = group[i : i + 2000]
+                flat = np.frombuffer(self.ids_whole(lead + between.join(run)), dtype="<u4")
+                if group is led:
+                    begins = np.flatnonzero(self.blank[flat])
+                    ends = np.append(begins[1:], len(flat))
+                else:
+                    ends = np.append(np.flatnonzero(flat == self.mark_id), len(flat))
+                    begins = np.append(0, ends[:-1] + 1)
+                raw = flat.tobytes()
+                for p, begin, end in zip(run, begins.tolist(), ends.tolist(), strict=True):
+                    out[p] = raw[4 * begin : 4 * end]
         return out
 
     def ids(self, texts: list[str]) -> list[bytes]:
@@ -96,7 +121,9 @@ class PieceEncoder:
                 missing = {p for parts in cut for p in parts[1:] if p not in led}
             led.update(self.learn(missing))
         get = led.__getitem__
-        out = [b"".join([self.ids_whole(parts[0]) if parts[0] else b"", *map(get, parts[1:])]) for parts in cut]
+        first = self.learn({parts[0] for parts in cut if parts[0]}, "")
+        first[""] = b""
+        out = [b"".join([first[parts[0]], *map(get, parts[1:])]) for parts in cut]
         for p in [p for p in missing if len(p) > LONG_PIECE]:
             del led[p]
         return out

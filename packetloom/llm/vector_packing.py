@@ -29,7 +29,7 @@ from packetloom.llm.common import map_batches, slices, store
 
 SEQUENCE_TOKENS = 2048
 END_ID = 0
-MAX_DOCUMENTS = 512
+MAX_DOCUMENTS = 2048  # as many as there are tokens: one document has one at least
 GROUP_PIECES = 20_000
 
 
