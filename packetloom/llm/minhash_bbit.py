@@ -13,7 +13,7 @@ A pair exactly at the threshold (0.85) shares no key with probability (1 - 0.85^
 short with 1e-9; links of greater similarity are lost more seldom still.
 
 Equal sets are one class. Only components are asked for, so not all pairs of a group of near copies are made: every
-class meets the smallest of each of its keys' lists and the next two in a random order of the list. What verifies gives
+class meets the smallest of each of its keys' lists and the next one in a random order of the list. What verifies gives
 components. Lists that still hold several components are put into other random orders, ``TURNS`` times, which joins what
 is left of large groups at a cost in proportion to the lists. Then lists of several components are met in full, but only
 between components, with the estimate as condition of the join; long lists are cut into pieces by class, each of which
@@ -178,27 +178,26 @@ class Dedup:
         return sizes & (unequal_lanes(sig, sig2) <= self.most) & apart
 
     def first_pairs(self) -> DataFrame:
-        """Every class with the smallest of its lists and with the next two in a random order: all of a list of three."""
+        """Every class with the smallest of its lists and with the next one in a random order."""
         smallest = self.shared.select(F.col("c").alias("x"), F.col("lo").alias("y"))
         return ordered(smallest.union(self.neighbours(self.shared, 0)))
 
     def neighbours(self, rows: DataFrame, turn: int) -> DataFrame:
-        """(x, y): every class with the next two of its list, in an order that ``turn`` and the list decide.
+        """(x, y): every class with the next one of its list, in an order that ``turn`` and the list decide.
 
         Long lists are ordered in pieces that the order deals.
         """
         order = F.xxhash64("k", "c", F.lit(turn))
         dealt = rows.select("k", "c", order.alias("o"), F.pmod(order, F.ceil(F.col("long") / PIECE)).alias("piece"))
         by = Window.partitionBy("k", "piece").orderBy("o", "c")
-        near = dealt.select("c", F.array_compact(F.array(F.lead("c", 1).over(by), F.lead("c", 2).over(by))).alias("y"))
-        return near.select(F.col("c").alias("x"), F.explode("y").alias("y"))
+        return dealt.select(F.col("c").alias("x"), F.lead("c").over(by).alias("y")).where("y IS NOT NULL")
 
     def split(self, roots: DataFrame) -> DataFrame:
-        """(k, c, n, long, root) of the lists of four or more that hold several components.
+        """(k, c, n, long, root) of the lists of three or more that hold several components.
 
         In shorter lists the first round met all pairs.
         """
-        rows = self.shared.where("long > 3").select("k", "c", "n", "long").join(
+        rows = self.shared.where("long > 2").select("k", "c", "n", "long").join(
             roots.withColumnRenamed("node", "c"), "c", "left").withColumn("root", F.coalesce("root", "c"))
         several = rows.groupBy("k").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).where("lo < hi").select("k")
         return rows.join(several, "k", "left_semi")
