@@ -105,6 +105,13 @@ def _is_star_forest(pairs: DataFrame) -> bool:
     return roles.where("child > 1 OR (child = 1 AND parent = 1)").isEmpty()
 
 
+def _stars(pairs: DataFrame, rows_per_task: int = ROWS_PER_TASK) -> DataFrame:
+    """(a, b): every vertex b of a component but the smallest, a."""
+    while not _is_star_forest(pairs):
+        pairs = cut(_small_star(_large_star(pairs, rows_per_task), rows_per_task))
+    return pairs
+
+
 def connected_components(
     edge_table: DataFrame, vertex_table: DataFrame | None = None, rows_per_task: int = ROWS_PER_TASK
 ) -> DataFrame:
@@ -115,10 +122,8 @@ def connected_components(
     with the graph's diameter.
     """
     graph = numbered(edge_table)
-    pairs = graph.pairs
     everyone = graph.names.select("ip") if vertex_table is None else vertex_table.select("ip")
-    while not _is_star_forest(pairs):
-        pairs = cut(_small_star(_large_star(pairs, rows_per_task), rows_per_task))
+    pairs = _stars(graph.pairs, rows_per_task)
     parents = graph.names.select(F.col("v").alias("a"), F.col("ip").alias("component"))
     label = pairs.join(parents, "a").join(graph.names.withColumnRenamed("v", "b"), "b").select("ip", "component")
     return everyone.join(label, "ip", "left").withColumn("component", F.coalesce("component", "ip"))
@@ -173,7 +178,9 @@ def closeness(edge_table: DataFrame, sources: DataFrame | None = None, words: in
     Distances are the same both ways, so a vertex needs the sum of its distances from all sources. Sources go 64 to a
     BIGINT, ``words`` of them at a time: a vertex holds one bit per source that has reached it, a hop is a ``bit_or``
     over its neighbours, and the bits that are new add to its sums. The state is one row per vertex; no row per source
-    and vertex is ever made. With ``sources`` only their rows are asked for, which is what ``bfs_distances`` bounds.
+    and vertex is ever made. Sources of different components never meet, so every component counts its own from 0 and
+    they share the bits: the rounds follow the largest component, not the graph, and a component leaves when all of its
+    sources have spread. With ``sources`` only their rows are asked for, which is what ``bfs_distances`` bounds.
     """
     if sources is not None:
         n = edge_table.select(F.explode(F.array("src_ip", "dst_ip")).alias("ip")).distinct().agg(F.count("*")).scalar()
@@ -184,17 +191,37 @@ def closeness(edge_table: DataFrame, sources: DataFrame | None = None, words: in
     steps = cut(symmetric(graph.pairs).withColumnRenamed("v", "w"))
     hot = cut(hot_keys(steps, ["u"]))
     zero = F.lit(0).cast("bigint")
-    sums = cut(graph.names.select("v", zero.alias("reachable"), zero.alias("total_distance")))
-    for first in range(1, graph.count + 1, 64 * words):
+    ranked = _ranked(graph)
+    sums = ranked.select("v", "rank", "others", zero.alias("reachable"), zero.alias("total_distance"))
+    largest = ranked.agg(F.max("others")).first()[0]
+    words = max(1, min(words, ceil(((largest or 0) + 1) / 64)))
+    done = []  # vertices of components that have spread
+    for first in range(0, (largest or 0) + 1, 64 * words):
+        if first:
+            done.append(sums.where(F.col("others") < first))
+            sums = cut(sums.where(F.col("others") >= first))
+            left = sums.select(F.col("v").alias("u"))
+            steps = cut(skew_join(steps, left, ["u"], ["w"], hot=hot))
         sums = _spread(steps, hot, sums, first, words)
-    out = graph.names.join(sums, "v")
+    out = graph.names.join(reduce(DataFrame.unionByName, done, sums), "v")
     return out.select("ip", "reachable", "total_distance", _closeness(graph.count, F.col("reachable"), F.col("total_distance")))
 
 
+def _ranked(graph: Numbered) -> DataFrame:
+    """(v, rank, others): a vertex's place in its component, from 0, and the number of the others there."""
+    child = _stars(graph.pairs).select(F.col("b").alias("v"), "a")
+    members = graph.names.select("v").join(child, "v", "left").select("v", F.coalesce("a", "v").alias("component"))
+    idx = ordering.with_global_index(members, order=("component", "v"))
+    spans = idx.df.groupBy("component").agg(F.min("i").alias("first"), F.count("*").alias("n"))
+    return cut(skew_join(idx.df, spans, ["component"], ["v"]).select(
+        "v", (F.col("i") - F.col("first")).alias("rank"), (F.col("n") - 1).alias("others")))
+
+
 def _spread(steps: DataFrame, hot: DataFrame, sums: DataFrame, first: int, words: int) -> DataFrame:
-    """``sums`` with what the 64 * words sources from number ``first`` on add."""
+    """``sums`` with what the 64 * words sources of every component from rank ``first`` on add."""
     fronts, seen = [f"f{k}" for k in range(words)], [f"s{k}" for k in range(words)]
-    at = F.col("v") - F.lit(first)
+    kept = ["v", "rank", "others"]
+    at = F.col("rank") - F.lit(first)
     own = [
         F.when((at >= 64 * k) & (at < 64 * (k + 1)), F.call_function("shiftleft", F.lit(1).cast("bigint"), (at - 64 * k).cast("int")))
         .otherwise(F.lit(0)).cast("bigint") for k in range(words)
@@ -208,13 +235,13 @@ def _spread(steps: DataFrame, hot: DataFrame, sums: DataFrame, first: int, words
             *[F.bit_or(f).alias(f"i{k}") for k, f in enumerate(fronts)])
         fresh = [F.coalesce(f"i{k}", F.lit(0)).bitwiseAND(F.bitwise_not(f"s{k}")) for k in range(words)]
         moved = state.drop(*fronts).join(met, "v", "left").select(
-            "v", "reachable", "total_distance", *[c.alias(f) for c, f in zip(fresh, fronts)], *seen)
+            *kept, "reachable", "total_distance", *[c.alias(f) for c, f in zip(fresh, fronts)], *seen)
         news = reduce(Column.__add__, [F.bit_count(f) for f in fronts]).cast("bigint")
         state = cut(moved.select(
-            "v", (F.col("reachable") + news).alias("reachable"), (F.col("total_distance") + hop * news).alias("total_distance"),
+            *kept, (F.col("reachable") + news).alias("reachable"), (F.col("total_distance") + hop * news).alias("total_distance"),
             *fronts, *[F.col(s).bitwiseOR(F.col(f)).alias(s) for s, f in zip(seen, fronts)], (news > 0).alias("_new")))
         if state.where("_new").isEmpty():
-            return state.select("v", "reachable", "total_distance")
+            return state.select(*kept, "reachable", "total_distance")
         state = state.drop("_new")
 
 

@@ -330,7 +330,7 @@ def closeness(spark, sf):
 @query("most_central_closeness", f"SELECT ip, centrality FROM ({CLOSENESS_SQL}) c ORDER BY 2 DESC, 1 LIMIT 5", [GRAPH_SQL, DISTANCE_SQL])
 def most_central_closeness(spark, sf):
     edge_table = cut(_edges(spark, sf))
-    return graph.most_central(_vertices(spark, sf), 5, "closeness", graph_search.closeness(edge_table))
+    return graph.most_central(graph.vertices(edge_table), 5, "closeness", graph_search.closeness(edge_table))
 
 
 @query("closeness_approx", CLOSENESS_SQL, [GRAPH_SQL, DISTANCE_SQL])

@@ -155,3 +155,24 @@ def test_a_large_clique_has_short_lists(spark, monkeypatch):
     local = graph_search.local_clustering(edges(spark, rows + [("h00", "x", 1, "TCP")]), rows_per_task=100)
     got = {r["ip"]: (r["neighbors"], r["closed_pairs"]) for r in local.collect()}
     assert got == {h: (39, 741) for h in hosts[1:]} | {"h00": (40, 741), "x": (1, 0)}
+
+
+def test_closeness_rounds_follow_the_largest_component(spark, monkeypatch):
+    """Sources of different components share bits: 60 chains of 5 spread at once, one of 150 sources in three rounds."""
+    calls = []
+    spread = graph_search._spread
+    monkeypatch.setattr(graph_search, "_spread", lambda *args: calls.append(args[3]) or spread(*args))
+    short = [(f"c{c}v{k}", f"c{c}v{k + 1}") for c in range(60) for k in range(4)]
+    star = [("hub", f"leaf{k}") for k in range(149)]
+
+    def edges(pairs):
+        return spark.createDataFrame([(a, b) for a, b in pairs] + [("self", "self")], "src_ip STRING, dst_ip STRING")
+
+    few = {r.ip: (r.reachable, r.total_distance) for r in graph_search.closeness(edges(short), words=1).collect()}
+    assert calls == [0]
+    assert few["self"] == (0, 0) and few["c7v0"] == (4, 10) and few["c59v2"] == (4, 6) and len(few) == 301
+    calls.clear()
+    both = {r.ip: (r.reachable, r.total_distance) for r in graph_search.closeness(edges(short + star), words=1).collect()}
+    assert calls == [0, 64, 128]
+    assert both == few | {"hub": (149, 149)} | {f"leaf{k}": (149, 1 + 2 * 148) for k in range(149)}
+    assert graph_search.closeness(edges(short).limit(0)).count() == 0
