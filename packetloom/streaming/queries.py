@@ -14,7 +14,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from packetloom.operators import alerts, detect, ordering
 from packetloom.operators.detect import HIGH_RATE_PACKETS, PORT_SCAN_PORTS, SYN_FLOOD_SYNS
-from packetloom.session import scratch_path
+from packetloom.session import cut, scratch_path, settings
 from packetloom.sources.packets import to_traffic_log
 from packetloom.streaming.source import WATERMARK
 
@@ -98,12 +98,26 @@ def run_append(
 
 def run_batches(
     stream: DataFrame, each: Callable[[DataFrame, int], None], mode: str = "append", checkpoint: str | None = None,
-    trigger: dict | None = None, started: Callable[[StreamingQuery], None] | None = None,
+    trigger: dict | None = None, started: Callable[[StreamingQuery], None] | None = None, shuffles: str | None = None,
 ) -> None:
-    """Call ``each`` for every batch and wait; ``checkpoint``, ``trigger`` and ``started`` as in ``run_append``."""
+    """Call ``each`` for every batch and wait; ``checkpoint``, ``trigger`` and ``started`` as in ``run_append``.
+
+    A stream plans its state without adaptive execution, in a session of its own. Its part of a batch is planned before
+    ``each`` is called, so the operators that ``each`` runs get back the settings of the caller's session for that time:
+    adaptive execution, and ``shuffles`` as the number of shuffle partitions.
+    """
+    outer = stream.sparkSession.conf
+    own = {key: outer.get(key) for key in ("spark.sql.adaptive.enabled", "spark.sql.shuffle.partitions")}
+    if shuffles is not None:
+        own["spark.sql.shuffle.partitions"] = shuffles
+
+    def planned(batch: DataFrame, number: int) -> None:
+        with settings(batch.sparkSession, own):
+            each(batch, number)
+
     query = (
         stream.writeStream.outputMode(mode)
-        .foreachBatch(each)
+        .foreachBatch(planned)
         .option("checkpointLocation", checkpoint or scratch_path(stream.sparkSession, "checkpoint"))
         .trigger(**(trigger or USE_UP))
         .start()
@@ -121,11 +135,11 @@ def append_new_alerts(path: str) -> Callable[[DataFrame, int], None]:
 
     def write(batch: DataFrame, epoch: int) -> None:
         spark = batch.sparkSession
-        found = (
+        # written out rather than persisted: a persisted frame keeps all shuffle partitions, each a file of the sink
+        found = cut(
             alerts.escalate(alerts.from_detections(batch.withColumn("timestamp", F.col("timestamp").cast("timestamp_ntz"))))
             .dropDuplicates(["id"])
             .withColumn("dt", F.to_date("timestamp"))
-            .persist()
         )
         span = found.agg(F.min("dt").alias("lo"), F.max("dt").alias("hi")).first()
         if span["lo"] is not None:
@@ -136,7 +150,6 @@ def append_new_alerts(path: str) -> Callable[[DataFrame, int], None]:
                 )
                 fresh = found.join(stored.select("id"), "id", "left_anti")
             fresh.write.mode("append").partitionBy("dt").parquet(path)
-        found.unpersist()
 
     return write
 

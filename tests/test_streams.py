@@ -237,3 +237,86 @@ def test_recent_rows_of_a_dated_log_prune_days(spark, tmp_path, capsys):
     recent.explain("formatted")
     filters = [line for line in capsys.readouterr().out.splitlines() if "PartitionFilters" in line]
     assert filters and "dt" in filters[0]
+
+
+def test_batches_run_with_the_settings_of_the_caller(spark, packets, tmp_path):
+    """A stream's own session has no adaptive execution, and as many shuffle partitions as state has tasks."""
+    folder, seen = f"{tmp_path}/in", []
+    feed(packets, folder, [0, 1])
+    keys = ("spark.sql.adaptive.enabled", "spark.sql.shuffle.partitions")
+
+    def write(rows, number):
+        seen.append(tuple(rows.sparkSession.conf.get(k) for k in keys))
+
+    spark.conf.set("spark.sql.shuffle.partitions", "23")
+    try:
+        held.run_windows(source.read_files(spark, folder, 2), lambda rows: rows, f"{tmp_path}/work", write=write)
+        assert spark.conf.get("spark.sql.shuffle.partitions") == "23"
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", "4")
+    assert seen and set(seen) == {("true", "23")}
+
+
+class Memory:
+    """State of one key, in place of the engine's."""
+
+    def __init__(self):
+        self.map, self.value, self.timers, self.calls = {}, None, set(), 0
+
+    def getMapState(self, *_):
+        return self
+
+    def getValueState(self, *_):
+        return self
+
+    def keys(self):
+        return iter(self.map)
+
+    def getValue(self, key):
+        return self.map[key]
+
+    def updateValue(self, key, value):
+        self.map[key], self.calls = value, self.calls + 1
+
+    def removeKey(self, key):
+        del self.map[key]
+
+    def get(self):
+        return self.value
+
+    def update(self, value):
+        self.value = value
+
+    def registerTimer(self, at):
+        self.timers.add(at)
+        self.calls += 1
+
+    def deleteTimer(self, at):
+        self.timers.remove(at)
+
+
+def test_state_calls_follow_the_batches_not_the_windows():
+    """A batch over a hundred windows is one entry and one timer; what is handed on is what has closed, each packet once."""
+    import pandas as pd
+
+    state, hold = Memory(), held._Hold(60_000_000)
+    hold.init(state)
+    minutes = list(range(100))
+    rows = pd.DataFrame({c: minutes for c in held.schema.PACKET_COLUMNS} | {"window_us": [m * 60_000_000 for m in minutes]})
+    list(hold.handleInputRows((0,), iter([rows, rows.iloc[:0]]), None))
+    assert state.timers == {60_000} and len(state.map) == 1 and state.calls <= 3
+
+    class At:
+        def __init__(self, ms):
+            self.getCurrentWatermarkInMs = lambda: ms
+
+    given = []
+    for watermark, closed in ((60_000 * 40, 40), (60_000 * 70 + 59_999, 70), (60_000 * 100, 100)):
+        assert min(state.timers) <= watermark
+        fired = min(state.timers)
+        for pdf in hold.handleExpiredTimer((0,), At(watermark), None):
+            assert set(pdf["passed_us"]) == {watermark * 1000}
+            given += list(pdf["id"])
+        state.timers.discard(fired)
+        assert sorted(given) == list(range(closed))
+    assert not state.map and not state.timers
