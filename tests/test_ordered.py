@@ -1,11 +1,15 @@
 """Ordered operators against sequential replays, with blocks far smaller than the hot source."""
 
+import glob
+from datetime import timedelta
+
 import pytest
 from pyspark.sql import functions as F
 
 from packetloom.operators import detect, features, ordering
 from packetloom.operators.anchored import anchored_windows
 from packetloom.schema import FEATURES
+from packetloom.session import scratch_tables
 from tests import helpers
 
 
@@ -122,3 +126,42 @@ def test_chronological_split(spark, rows):
     train, test = ordering.chronological_split(index(spark, rows[:33]))
     assert (train.count(), test.count()) == (26, 7)
     assert train.agg(F.max("i")).first()[0] == 26
+
+
+def test_near_neighbours_agree_with_all_neighbours(spark, rows):
+    idx, within = index(spark, rows), 3_000_000
+    keys = {"all": [], "src": ["src_ip"], "pair": ["src_ip", "dst_ip"]}
+    names = [f"{name}_{side}_us" for name in keys for side in ("prev", "next")]
+    every = {r["i"]: r for r in ordering.neighbour_gaps(idx, keys).df.collect()}
+    crossed = 0
+    for r in ordering.neighbour_gaps(idx, keys, within=within).df.collect():
+        for name in names:
+            want, got = every[r["i"]][name], r[name]
+            if name.startswith("all") or (want is not None and want < within):
+                assert got == want
+                crossed += r["i"] % 17 in (0, 1)
+            else:
+                assert got is None or got >= within
+    assert crossed > 20
+
+
+@pytest.mark.parametrize("block_rows,every", [(7, 1), (1000, 10)])
+def test_oldest_live_packet(spark, rows, block_rows, every):
+    times = [p["timestamp"] for p in helpers.named(rows)]
+    with scratch_tables(spark) as store:
+        got = {r["i"]: r["oldest"] for r in features._oldest_live(index(spark, rows, block_rows), 10, every, store).collect()}
+    want = {
+        k: next(j for j, t in enumerate(times, start=1) if t > times[k - 1] - timedelta(seconds=10))
+        for k in range(every, len(times) + 1, every)
+    }
+    assert got == want
+
+
+def test_trailing_features_leave_no_tables_behind(spark, rows):
+    folder = spark.conf.get("spark.checkpoint.dir")
+    before = set(glob.glob(f"{folder}/table-*"))
+    with scratch_tables(spark) as store:
+        table = features.features_trailing(features.index_packets(helpers.table(spark, rows[:40]), store=store), 10, 7)
+    assert set(glob.glob(f"{folder}/table-*")) == before
+    assert sorted(r["i"] for r in table.collect()) == [7, 14, 21, 28, 35]
+    assert features.features_trailing(index(spark, []), 10, 7).count() == 0
