@@ -9,14 +9,21 @@ so lines and passages that many documents share stay out of nearly all
 prefixes. Bucket counts cover all documents; their number is a parameter, and
 they decide the order only, never the result.
 
-Candidates are taken in two rounds, because a large group of near copies has
-the square of its size in pairs. First every group in a prefix element's list
-meets one random member of that list, and every class the first of its group.
-Verified pairs give components. Then all pairs of groups that share a prefix
-element and still lie in different components are expanded to member classes
-and verified. Pairs inside a component can add nothing, so no link between
-components is lost. Lists of frequent elements are dealt into pieces, each
-with its own random member; these meet one of their own.
+Candidates are taken in rounds, because a large group of near copies has the
+square of its size in pairs. First every group in a prefix element's list meets
+one random member of that list, and every class the first of its group.
+Verified pairs give components. Lists that still hold several of them are put
+into ``TURNS`` random orders, in which neighbours meet: that joins what is left
+of dense groups at a cost in proportion to the lists. Then all pairs of groups
+that share a prefix element and still lie in different components are expanded
+to member classes and verified. Pairs inside a component can add nothing, so no
+link between components is lost. Lists of frequent elements are dealt into pieces, each with
+its own random member; these meet one of their own.
+
+In the last round lists of ``MANY`` rows or more make a pair at its first common
+element only, as far as the first ``EARLY`` elements of both prefixes tell; a
+later one can add nothing, for the positional filter is weakest at the first.
+Long lists are cut into pieces by group, which meet the list in tasks of their own.
 
 Pairs pass a size filter, a positional filter, a bound from 2048-bit
 signatures (bits that differ need an element that differs) and, where such a
@@ -48,6 +55,9 @@ BUCKETS = 1 << 17
 BITS = 2048
 LARGE, COUNTS = 1_000, 1_024
 LIST_PIECES = 64
+TURNS = 1
+EARLY, MANY = 16, 16
+PIECE = 1_000
 _REMEMBERED = 100_000
 _MIX = [np.uint64(m) for m in (0x9E3779B185EBCA87, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0x85EBCA77C2B2AE63, 0x27D4EB2F165667C5)]
 
@@ -217,22 +227,55 @@ class Join:
         inside = self.classes.where("c <> g").select(F.col("c").alias("a"), F.col("g").alias("b"))
         return ordered(pairs.select(F.col("g").alias("a"), F.col("g2").alias("b")).union(inside))
 
+    def placed(self, roots: DataFrame) -> DataFrame:
+        """(c, g, root) of every class."""
+        return self.classes.join(roots.withColumnRenamed("node", "c"), "c", "left").select("c", "g", F.coalesce("root", "c").alias("root"))
+
+    def split(self, of_group: DataFrame) -> DataFrame:
+        """The rows of lists that hold several components, by group and component, with the list's number of rows and pieces."""
+        rows = self.shared.where("again").select("element", "g", "n", "at", "members").join(of_group, "g")
+        lists = rows.groupBy("element").agg(F.min("root").alias("lo"), F.max("root").alias("hi"), F.count("*").alias("long")).where("lo < hi")
+        return rows.join(lists.select("element", "long"), "element").withColumn("pieces", F.ceil(F.col("long") / PIECE).cast("int"))
+
+    def more_pairs(self, roots: DataFrame, seen: DataFrame, turn: int) -> DataFrame:
+        """Neighbours in a random order of the lists, where they are of different components.
+
+        Of a group's classes in one component the first stands for the others. Long lists are ordered in pieces that the order deals.
+        """
+        rows = self.split(self.placed(roots).groupBy("g", "root").agg(F.min("c").alias("c")))
+        order = F.xxhash64("element", "c", F.lit(turn))
+        rows = rows.select("element", "c", "n", "at", "root", order.alias("order"), F.pmod(order, F.col("pieces")).alias("piece"))
+        following = F.lead(F.struct("c", "n", "at", "root")).over(Window.partitionBy("element", "piece").orderBy("order", "c"))
+        pairs = rows.withColumn("next", following).select(
+            "n", "at", "root", F.col("c").alias("a"), F.col("next.c").alias("b"), F.col("next.n").alias("n2"),
+            F.col("next.at").alias("at2"), F.col("next.root").alias("root2"))
+        pairs = pairs.where((F.col("root") != F.col("root2")) & near_enough("n", "n2", "at", "at2", self.percent))
+        return ordered(pairs.select("a", "b")).join(seen, ["a", "b"], "left_anti")
+
+    def marked(self, of_group: DataFrame) -> DataFrame:
+        """The rows of ``split`` with the group's bits and, in long lists, the elements before the shared one of its first EARLY."""
+        marks = self.sets.select(F.col("row").alias("g"), "bits", F.slice("prefix", 1, EARLY).alias("early"))
+        # the signature is the first class's: it says nothing of a group's other classes
+        bits = F.when(F.col("members") == 1, F.col("bits"))
+        early = F.expr(f"slice(early, 1, if(long >= {MANY}, at, 0))")
+        return self.split(of_group).join(marks, "g").withColumns({"bits": bits, "early": early})
+
+    def met(self, rows: DataFrame) -> DataFrame:
+        """(g, root, g2, root2) of the pairs of ``marked`` rows that the filters allow, once for nearly all pairs."""
+        left = rows.withColumn("piece", F.pmod(F.xxhash64("g"), F.col("pieces")).cast("int"))
+        right = rows.select("element", *[F.col(c).alias(c + "2") for c in ("g", "n", "at", "root", "bits", "early")],
+                            F.explode(F.sequence(F.lit(0), F.col("pieces") - 1)).alias("piece"))
+        return left.join(right, ["element", "piece"]).where(
+            (F.col("root") < F.col("root2")) & near_enough("n", "n2", "at", "at2", self.percent)
+            & F.coalesce(self.bits_allow("bits", "bits2", "n", "n2"), F.lit(True))
+            & ~F.arrays_overlap("early", "early2")).select("g", "root", "g2", "root2")
+
     def other_pairs(self, roots: DataFrame, seen: DataFrame) -> DataFrame:
         """Pairs of classes in different components whose groups share a prefix element or are the same."""
-        placed = self.classes.join(roots.withColumnRenamed("node", "c"), "c", "left").select(
-            "c", "g", F.coalesce("root", "c").alias("root"))
+        placed = self.placed(roots)
         of_group = placed.select("g", "root").distinct()
-        rows = self.shared.where("again").select("element", "g", "n", "at", "members").join(of_group, "g")
-        split = rows.groupBy("element").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).where("lo < hi").select("element")
-        bits = self.sets.select(F.col("row").alias("g"), "bits")
-        left = store(rows.join(split, "element", "left_semi").join(bits, "g")
-                     # the signature is the first class's: it says nothing of a group's other classes
-                     .withColumn("bits", F.when(F.col("members") == 1, F.col("bits"))), "left")
-        right = left.select("element", *[F.col(c).alias(c + "2") for c in ("g", "n", "at", "root", "bits")])
-        met = left.join(right, "element").where(
-            (F.col("root") < F.col("root2")) & near_enough("n", "n2", "at", "at2", self.percent)
-            & F.coalesce(self.bits_allow("bits", "bits2", "n", "n2"), F.lit(True)))
-        met = met.select("g", "root", "g2", "root2").distinct()
+        rows = store(self.marked(of_group), "split")
+        met = self.met(rows).distinct()
         several = of_group.groupBy("g").agg(F.count("*").alias("k")).where("k > 1").select("g")
         same = of_group.join(several, "g", "left_semi")
         met = met.union(
@@ -240,7 +283,9 @@ class Join:
             .select("g", "root", F.col("g").alias("g2"), "root2"))
         ends = placed.select(F.col("g").alias("g2"), F.col("root").alias("root2"), F.col("c").alias("b"))
         pairs = met.join(placed.withColumnRenamed("c", "a"), ["g", "root"]).join(ends, ["g2", "root2"])
-        return ordered(pairs.select("a", "b")).join(seen, ["a", "b"], "left_anti")
+        pairs = store(ordered(pairs.select("a", "b")).join(seen, ["a", "b"], "left_anti"), "pairs")
+        release(self.spark, rows)
+        return pairs
 
     def bits_allow(self, bits: str, bits2: str, n: str, n2: str) -> F.Column:
         """Not more bits differ than elements may: n + n2 - 2 k of them, where 100 k >= percent (n + n2 - k)."""
@@ -329,10 +374,13 @@ def jaccard_join(
 ) -> DataFrame:
     """doc id, n_shingles, component_id of every row."""
     join = Join(docs, id_col, text_col, words, percent)
-    first = store(join.first_pairs(), "pairs")
-    links = join.verified(first)
-    more = join.verified(store(join.other_pairs(components(links), first), "pairs"))
-    roots = store(components(links.union(more)), "roots")
+    seen = store(join.first_pairs(), "pairs")
+    links = join.verified(seen)
+    for turn in range(1, TURNS + 1):
+        more = store(join.more_pairs(components(links), seen, turn), "pairs")
+        links, seen = links.union(join.verified(more)), seen.union(more)
+    last = join.verified(join.other_pairs(components(links), seen))
+    roots = store(components(links.union(last)), "roots")
     placed = join.classes.join(roots.withColumnRenamed("node", "c"), "c", "left").withColumn("root", F.coalesce("root", "c"))
     names = placed.groupBy("root").agg(F.min("least").alias("name"))
     named = placed.join(names, "root").select("n", "s1", "s2", "name")

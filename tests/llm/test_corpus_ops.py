@@ -170,6 +170,65 @@ def test_join_of_a_large_group_of_near_copies(spark, monkeypatch):
     assert joined(spark, rows) == plain_join(rows)
 
 
+def below_threshold(number):
+    """Copies of one text with two words changed each: most pairs are a little below the threshold."""
+    rng = random.Random(4)
+    base = sentence(rng, [f"w{i}" for i in range(900)], 180).split()
+    rows = []
+    for i in range(number):
+        copy = list(base)
+        for k in rng.sample(range(0, 180, 6), 2):
+            copy[k] = f"n{i}"
+        rows.append((i, " ".join(copy)))
+    return rows
+
+
+def test_last_round_makes_a_pair_once(spark, monkeypatch):
+    rows = below_threshold(90)
+    docs = spark.createDataFrame(rows, "doc_id int, text string")
+    made = {}
+    for early in (0, 40):
+        monkeypatch.setattr(prefix_join, "EARLY", early)
+        monkeypatch.setattr(prefix_join, "MANY", 1)
+        join = prefix_join.Join(docs, "doc_id", "text", 5, 80)
+        alone = join.classes.select("g", F.col("c").alias("root"))
+        pairs = [(r.g, r.g2) for r in join.met(join.marked(alone)).collect()]
+        made[early] = pairs
+    assert len(made[40]) == len(set(made[40])) and set(made[40]) == set(made[0])
+    assert 1_000 < 3 * len(made[40]) < len(made[0])
+
+
+def test_rounds_leave_few_pairs_of_a_dense_group(spark):
+    rng = random.Random(5)
+    base = sentence(rng, [f"w{i}" for i in range(900)], 200).split()
+    rows = []
+    for i in range(300):
+        copy = list(base)
+        copy[rng.randrange(200)] = f"n{i}"
+        rows.append((i, " ".join(copy)))
+    join = prefix_join.Join(spark.createDataFrame(rows, "doc_id int, text string"), "doc_id", "text", 5, 80)
+    seen = join.first_pairs().cache()
+    links = join.verified(seen)
+    more = join.more_pairs(components(links), seen, 1).cache()
+    left = join.other_pairs(components(links.union(join.verified(more))), seen.union(more))
+    assert seen.count() + more.count() + left.count() < 300 * 45  # prefixes have 40 elements; 44,850 pairs
+
+
+@pytest.mark.parametrize("settings", [{"EARLY": 3, "MANY": 1, "PIECE": 7, "TURNS": 2}, {"EARLY": 20, "TURNS": 0, "LIST_PIECES": 3}])
+def test_rounds_do_not_change_the_join(spark, monkeypatch, settings):
+    for name, value in settings.items():
+        monkeypatch.setattr(prefix_join, name, value)
+    rng = random.Random(6)
+    line = sentence(rng, ["a", "b", "c", "d"], 25)
+    rows = below_threshold(50)
+    rows += [(100 + i, text + " " + line) for i, (_, text) in enumerate(rows[:20])]
+    rows += [(200 + i, sentence(rng, ["x", "y", "z"], rng.randint(5, 9)) + " " + line) for i in range(60)]
+    # equal sizes and prefixes, unequal sets
+    rows += [(300 + i, " ".join(f"p{j}" for j in range(30) if j != 25 + i)) for i in range(4)]
+    rows += [(400, None), (401, ""), rows[3], (402, rows[3][1])]
+    assert joined(spark, rows) == plain_join(rows)
+
+
 def test_join_of_long_sets_uses_the_count_bound(spark):
     rng = random.Random(3)
     words = [f"w{i}" for i in range(2_000)]
