@@ -23,7 +23,8 @@ its own random member; these meet one of their own.
 In the last round lists of ``MANY`` rows or more make a pair at its first common
 element only, as far as the first ``EARLY`` elements of both prefixes tell; a
 later one can add nothing, for the positional filter is weakest at the first.
-Long lists are cut into pieces by group, which meet the list in tasks of their own.
+Long lists are cut into pieces by group, which meet the list in tasks of their own
+(``list_pairs``).
 
 Pairs pass a size filter, a positional filter, a bound from 2048-bit
 signatures (bits that differ need an element that differs) and, where such a
@@ -49,6 +50,7 @@ from pyspark.sql import functions as F
 
 from packetloom.llm.common import alone, arrow_schema, batch_of, few_keys, map_batches, release, small, store
 from packetloom.llm.components import components
+from packetloom.llm.list_pairs import Columns, bits_between, pairs_in_lists
 
 WORDS, PERCENT = 5, 80
 BUCKETS = 1 << 17
@@ -57,31 +59,61 @@ LARGE, COUNTS = 1_000, 1_024
 LIST_PIECES = 64
 TURNS = 1
 EARLY, MANY = 16, 16
+FIRST = 8  # longs of a signature that a pair's bound is tried on before all
 PIECE = 1_000
-_REMEMBERED = 100_000
 _MIX = [np.uint64(m) for m in (0x9E3779B185EBCA87, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0x85EBCA77C2B2AE63, 0x27D4EB2F165667C5)]
 
-
-class _Words(dict):
-    def __missing__(self, word: bytes) -> int:
-        value = self[word] = xxhash.xxh3_64_intdigest(word)
-        return value
-
-
-_words = _Words()
+_SPACES = b" \t\n\v\f\r"
+_SPACE = bytes(c in _SPACES for c in range(256))
+_OF_BYTE = np.random.default_rng(9).integers(0, 1 << 64, 256, dtype=np.uint64)
+_OF_BYTE[ord("A") : ord("Z") + 1] = _OF_BYTE[ord("a") : ord("z") + 1]
+_STEP = 0xD6E8FEB86659FD93
+_POWERS = 1 << 12
+
+
+def _powers(step: int, count: int) -> np.ndarray:
+    """step^0, step^1, ... modulo 2^64."""
+    out = np.full(count, step, dtype=np.uint64)
+    out[:1] = 1
+    return np.cumprod(out, dtype=np.uint64)
+
+
+_up, _down = (_powers(step, _POWERS) for step in (_STEP, pow(_STEP, -1, 1 << 64)))
+
+
+def word_hashes(text: str) -> np.ndarray:
+    """A hash of every word, without making the words: a polynomial of its bytes' random numbers modulo 2^64.
+
+    Words lie between ASCII white space; ASCII letters count as small ones. Prefix sums over the whole text give every
+    word's sum, times a power for its place.
+    """
+    global _up, _down
+    text = f" {text} ".encode()
+    raw = np.frombuffer(text, dtype=np.uint8).astype(np.intp)
+    space = np.frombuffer(text.translate(_SPACE), dtype=bool)
+    edges = np.flatnonzero(space[1:] != space[:-1])
+    if len(raw) > len(_up):
+        up, down = (_powers(step, len(raw)) for step in (_STEP, pow(_STEP, -1, 1 << 64)))
+        if len(raw) <= 1 << 18:  # kept for other texts: 4 MB at most
+            _up, _down = up, down
+    else:
+        up, down = _up, _down
+    sums = _OF_BYTE.take(raw)
+    sums *= up[: len(raw)]
+    sums = np.cumsum(sums).take(edges)
+    found = (sums[1::2] - sums[::2]) * down.take(edges[::2])
+    found ^= found >> np.uint64(32)
+    return found
 
 
 def shingles(text: str | None, words: int = WORDS) -> np.ndarray:
     """Sorted distinct hashes of the text's word n-grams; of all its words if they are fewer."""
-    found = text.encode().lower().split() if text else []
-    if not found:
+    alone("words", list)
+    one = word_hashes(text) if text else ()
+    if not len(one):
         return np.empty(0, dtype=np.uint64)
-    alone("words", _words.clear)
-    if len(_words) > _REMEMBERED:
-        _words.clear()
-    one = np.fromiter(map(_words.__getitem__, found), dtype=np.uint64, count=len(found))
-    size = min(words, len(found))
-    many = len(found) - size + 1
+    size = min(words, len(one))
+    many = len(one) - size + 1
     mixed = np.full(many, size, dtype=np.uint64)
     for j in range(size):
         mixed = (mixed ^ one[j : j + many]) * _MIX[j % len(_MIX)]
@@ -102,7 +134,8 @@ def counted(found: np.ndarray) -> bytes:
 
 def frequent_buckets(docs: DataFrame, text_col: str, words: int) -> np.ndarray:
     """Flags of the hash buckets with clearly more elements than the mean bucket."""
-    types = arrow_schema(docs.sparkSession, "chunk int, counts array<long>")
+    schema = "chunk int, counts array<long>"
+    types = arrow_schema(docs.sparkSession, schema)
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sums = np.zeros(BUCKETS, dtype=np.int64)
@@ -118,12 +151,16 @@ def frequent_buckets(docs: DataFrame, text_col: str, words: int) -> np.ndarray:
         if sums.any():
             yield batch_of({"chunk": list(range(BUCKETS // 1024)), "counts": list(sums.reshape(-1, 1024))}, types)
 
-    parts = docs.select(F.col(text_col).alias("text")).mapInArrow(count, "chunk int, counts array<long>")
-    each = parts.select("chunk", F.posexplode("counts").alias("at", "n")).groupBy((F.col("chunk") * 1024 + F.col("at")).alias("bucket"))
-    # at most BUCKETS numbers whatever the data
-    found = each.agg(F.sum("n").alias("n")).collect()
-    counts = np.zeros(BUCKETS, dtype=np.int64)
-    counts[[r.bucket for r in found]] = [r.n for r in found]
+    def total(parts: pa.Table) -> pa.Table:
+        counts = parts.column("counts").combine_chunks().flatten().to_numpy().reshape(-1, 1024).sum(0)
+        return pa.Table.from_batches([batch_of({"chunk": parts.column("chunk")[:1].to_pylist(), "counts": [counts]}, types)])
+
+    parts = docs.select(F.col(text_col).alias("text")).mapInArrow(count, schema)
+    counts = np.zeros((BUCKETS // 1024, 1024), dtype=np.int64)
+    # at most BUCKETS numbers whatever the data; added up as arrays, a row per number and task would be many more
+    for row in parts.groupBy("chunk").applyInArrow(total, schema).collect():
+        counts[row.chunk] = row.counts
+    counts = counts.ravel()
     mean = counts.mean()
     return counts > mean + 8 * sqrt(mean) + 16
 
@@ -262,20 +299,40 @@ class Join:
 
     def met(self, rows: DataFrame) -> DataFrame:
         """(g, root, g2, root2) of the pairs of ``marked`` rows that the filters allow, once for nearly all pairs."""
-        left = rows.withColumn("piece", F.pmod(F.xxhash64("g"), F.col("pieces")).cast("int"))
-        right = rows.select("element", *[F.col(c).alias(c + "2") for c in ("g", "n", "at", "root", "bits", "early")],
-                            F.explode(F.sequence(F.lit(0), F.col("pieces") - 1)).alias("piece"))
-        return left.join(right, ["element", "piece"]).where(
-            (F.col("root") < F.col("root2")) & near_enough("n", "n2", "at", "at2", self.percent)
-            & F.coalesce(self.bits_allow("bits", "bits2", "n", "n2"), F.lit(True))
-            & ~F.arrays_overlap("early", "early2")).select("g", "root", "g2", "root2")
+        more, less, longs = 100 + self.percent, 100 - self.percent, BITS // 64
+
+        def prepared(rows: Columns) -> Columns:
+            lengths = rows["early_lengths"]
+            early = np.zeros((len(lengths), max(1, lengths.max())), dtype=np.int64)
+            early[np.arange(early.shape[1]) < lengths[:, None]] = rows["early"]
+            return rows | {"early": early, "bits": rows["bits"].view(np.uint64).reshape(-1, longs)}
+
+        def passing(rows: Columns, one: np.ndarray, two: np.ndarray) -> np.ndarray:
+            known = rows["sure"][one] & rows["sure"][two]
+            most = np.where(known, less * (rows["n"][one] + rows["n"][two]) // more, BITS)
+            left = np.flatnonzero(bits_between(rows["bits"][:, :FIRST], one, two) <= most)
+            left = left[bits_between(rows["bits"], one[left], two[left]) <= most[left]]
+            out = np.zeros(len(one), dtype=bool)
+            places = np.arange(rows["early"].shape[1])
+            for start in range(0, len(left), 4_096):
+                some = left[start : start + 4_096]
+                a, b = one[some], two[some]
+                equal = rows["early"][a][:, :, None] == rows["early"][b][:, None, :]
+                equal &= (places < rows["early_lengths"][a, None])[:, :, None] & (places < rows["early_lengths"][b, None])[:, None, :]
+                out[some] = ~equal.any((1, 2))
+            return out
+
+        nothing = F.array_repeat(F.lit(0).cast("long"), longs)
+        return pairs_in_lists(
+            rows.select("element", "g", "n", "at", "root", "pieces", "early", F.coalesce("bits", nothing).alias("bits"),
+                        (F.col("members") == 1).alias("sure")),
+            "element", "g", self.percent, prepared, passing)
 
     def other_pairs(self, roots: DataFrame, seen: DataFrame) -> DataFrame:
         """Pairs of classes in different components whose groups share a prefix element or are the same."""
         placed = self.placed(roots)
         of_group = placed.select("g", "root").distinct()
-        rows = store(self.marked(of_group), "split")
-        met = self.met(rows).distinct()
+        met = self.met(self.marked(of_group)).distinct()
         several = of_group.groupBy("g").agg(F.count("*").alias("k")).where("k > 1").select("g")
         same = of_group.join(several, "g", "left_semi")
         met = met.union(
@@ -283,9 +340,7 @@ class Join:
             .select("g", "root", F.col("g").alias("g2"), "root2"))
         ends = placed.select(F.col("g").alias("g2"), F.col("root").alias("root2"), F.col("c").alias("b"))
         pairs = met.join(placed.withColumnRenamed("c", "a"), ["g", "root"]).join(ends, ["g2", "root2"])
-        pairs = store(ordered(pairs.select("a", "b")).join(seen, ["a", "b"], "left_anti"), "pairs")
-        release(self.spark, rows)
-        return pairs
+        return store(ordered(pairs.select("a", "b")).join(seen, ["a", "b"], "left_anti"), "pairs")
 
     def bits_allow(self, bits: str, bits2: str, n: str, n2: str) -> F.Column:
         """Not more bits differ than elements may: n + n2 - 2 k of them, where 100 k >= percent (n + n2 - k)."""
