@@ -16,8 +16,8 @@ Equal sets are one class. Only components are asked for, so not all pairs of a g
 class meets the smallest of each of its keys' lists and the next one in a random order of the list. What verifies gives
 components. Lists that still hold several components are put into other random orders, ``TURNS`` times, which joins what
 is left of large groups at a cost in proportion to the lists. Then lists of several components are met in full, but only
-between components, with the estimate as condition of the join; long lists are cut into pieces by class, each of which
-meets the list in a task of its own.
+between components, and become pairs only where the estimate allows; long lists are cut into pieces by class, each of
+which meets the list in a task of its own (``list_pairs``).
 
 Null texts and texts without a word have an empty set, no link and are their own component. A text of fewer than
 ``words`` words is one element. Rows without id take part, their component is named by others; ``kept`` is false for
@@ -38,7 +38,8 @@ from pyspark.sql import functions as F
 
 from packetloom.llm.common import arrow_schema, batch_of, few_keys, map_batches, release, small, store
 from packetloom.llm.components import components
-from packetloom.llm.prefix_join import shingles
+from packetloom.llm.list_pairs import Columns, bits_between, pairs_in_lists
+from packetloom.llm.prefix_join import _MIX, shingles
 
 WORDS, PERCENT = 3, 85
 BANDS, ROWS, BITS = 32, 5, 2
@@ -56,29 +57,34 @@ _BLOCK = 512
 
 
 def minima(found: np.ndarray) -> np.ndarray:
-    """The minimum of every hash function over a set that is not empty."""
+    """The minimum of every hash function over a set that is not empty.
+
+    A hash's last step, one to one, is taken on the minima only: the order is that of the hashes before it.
+    """
     folded = (found ^ (found >> np.uint64(32))).astype(np.uint32)
     least = np.full(HASHES, np.iinfo(np.uint32).max, dtype=np.uint32)
     for start in range(0, len(folded), _BLOCK):
         mixed = (folded[None, start : start + _BLOCK] ^ _OFFSETS[:, None]) * _FACTORS[:, None]
         mixed ^= mixed >> np.uint32(15)
         mixed *= np.uint32(0x2C1B3C6D)
-        mixed ^= mixed >> np.uint32(13)
         np.minimum(least, mixed.min(1), out=least)
-    return least
+    return least ^ (least >> np.uint32(13))
 
 
-def band_keys(least: np.ndarray) -> list[int]:
-    """One 64-bit key per band, of its number and its minima."""
-    raw = least.tobytes()
-    width = 4 * ROWS
-    return [xxhash.xxh3_64_intdigest(raw[b * width : (b + 1) * width], seed=b) - (1 << 63) for b in range(BANDS)]
+def band_keys(least: np.ndarray) -> list[list[int]]:
+    """One 64-bit key per band, of its number and its minima; for rows of minima."""
+    runs = least.reshape(-1, BANDS, ROWS).astype(np.uint64)
+    keys = np.arange(BANDS, dtype=np.uint64)
+    for j in range(ROWS):
+        keys = (keys ^ runs[:, :, j]) * _MIX[j % len(_MIX)]
+        keys ^= keys >> np.uint64(29)
+    return keys.view(np.int64).tolist()
 
 
-def packed(least: np.ndarray) -> list[int]:
-    """The low BITS bits of every minimum, LANES to a long."""
-    bits = (least[:, None] >> np.arange(BITS, dtype=np.uint32)) & 1
-    return np.packbits(bits.astype(np.uint8).ravel(), bitorder="little").view("<i8").tolist()
+def packed(least: np.ndarray) -> list:
+    """The low BITS bits of every minimum, LANES to a long; for one set's minima, or for rows of them."""
+    bits = (least[..., None] >> np.arange(BITS, dtype=np.uint32)) & 1
+    return np.packbits(bits.astype(np.uint8).reshape(*least.shape[:-1], -1), axis=-1, bitorder="little").view("<i8").tolist()
 
 
 def unequal_lanes(one: F.Column, two: F.Column) -> F.Column:
@@ -94,6 +100,16 @@ def unequal_lanes(one: F.Column, two: F.Column) -> F.Column:
     return sum((count(i) for i in range(1, HASHES // LANES)), count(0))
 
 
+def lanes_between(sig: np.ndarray, one: np.ndarray, two: np.ndarray) -> np.ndarray:
+    """``unequal_lanes`` of the rows at these places of a matrix of signatures."""
+    differ = sig[one] ^ sig[two]
+    either = differ.copy()
+    for shift in range(1, BITS):
+        either |= differ >> np.uint64(shift)
+    either &= np.uint64(sum(1 << (BITS * k) for k in range(LANES)))
+    return np.bitwise_count(either).sum(1, dtype=np.int64)
+
+
 def table(found: np.ndarray) -> list[int]:
     """TABLE_BITS bits of a set, TABLE_BITS / 64 longs: set where an element falls."""
     marked = np.zeros(TABLE_BITS, dtype=np.uint8)
@@ -129,20 +145,24 @@ def signed(docs: DataFrame, id_col: str, text_col: str, words: int) -> DataFrame
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set[bytes] = set()
         for batch in small(batches):
-            out = {k: [] for k in ("n", "s1", "s2", "bands", "sig", "bits")}
-            for text in batch.column(3).to_pylist():
+            out = {k: [None] * batch.num_rows for k in ("n", "s1", "s2", "bands", "sig", "bits")}
+            chosen, least = [], []
+            for i, text in enumerate(batch.column(3).to_pylist()):
                 found = shingles(text, words)
                 key = xxhash.xxh3_128_digest(found.tobytes())
-                bands = sig = bits = None
                 if len(found) and key not in seen:
                     if len(seen) >= 200_000:
                         seen.clear()
                     seen.add(key)
-                    least = minima(found)
-                    bands, sig, bits = band_keys(least), packed(least), table(found)
-                s1, s2 = np.frombuffer(key, dtype="<i8").tolist()
-                for k, v in (("n", len(found)), ("s1", s1), ("s2", s2), ("bands", bands), ("sig", sig), ("bits", bits)):
-                    out[k].append(v)
+                    chosen.append(i)
+                    least.append(minima(found))
+                    out["bits"][i] = table(found)
+                out["n"][i] = len(found)
+                out["s1"][i], out["s2"][i] = np.frombuffer(key, dtype="<i8").tolist()
+            if chosen:
+                rows = np.stack(least)
+                for i, bands, sig in zip(chosen, band_keys(rows), packed(rows)):
+                    out["bands"][i], out["sig"][i] = bands, sig
             yield batch_of({"row": batch.column(0), "id": batch.column(1), "place": batch.column(2), **out}, types)
 
     source = docs.select(
@@ -214,14 +234,22 @@ class Dedup:
     def other_pairs(self, roots: DataFrame, seen: DataFrame) -> DataFrame:
         """Pairs of different components in one list, where sizes and signatures allow a link."""
         sig = self.signatures.select("c", "sig", "bits")
-        rows = store(self.split(roots).join(sig, "c").withColumn(
-            "pieces", F.ceil(F.col("long") / PIECE).cast("int")), "split")
-        left = rows.withColumn("piece", F.pmod(F.xxhash64("c"), F.col("pieces")).cast("int"))
-        right = rows.select("k", *[F.col(c).alias(c + "2") for c in ("c", "n", "root", "sig", "bits")],
-                            F.explode(F.sequence(F.lit(0), F.col("pieces") - 1)).alias("piece"))
-        met = left.join(right, ["k", "piece"]).where((F.col("root") < F.col("root2")) & self.may_link("", "2"))
+        rows = self.split(roots).join(sig, "c").select(
+            "k", "c", "n", "root", "sig", "bits", F.lit(0).alias("at"), F.ceil(F.col("long") / PIECE).cast("int").alias("pieces"))
+        most, more, less = self.most, 100 + self.percent, 100 - self.percent
+
+        def prepared(rows: Columns) -> Columns:
+            return rows | {k: rows[k].view(np.uint64).reshape(len(rows["n"]), -1) for k in ("sig", "bits")}
+
+        def passing(rows: Columns, one: np.ndarray, two: np.ndarray) -> np.ndarray:
+            left = np.flatnonzero(lanes_between(rows["sig"], one, two) <= most)
+            out = np.zeros(len(one), dtype=bool)
+            one, two = one[left], two[left]
+            out[left] = more * bits_between(rows["bits"], one, two) <= less * (rows["n"][one] + rows["n"][two])
+            return out
+
+        met = pairs_in_lists(rows, "k", "c", self.percent, prepared, passing)
         pairs = store(ordered(met.select(F.col("c").alias("x"), F.col("c2").alias("y"))), "pairs")
-        release(self.spark, rows)
         return pairs.join(seen, ["a", "b"], "left_anti")
 
     def verified(self, pairs: DataFrame) -> DataFrame:

@@ -107,3 +107,22 @@ def test_estimate_is_near_the_similarity(spark):
                 assert row.d == unequal
             errors.append((1 - unequal / 160 - 0.25) / 0.75 - want)
         assert abs(sum(errors) / len(errors)) < 0.03 and max(map(abs, errors)) < 0.2
+
+
+def test_pairs_of_a_list_are_no_rows_of_a_join(spark, monkeypatch):
+    """Many classes of one key, none of them linked: what the last round stores has no join above the lists."""
+    plans = {}
+    store = minhash_bbit.store
+
+    def kept(df, name):
+        plans[name] = df._jdf.queryExecution().analyzed().toString()
+        return store(df, name)
+
+    common_words = " ".join(f"w{i}" for i in range(60))
+    rows = [(i, common_words + " " + " ".join(f"x{i}y{j}" for j in range(14))) for i in range(40)]
+    steps = minhash_bbit.Dedup(spark.createDataFrame(rows, "doc_id long, text string"), "doc_id", "text", 3, 85)
+    roots = spark.createDataFrame([], "node long, root long")
+    monkeypatch.setattr(minhash_bbit, "store", kept)
+    left = steps.other_pairs(roots, spark.createDataFrame([], "a long, b long")).count()
+    assert steps.shared.count() > 100 and left == 0
+    assert "Join" not in plans["pairs"].split("MapInArrow")[0]
