@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 
 from packetloom.llm.common import arrow_schema, batch_of
 
-AT_ONCE = 1 << 16  # pairs; their bits are copied, 256 bytes a row
+AT_ONCE = 1 << 14  # pairs; their bits are copied, 256 bytes a row
 
 Columns = dict[str, np.ndarray]
 Passing = Callable[[Columns, np.ndarray, np.ndarray], np.ndarray]

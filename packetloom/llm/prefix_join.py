@@ -151,14 +151,18 @@ def frequent_buckets(docs: DataFrame, text_col: str, words: int) -> np.ndarray:
         if sums.any():
             yield batch_of({"chunk": list(range(BUCKETS // 1024)), "counts": list(sums.reshape(-1, 1024))}, types)
 
-    def total(parts: pa.Table) -> pa.Table:
-        counts = parts.column("counts").combine_chunks().flatten().to_numpy().reshape(-1, 1024).sum(0)
-        return pa.Table.from_batches([batch_of({"chunk": parts.column("chunk")[:1].to_pylist(), "counts": [counts]}, types)])
+    def total(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sums: dict[int, np.ndarray] = {}
+        for batch in batches:
+            for chunk, counts in zip(batch.column(0).to_pylist(), batch.column(1).flatten().to_numpy().reshape(-1, 1024)):
+                sums[chunk] = sums.get(chunk, 0) + counts
+        if sums:
+            yield batch_of({"chunk": list(sums), "counts": list(sums.values())}, types)
 
     parts = docs.select(F.col(text_col).alias("text")).mapInArrow(count, schema)
     counts = np.zeros((BUCKETS // 1024, 1024), dtype=np.int64)
     # at most BUCKETS numbers whatever the data; added up as arrays, a row per number and task would be many more
-    for row in parts.groupBy("chunk").applyInArrow(total, schema).collect():
+    for row in parts.repartition("chunk").mapInArrow(total, schema).collect():
         counts[row.chunk] = row.counts
     counts = counts.ravel()
     mean = counts.mean()
